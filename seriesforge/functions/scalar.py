@@ -30,7 +30,7 @@ def pm25_index(pm25: Column) -> Column:
     out = F.when(conc < 0, F.lit(None).cast("double"))
     for lo, hi, index_lo, index_hi in C.PM25_BREAKPOINTS:
         slope = (index_hi - index_lo) / (hi - lo)
-        out = out.when(conc.between(lo, hi), F.bround(F.lit(slope) * (conc - lo) + index_lo, 1))
+        out = out.when(conc.between(lo, hi), half_even_tenths(F.lit(slope) * (conc - lo) + index_lo))
     return out.when(conc > C.PM25_BREAKPOINTS[-1][1], C.PM25_OVER_RANGE_INDEX)
 
 
@@ -83,6 +83,21 @@ def half_even(col: Column, digits: int = 0) -> Column:
     return F.bround(col, digits)
 
 
+def half_even_tenths(col: Column) -> Column:
+    """One decimal, half-even on the exact binary value (0.35 is below its tie and gives 0.3).
+
+    ``bround`` rounds the printed decimal. Here 20x - m is formed as (16x - m) + 4x, two
+    subtractions without rounding error, so its sign tells on which side of a tie x lies.
+    """
+    m = F.bround(col * 20, 0)
+    side = (col * 16 - m) + col * 4
+    down, up = (m - 1) / 2, (m + 1) / 2
+    odd = F.pmod(m, F.lit(2.0)) == 1
+    even_one = F.when(F.pmod(down, F.lit(2.0)) == 0, down).otherwise(up)
+    tenths = F.when(~odd, m / 2).when(side < 0, down).when(side > 0, up).otherwise(even_one)
+    return tenths / 10
+
+
 def clamp(col: Column, low: float | None = None, high: float | None = None) -> Column:
     out = col if low is None else F.greatest(col, F.lit(float(low)))
     return out if high is None else F.least(out, F.lit(float(high)))

@@ -128,7 +128,7 @@ def _presented(steps: DataFrame) -> DataFrame:
     v = F.col("value")
     return steps.select(
         "city", times.from_micros(F.col("last_us") + F.col("step") * F.lit(HOUR_US)).alias("timestamp"), "step",
-        scalar.half_even(v, 1).alias("predicted_aqi"), scalar.forecast_category(v).alias("aqi_category"),
+        scalar.half_even_tenths(v).alias("predicted_aqi"), scalar.forecast_category(v).alias("aqi_category"),
         scalar.is_hazardous(v).alias("is_hazardous"))
 
 

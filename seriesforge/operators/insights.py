@@ -64,7 +64,7 @@ def freshness_view(fresh: DataFrame, spec: SeriesSpec = _SPEC) -> DataFrame:
     return fresh.select(
         F.col(spec.key).alias("City"), F.col("reading_count").alias("Readings collected"),
         times.reading_text(F.col("latest_reading")).alias("Latest reading"),
-        scalar.half_even(F.col("hours_since_latest"), 1).alias("Hours ago"))
+        scalar.half_even_tenths(F.col("hours_since_latest")).alias("Hours ago"))
 
 
 def latest_reading(clean: DataFrame, spec: SeriesSpec = _SPEC) -> DataFrame:
@@ -131,7 +131,7 @@ def hourly_table(forecast: DataFrame, spec: SeriesSpec = _SPEC, zone: str = C.DI
     """Hour-by-hour forecast table in local time."""
     local, index = times.local_time(F.col(spec.ts), zone), scalar.half_even(F.col(spec.value)).cast("bigint")
     return forecast.select(
-        spec.key, local.alias("time"), times.day_text(local).alias("Day"), times.clock_text(local).alias("Time"),
+        spec.key, local.alias("local_time"), times.day_text(local).alias("Day"), times.clock_text(local).alias("Time"),
         index.alias("AQI"), scalar.category_label(index).alias("How it feels"))
 
 

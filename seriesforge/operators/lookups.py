@@ -30,7 +30,7 @@ def range_lookup_index(df: DataFrame, pm25: str = "pm25", name: str = "index") -
     slope = (F.col("index_high") - F.col("index_low")) / (F.col("conc_high") - F.col("conc_low"))
     top = C.PM25_BREAKPOINTS[-1][1]
     index = (F.when(value > top, C.PM25_OVER_RANGE_INDEX)
-             .otherwise(F.bround(slope * (value - F.col("conc_low")) + F.col("index_low"), 1)))
+             .otherwise(scalar.half_even_tenths(slope * (value - F.col("conc_low")) + F.col("index_low"))))
     return hit.withColumn(name, index).select(*df.columns, "segment", name)
 
 

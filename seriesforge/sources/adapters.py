@@ -80,15 +80,16 @@ def weather_payloads(events: DataFrame) -> DataFrame:
 
 
 def history_payloads(events: DataFrame) -> DataFrame:
-    """Per series and day one history document: a list of hourly component readings."""
-    item = F.struct(
-        F.floor(times.micros("ts") / 1_000_000).cast("bigint").alias("dt"),
-        F.struct(F.col("value").alias("pm2_5"), (F.col("value") * 2).alias("pm10"),
-                 F.lit(None).cast("double").alias("no2")).alias("components"))
-    # One document per series and minute keeps every document small however long the series is.
-    minute = F.date_trunc("minute", F.col("ts"))
-    return (events.groupBy(F.col("event_type").alias("city"), minute.alias("minute"))
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id"), item.alias("item")))).alias("items"))
-            .select("city",
-                    F.col("items")[0]["event_id"].alias("poll_id"),
-                    F.to_json(F.struct(F.transform("items", lambda x: x["item"]).alias("list"))).alias("body")))
+    """One history document per event: a list with its reading and the one an hour earlier."""
+    second = F.floor(times.micros("ts") / 1_000_000).cast("bigint")
+
+    def item(dt, pm25):
+        return F.struct(dt.alias("dt"), F.struct(
+            pm25.alias("pm2_5"), (pm25 * 2).alias("pm10"), F.lit(None).cast("double").alias("no2"),
+        ).alias("components"))
+
+    entries = F.array(item(second, F.col("value")), item(second - 3600, F.col("value") / 2))
+    return events.select(
+        F.col("event_type").alias("city"), F.col("event_id").alias("poll_id"),
+        F.col("ts").alias("ingested_at"),
+        F.to_json(F.struct(entries.alias("list"))).alias("body"))

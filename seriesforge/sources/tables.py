@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from seriesforge.config import SeriesSpec
 from seriesforge.operators.quality import keep_last
@@ -40,8 +40,8 @@ class KeyedTable:
     def _stored(self) -> DataFrame:
         if not self.exists():
             return self._with_day(self.spark.createDataFrame([], self.schema))
-        return self.spark.read.schema(self.schema.add(PARTITION, "date") if PARTITION not in self.schema.names
-                                      else self.schema).parquet(self.path)
+        stored = StructType([*self.schema.fields, StructField(PARTITION, DateType())])
+        return self.spark.read.schema(stored).parquet(self.path)
 
     def scan(self) -> DataFrame:
         """The whole table; an absent one is empty. Filters on the day prune partitions."""
