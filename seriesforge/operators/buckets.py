@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from seriesforge.config import SeriesSpec
+from seriesforge.config import HOUR_US, SeriesSpec
 from seriesforge.functions import times
 
 BUCKET, US, HOME, PAYLOAD = "_bucket", "_us", "_home", "_payload"
@@ -20,11 +20,17 @@ def bucket_of(us: Column, width_us: int) -> Column:
     return ((us - F.pmod(us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
 
 
+def measured(spec: SeriesSpec) -> Column:
+    """The value as a double, NaN counting as missing."""
+    v = F.col(spec.value).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def with_halo(df: DataFrame, spec: SeriesSpec, width_us: int, reach_us: int) -> DataFrame:
     """(key, bucket, us, value, home, payload): home rows keep all columns, copies only the value."""
     us = times.micros(spec.ts)
     whole_row = F.struct(*df.columns)
-    return (df.select(F.col(spec.key), us.alias(US), F.col(spec.value).alias("_v"), whole_row.alias(PAYLOAD))
+    return (df.select(F.col(spec.key), us.alias(US), measured(spec).alias("_v"), whole_row.alias(PAYLOAD))
             .withColumn(BUCKET, F.explode(F.sequence(bucket_of(F.col(US), width_us),
                                                      bucket_of(F.col(US) + reach_us, width_us))))
             .withColumn(HOME, F.col(BUCKET) == bucket_of(F.col(US), width_us))
@@ -38,7 +44,7 @@ def bucket_edges(df: DataFrame, spec: SeriesSpec, width_us: int) -> DataFrame:
     The window sees one row per bucket, not the readings.
     """
     us = times.micros(spec.ts)
-    last = F.max(F.struct(us.alias("us"), F.col(spec.seq).alias("seq"), F.col(spec.value).alias("v")))
+    last = F.max(F.struct(us.alias("us"), F.col(spec.seq).alias("seq"), measured(spec).alias("v")))
     edges = (df.dropna(subset=[spec.ts])
              .groupBy(F.col(spec.key), bucket_of(us, width_us).alias(BUCKET))
              .agg(last.alias("_edge")))
@@ -71,3 +77,15 @@ def touched_buckets(edges: DataFrame, changed: DataFrame, spec: SeriesSpec,
                  .join(hit.withColumnRenamed(BUCKET, "_prev_bucket"), [spec.key, "_prev_bucket"], "left_semi")
                  .select(spec.key, BUCKET))
     return hit.unionByName(following).distinct()
+
+
+def fit_bucket_hours(df: DataFrame, spec: SeriesSpec = SeriesSpec(), max_rows: int = 2_000_000,
+                     shortest: int = 6, longest: int = 24 * 28) -> int:
+    """Bucket width at which the densest series stays near ``max_rows`` readings per bucket.
+
+    One pass over (key, time) that returns a single number. Narrow buckets copy more halo
+    rows, wide ones run fewer tasks.
+    """
+    peak = (df.dropna(subset=[spec.ts]).groupBy(spec.key, bucket_of(times.micros(spec.ts), HOUR_US).alias("_hour"))
+            .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0])
+    return longest if not peak else max(shortest, min(longest, max_rows // peak))

@@ -38,8 +38,8 @@ def merged_moments(n1: Column, mean1: Column, m21: Column, n2: Column, mean2: Co
     """Count, mean and sum of squared deviations of two groups put together."""
     n = n1 + n2
     delta = mean2 - mean1
-    mean = F.when(n1 == 0, mean2).when(n2 == 0, mean1).otherwise(mean1 + delta * n2 / F.nullif(n, F.lit(0)))
-    m2 = (F.when(n1 == 0, m22).when(n2 == 0, m21)
+    mean = F.when(n2 == 0, mean1).when(n1 == 0, mean2).otherwise(mean1 + delta * n2 / F.nullif(n, F.lit(0)))
+    m2 = (F.when(n2 == 0, m21).when(n1 == 0, m22)
           .otherwise(m21 + m22 + delta * delta * n1 * n2 / F.nullif(n, F.lit(0))))
     return n, mean, m2
 
@@ -130,7 +130,7 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
     df = df.dropna(subset=[spec.ts])
     names = feature_names(spec, cfg, lags, rolling, rate)
     if mode == "window":
-        framed = df.select("*", times.micros(spec.ts).alias(B.US), F.col(spec.value).alias("_v"))
+        framed = df.select("*", times.micros(spec.ts).alias(B.US), B.measured(spec).alias("_v"))
         out = _features(framed, [spec.key], spec, cfg, dense, lags, rolling, rate)
         return out.select(*df.columns, *names)
     if mode != "halo":

@@ -19,6 +19,7 @@ from seriesforge.functions import scalar, times
 from seriesforge.operators.features import merged_moments
 from seriesforge.operators.models import LinearWeights
 from seriesforge.operators.trees import TreeNodes
+from seriesforge.session import settle
 
 _SPEC, _CFG = SeriesSpec(), FeatureConfig()
 
@@ -33,8 +34,7 @@ def forecast_inputs(clean: DataFrame, cfg: FeatureConfig = _CFG, spec: SeriesSpe
     """
     key, us = spec.key, times.micros(spec.ts)
     rows = clean.select(key, us.alias("us"), F.col(spec.value).alias("v")).dropna()
-    newest = rows.groupBy(key).agg(F.max(F.struct("us", "v")).alias("_l")).select(
-        key, F.col("_l.us").alias("last_us"), F.col("_l.v").alias("last_v"))
+    newest = settle(rows.groupBy(key).agg(F.max("us").alias("last_us"), F.max_by("v", "us").alias("last_v")), "newest")
     deepest = min(cfg.reach_us, history_hours * HOUR_US)
     age = F.col("last_us") - F.col("us")
     aged = rows.join(newest, key).filter(age <= deepest).withColumn("age", age)

@@ -9,6 +9,7 @@ from seriesforge.config import SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.operators.lookups import with_spine, with_spine_per_key
 from seriesforge.operators.selection import exact_median
+from seriesforge.session import settle
 
 _SPEC = SeriesSpec()
 
@@ -75,8 +76,8 @@ def latest_reading(clean: DataFrame, spec: SeriesSpec = _SPEC) -> DataFrame:
 
 def recent_history(clean: DataFrame, hours_back: int = C.HISTORY_HOURS, spec: SeriesSpec = _SPEC) -> DataFrame:
     """Rows no older than ``hours_back`` before the newest row of their key, bounds included."""
-    cut = (clean.groupBy(spec.key).agg(F.max(spec.ts).alias("_newest"))
-           .withColumn("_from", F.col("_newest") - F.make_dt_interval(hours=F.lit(hours_back))).drop("_newest"))
+    oldest = F.max(spec.ts) - F.make_dt_interval(hours=F.lit(hours_back))
+    cut = settle(clean.groupBy(spec.key).agg(oldest.alias("_from")), "newest")
     return clean.join(cut, spec.key).filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
 
 

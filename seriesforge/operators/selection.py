@@ -4,28 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BAND_ACCURACY = 1000
-
+from seriesforge.session import settle
 
-def _per_group(df: DataFrame, groups: DataFrame, keys: list[str], few: bool, how: str = "inner") -> DataFrame:
-    """Join a one-row-per-group table; broadcast only where the number of groups is bounded."""
-    return df.join(F.broadcast(groups) if few else groups, keys, how)
+BAND_ACCURACY = 1000
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median", few: bool = False) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """Exact median of ``value`` per group (at least one key), nulls ignored.
 
     A quantile sketch proposes a narrow band around the median, one pass counts the rows below,
     inside and above it, and only the part that holds the middle ranks is ordered. The sketch
     decides how much is ordered, never the result: any part can turn out to hold the middle.
-    ``few`` states that the number of groups has a fixed bound.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
     spread = 2.0 / BAND_ACCURACY
     band = F.percentile_approx("_v", [0.5 - spread, 0.5 + spread], BAND_ACCURACY * 2).alias("_band")
     part = (F.when(F.col("_v") < F.col("_band")[0], 0)
             .when(F.col("_v") <= F.col("_band")[1], 1).otherwise(2).alias("_part"))
-    parted = _per_group(rows, rows.groupBy(*keys).agg(band), keys, few).select(*keys, "_v", part)
+    bands = settle(rows.groupBy(*keys).agg(band), "median-bands")
+    parted = rows.join(bands, keys).select(*keys, "_v", part)
 
     def size(*parts):
         return F.count(F.when(F.col("_part").isin(*parts), 1))
@@ -36,16 +33,16 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     middle = sizes.withColumn(
         "_rank", F.explode(F.array(F.floor((n + 1) / 2), F.floor((n + 2) / 2))))
     in_low, in_band = F.col("_rank") <= below, F.col("_rank") <= below + inside
-    wanted = middle.select(
+    wanted = settle(middle.select(
         *keys, F.when(in_low, 0).when(in_band, 1).otherwise(2).alias("_part"),
-        (F.col("_rank") - F.when(in_low, F.lit(0)).when(in_band, below).otherwise(below + inside)).alias("_rank"))
+        (F.col("_rank") - F.when(in_low, F.lit(0)).when(in_band, below).otherwise(below + inside)).alias("_rank")), "median-ranks")
     needed = wanted.select(*keys, "_part").distinct()
     # Equal values fold into one weighted row on the map side before they are ordered.
-    weighted = (_per_group(parted, needed, [*keys, "_part"], few, "left_semi")
+    weighted = (parted.join(needed, [*keys, "_part"], "left_semi")
                 .groupBy(*keys, "_part", "_v").agg(F.count(F.lit(1)).alias("_w")))
     order = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = weighted.withColumn("_upto", F.sum("_w").over(order))
-    hit = _per_group(ranked, wanted, [*keys, "_part"], few).filter(
+    hit = ranked.join(wanted, [*keys, "_part"]).filter(
         (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_w")))
     # An odd count wants the same rank twice, so the mean of the two rows is the median.
     return hit.groupBy(*keys).agg(F.avg("_v").alias(name))
@@ -55,7 +52,7 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, median) for many columns of a whole table: columns become the groups."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column_name", "value")
-    return exact_median(long, ["column_name"], "value", few=True)
+    return exact_median(long, ["column_name"], "value")
 
 
 def _cell(width_us: int) -> Column:
@@ -70,29 +67,29 @@ def chronological_cut(df: DataFrame, keys: list[str], us: Column, ties: list[str
     falls is closed in on by counts per day, minute and second, all combined on the map side;
     only rows of that one second are numbered. Rows without a time come last.
     """
-    few = not keys
     groups = keys or ["_all"]
     rows = df.withColumn("_us", us)
     rows = rows if keys else rows.withColumn("_all", F.lit(0))
     totals = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
     # The same float arithmetic as an index computed by truncation.
-    cut = totals.select(*groups, F.floor(F.col("_n") * F.lit(1 - test_fraction)).cast("bigint").alias("_need"))
+    cut = settle(totals.select(
+        *groups, F.floor(F.col("_n") * F.lit(1 - test_fraction)).cast("bigint").alias("_need")), "cut")
     timed = rows.filter(F.col("_us").isNotNull()).select(*groups, "_us")
     parent = None
     for width in steps_us:
         if parent is None:
-            inside = _per_group(timed, cut, groups, few)
+            inside = timed.join(cut, groups)
         else:
-            inside = _per_group(timed.withColumn("_cell", _cell(parent)), cut, [*groups, "_cell"], few).drop("_cell")
+            inside = timed.withColumn("_cell", _cell(parent)).join(cut, [*groups, "_cell"]).drop("_cell")
         counts = inside.groupBy(*groups, "_need", _cell(width).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
         running = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
         start = F.col("_upto") - F.col("_c")
         # The cut lies in the cell that takes the running count past the needed rows.
-        cut = (counts.withColumn("_upto", F.sum("_c").over(running))
-               .filter((F.col("_need") >= start) & (F.col("_need") < F.col("_upto")))
-               .select(*groups, "_cell", (F.col("_need") - start).alias("_need")))
+        cut = settle(counts.withColumn("_upto", F.sum("_c").over(running))
+                     .filter((F.col("_need") >= start) & (F.col("_need") < F.col("_upto")))
+                     .select(*groups, "_cell", (F.col("_need") - start).alias("_need")), "cut")
         parent = width
-    marked = _per_group(rows.withColumn("_row_cell", _cell(steps_us[-1])), cut, groups, few, "left")
+    marked = rows.withColumn("_row_cell", _cell(steps_us[-1])).join(cut, groups, "left")
     in_cut = F.coalesce(F.col("_row_cell") == F.col("_cell"), F.lit(False))
     order = Window.partitionBy(*groups, "_row_cell").orderBy("_us", *ties)
     numbered = marked.filter(in_cut).withColumn("is_train", F.row_number().over(order) <= F.col("_need"))

@@ -13,7 +13,7 @@ from seriesforge.operators import (
     asof, explain as EX, features as FT, forecast as FC, insights as IN, lookups as LK, matrix as MX,
     models as MD, quality as QL, selection as SL, sequences as SQ, trees as TR)
 from seriesforge.plans import pipelines as PL
-from seriesforge.session import fresh_path, materialize
+from seriesforge.session import fresh_path, materialize, settle
 from seriesforge.sources import adapters as AD, landing as LA, registry as RG
 from seriesforge.sources.tables import KeyedTable
 from seriesforge.streaming import streams as ST
@@ -423,13 +423,13 @@ def time_split(spark, sf_dir):
 @query
 def minmax_scale(spark, sf_dir):
     rows = _readings(spark, sf_dir)
-    return _rounded(SQ.scale(rows, SQ.fit_scalers(rows), "aqi", "scaled").select("ingest_seq", "scaled"), 9)
+    return _rounded(SQ.scale(rows, settle(SQ.fit_scalers(rows)), "aqi", "scaled").select("ingest_seq", "scaled"), 9)
 
 
 @query
 def inverse_scale(spark, sf_dir):
     rows = _readings(spark, sf_dir)
-    scalers = SQ.fit_scalers(rows)
+    scalers = settle(SQ.fit_scalers(rows))
     back = SQ.unscale(SQ.scale(rows, scalers, "aqi", "scaled"), scalers, "scaled", "restored")
     return _rounded(back.select("ingest_seq", "restored"))
 
@@ -496,7 +496,8 @@ def best_model(spark, sf_dir):
 
 
 def _features_table(spark, sf_dir):
-    return FT.engineer_features(_raw_wide(spark, sf_dir))
+    """Training reads stored features, so they are written once here."""
+    return materialize(FT.engineer_features(_raw_wide(spark, sf_dir)), "features")
 
 
 def _small(spark, sf_dir) -> PL.Trained:
@@ -509,7 +510,7 @@ def model_comparison(spark, sf_dir):
 
 
 def _prepared(spark, sf_dir):
-    table = materialize(_features_table(spark, sf_dir), "features")
+    table = _features_table(spark, sf_dir)
     fitted = MX.fit_features(table)
     return table, fitted, MX.assemble(MX.transform_features(table, fitted), fitted.columns)
 
@@ -569,7 +570,7 @@ def recursive_forecast_trees(spark, sf_dir):
 def sequence_forecast(spark, sf_dir):
     clean = _clean(spark, sf_dir)
     seeds = SQ.seed_windows(IN.recent_history(clean))
-    steps = FC.sequence_steps(seeds, SQ.fit_scalers(clean), SEQ_WEIGHTS, SEQ_INTERCEPT, SEQ_CITY)
+    steps = FC.sequence_steps(seeds, settle(SQ.fit_scalers(clean)), SEQ_WEIGHTS, SEQ_INTERCEPT, SEQ_CITY)
     return _rounded(steps.select("city", "step", "value"))
 
 

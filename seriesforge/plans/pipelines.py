@@ -12,7 +12,7 @@ from seriesforge.operators import explain as E, forecast as FC, insights, matrix
 from seriesforge.operators import sequence_models as SM, sequences as SQ, trees as TR
 from seriesforge.operators.features import engineer_features
 from seriesforge.operators.quality import clean_series, coerce_numeric, keep_last
-from seriesforge.session import materialize
+from seriesforge.session import materialize, settle
 from seriesforge.sources import landing
 from seriesforge.sources.registry import ModelRegistry, guard_leakage
 from seriesforge.sources.tables import KeyedTable
@@ -125,7 +125,7 @@ def forecast_all(raw: DataFrame, registry: ModelRegistry, choice: str | None = N
         weights = SM.SequenceWeights.of(registry.load(row), sorted(
             c.removeprefix("city_") for c in row["feature_columns"] if c.startswith("city_")))
         clean = clean_series(raw)
-        scalers = SQ.fit_scalers(clean)
+        scalers = settle(SQ.fit_scalers(clean), "scalers")
         seeds = SQ.seed_windows(insights.recent_history(clean))
         return FC.sequence_forecast(seeds, scalers, weights.weights, weights.intercept, weights.city_weights, horizon)
     return forecast_with(row["kind"], predictor_of(registry, row), row["medians"], raw, horizon)
@@ -150,12 +150,12 @@ def train_sequences(raw: DataFrame, length: int = C.SEQUENCE_LENGTH, test_fracti
     them on readings before each city's first test target.
     """
     clean = clean_series(raw)
-    scalers = SQ.fit_scalers(clean)
+    scalers = settle(SQ.fit_scalers(clean), "scalers")
     if scaler_fit == "train":
         probe = SQ.split_sequences(SQ.build_sequences(clean, length), test_fraction)
-        first_test = probe.filter("NOT is_train").groupBy("city").agg(F.min("target_ts").alias("_cut"))
-        scalers = SQ.fit_scalers(clean.join(first_test, "city", "left").filter(
-            F.col("_cut").isNull() | (F.col("timestamp") < F.col("_cut"))))
+        first_test = settle(probe.filter("NOT is_train").groupBy("city").agg(F.min("target_ts").alias("_cut")))
+        scalers = settle(SQ.fit_scalers(clean.join(first_test, "city", "left").filter(
+            F.col("_cut").isNull() | (F.col("timestamp") < F.col("_cut")))), "scalers")
     scaled = SQ.scale(clean, scalers, "aqi", "aqi")
     split = materialize(SQ.split_sequences(SQ.build_sequences(scaled, length), test_fraction), "sequences")
     cities = M.seen_cities(clean)

@@ -49,3 +49,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(groups: DataFrame, label: str = "groups") -> DataFrame:
+    """Materialise a one-row-per-group table before it is joined back to the rows it came from.
+
+    As a written table its true size is known when the join is planned: a small one is
+    broadcast and the rows stay where they are, a large one gets a shuffle join that adaptive
+    execution can split at hot keys. An aggregate inside the plan would be guessed as large
+    as its input and always shuffle the rows.
+    """
+    return materialize(groups, label)
