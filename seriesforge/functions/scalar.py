@@ -21,17 +21,31 @@ def resolve_index(raw_index: Column, pm25: Column) -> Column:
     return F.coalesce(F.when(~text.isin("-", ""), to_double(text)), to_double(pm25))
 
 
-def pm25_index(pm25: Column) -> Column:
-    """EPA piecewise-linear index, one decimal. Values between two segments stay null.
+def pm25_segment_value(pm25: Column) -> Column:
+    """Unrounded piecewise-linear index; null below zero, unreadable, or between two segments.
 
     A generated CASE expression: stays in whole-stage codegen, no range join.
     """
-    conc = to_double(pm25)
-    out = F.when(conc < 0, F.lit(None).cast("double"))
+    conc = pm25.try_cast("double")
+    top = C.PM25_BREAKPOINTS[-1][1]
+    out = F.when((conc > top) & ~F.isnan(conc), C.PM25_OVER_RANGE_INDEX)
     for lo, hi, index_lo, index_hi in C.PM25_BREAKPOINTS:
         slope = (index_hi - index_lo) / (hi - lo)
-        out = out.when(conc.between(lo, hi), half_even_tenths(F.lit(slope) * (conc - lo) + index_lo))
-    return out.when(conc > C.PM25_BREAKPOINTS[-1][1], C.PM25_OVER_RANGE_INDEX)
+        out = out.when(conc.between(lo, hi), F.lit(slope) * (conc - lo) + index_lo)
+    return out
+
+
+def has_index(pm25: Column) -> Column:
+    """Does the concentration have an index at all? Cheaper to push down than the index itself."""
+    conc = pm25.try_cast("double")
+    segments = [conc.between(lo, hi) for lo, hi, *_ in C.PM25_BREAKPOINTS]
+    over = (conc > C.PM25_BREAKPOINTS[-1][1]) & ~F.isnan(conc)
+    return F.coalesce(reduce(Column.__or__, segments, over), F.lit(False))
+
+
+def pm25_index(pm25: Column) -> Column:
+    """EPA index with one decimal. ``lookups.with_pm25_index`` is the cheaper two-step form."""
+    return half_even_tenths(pm25_segment_value(pm25))
 
 
 def forecast_category(index: Column) -> Column:
@@ -91,11 +105,8 @@ def half_even_tenths(col: Column) -> Column:
     """
     m = F.bround(col * 20, 0)
     side = (col * 16 - m) + col * 4
-    down, up = (m - 1) / 2, (m + 1) / 2
-    odd = F.pmod(m, F.lit(2.0)) == 1
-    even_one = F.when(F.pmod(down, F.lit(2.0)) == 0, down).otherwise(up)
-    tenths = F.when(~odd, m / 2).when(side < 0, down).when(side > 0, up).otherwise(even_one)
-    return tenths / 10
+    # An even m is a whole number of tenths and stays; an odd one is a tie that ``side`` breaks.
+    return F.bround(m / 2 + F.signum(side) / 4, 0) / 10
 
 
 def clamp(col: Column, low: float | None = None, high: float | None = None) -> Column:

@@ -75,8 +75,38 @@ def forecast_inputs(clean: DataFrame, cfg: FeatureConfig = _CFG, spec: SeriesSpe
     return newest.join(packed, key, "left").select(F.col(key).alias("city"), "last_us", "last_v", *arrays)
 
 
-def step_features(k: Column, predicted: Column, cfg: FeatureConfig = _CFG) -> dict[str, Column]:
-    """The feature row of step ``k`` given the forecasts of steps 1..k-1, before median fill.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: a one-element transform acts as a let."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _moments(values: Column) -> Column:
+    """Count, mean and sum of squared deviations of an array in one pass."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(a: Column, x: Column) -> Column:
+        n = a["n"] + 1
+        mean = a["mean"] + (x - a["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2"))
+
+    return F.aggregate(values, start, add)
+
+
+def _step_state(k: Column, predicted: Column, cfg: FeatureConfig) -> Column:
+    """Everything step ``k`` needs from the forecasts of steps 1..k-1 and the measured arrays."""
+    parts = [F.when(k == 1, F.col("last_v")).otherwise(F.get(predicted, k - 2)).alias("newest")]
+    for lag in cfg.lag_hours:
+        parts.append(F.when(k <= lag, F.get(F.col(f"lag_{lag}"), k - 1)).otherwise(
+            F.get(predicted, k - lag - 1)).alias(f"lag_{lag}"))
+    for w in cfg.rolling_hours:
+        inside = F.slice(predicted, F.greatest(F.lit(1), k - w + 1), F.least(F.lit(w - 1), k - 1))
+        measured = [F.get(F.col(f"{name}_{w}"), k - 1).alias(name) for name in ("n", "mean", "m2")]
+        parts += [F.struct(*measured).alias(f"old_{w}"), _moments(inside).alias(f"new_{w}")]
+    return F.struct(*parts)
+
+
+def _feature_row(k: Column, state: Column, cfg: FeatureConfig) -> dict[str, Column]:
+    """The feature row of step ``k`` before median fill.
 
     Serving differs from training on purpose: population deviation, a window without the value
     to be forecast, and a change rate from the newest value against the one-hour lag.
@@ -85,22 +115,15 @@ def step_features(k: Column, predicted: Column, cfg: FeatureConfig = _CFG) -> di
     row = {name: c.cast("double") for name, c in times.calendar(at).items()}
     row["is_stale"] = F.lit(0.0)
     for lag in cfg.lag_hours:
-        row[f"lag_{lag}h_aqi"] = F.when(k <= lag, F.get(F.col(f"lag_{lag}"), k - 1)).otherwise(
-            F.get(predicted, k - lag - 1))
+        row[f"lag_{lag}h_aqi"] = state[f"lag_{lag}"]
     for w in cfg.rolling_hours:
-        inside = F.slice(predicted, F.greatest(F.lit(1), k - w + 1), F.least(F.lit(w - 1), k - 1))
-        n2 = F.size(inside)
-        total = F.aggregate(inside, F.lit(0.0), lambda a, x: a + x)
-        mean2 = total / F.nullif(n2, F.lit(0))
-        m22 = F.aggregate(inside, F.lit(0.0), lambda a, x: a + (x - mean2) * (x - mean2))
-        n1 = F.coalesce(F.get(F.col(f"n_{w}"), k - 1), F.lit(0).cast("bigint"))
-        n, mean, m2 = merged_moments(n1, F.get(F.col(f"mean_{w}"), k - 1), F.get(F.col(f"m2_{w}"), k - 1),
-                                     n2, mean2, m22)
-        row[f"rolling_{w}h_mean_aqi"] = mean
+        old, new = state[f"old_{w}"], state[f"new_{w}"]
+        n, mean, m2 = merged_moments(F.coalesce(old["n"], F.lit(0).cast("bigint")), old["mean"], old["m2"],
+                                     new["n"], new["mean"], new["m2"])
+        row[f"rolling_{w}h_mean_aqi"] = F.when(n > 0, mean)
         row[f"rolling_{w}h_std_aqi"] = F.when(n > 1, F.sqrt(m2 / n))
-    newest = F.when(k == 1, F.col("last_v")).otherwise(F.get(predicted, k - 2))
-    before = row["lag_1h_aqi"] if "lag_1h_aqi" in row else F.lit(None).cast("double")
-    row["aqi_change_rate"] = (newest - before) / F.nullif(before, F.lit(0.0))
+    before = state[f"lag_{1}"] if 1 in cfg.lag_hours else F.lit(None).cast("double")
+    row["aqi_change_rate"] = (state["newest"] - before) / F.nullif(before, F.lit(0.0))
     return row
 
 
@@ -118,9 +141,20 @@ def next_hour_features(inputs: DataFrame, columns, medians: dict[str, float],
                        cfg: FeatureConfig = _CFG) -> DataFrame:
     """The exact model input of the first forecast hour, one column per feature."""
     none_yet = F.array().cast("array<double>")
-    row = filled_row(step_features(F.lit(1), none_yet, cfg), columns, medians)
+    staged = inputs.withColumn("_state", _step_state(F.lit(1), none_yet, cfg))
+    row = filled_row(_feature_row(F.lit(1), F.col("_state"), cfg), columns, medians)
     at = times.from_micros(F.col("last_us") + HOUR_US)
-    return inputs.select("city", at.alias("timestamp"), *[c.alias(n) for n, c in row.items()])
+    return staged.select("city", at.alias("timestamp"), *[c.alias(n) for n, c in row.items()])
+
+
+def _spread(inputs: DataFrame) -> DataFrame:
+    """A row is small but costs a whole recursion, so rows are dealt out over all cores.
+
+    Partition sizes in bytes would put every series into a few tasks.
+    """
+    spark = inputs.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return inputs.repartition(width, "city")
 
 
 def _presented(steps: DataFrame) -> DataFrame:
@@ -136,9 +170,12 @@ def recursive_linear_steps(inputs: DataFrame, weights: LinearWeights, medians: d
                            horizon: int = FORECAST_HORIZON, cfg: FeatureConfig = _CFG) -> DataFrame:
     """Unrounded forecasts of a linear model: one fold over the steps, no Python in the tasks."""
     def advance(predicted: Column, k: Column) -> Column:
-        row = filled_row(step_features(k, predicted, cfg), weights.columns, medians)
-        return F.concat(predicted, F.array(F.greatest(weights.predict(row), F.lit(0.0))))
+        def score(state: Column) -> Column:
+            return weights.predict(filled_row(_feature_row(k, state, cfg), weights.columns, medians))
+        value = _bound(_step_state(k, predicted, cfg), score)
+        return F.concat(predicted, F.array(F.greatest(value, F.lit(0.0))))
 
+    inputs = _spread(inputs)
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.array().cast("array<double>"), advance)
     return (inputs.select("city", "last_us", F.posexplode(path).alias("_p", "value"))
             .withColumn("step", (F.col("_p") + 1).cast("int")).drop("_p"))
@@ -206,7 +243,7 @@ def recursive_batch_steps(inputs: DataFrame, predict, columns, medians: dict[str
                 "value": predicted.ravel(),
                 "step": np.tile(np.arange(1, horizon + 1, dtype="int32"), len(batch))})
 
-    return inputs.mapInPandas(run, "city string, last_us bigint, value double, step int")
+    return _spread(inputs).mapInPandas(run, "city string, last_us bigint, value double, step int")
 
 
 def recursive_forecast_trees(inputs: DataFrame, nodes: TreeNodes, medians: dict[str, float],

@@ -18,6 +18,16 @@ def merge_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
             .drop(*[f"_{c}" for c in names]))
 
 
+def with_pm25_index(df: DataFrame, pm25: str = "pm25", name: str = "aqi") -> DataFrame:
+    """Index of a PM2.5 column, in two projections so that rounding reads a computed value.
+
+    As one expression the CASE would be generated once per use in the rounding, which grows
+    the generated method beyond what the JIT compiles.
+    """
+    linear = df.withColumn("_linear", scalar.pm25_segment_value(F.col(pm25)))
+    return linear.withColumn(name, scalar.half_even_tenths(F.col("_linear"))).drop("_linear")
+
+
 def range_lookup_index(df: DataFrame, pm25: str = "pm25", name: str = "index") -> DataFrame:
     """Table-driven index conversion: the breakpoint row whose closed range holds the value.
 
@@ -29,9 +39,10 @@ def range_lookup_index(df: DataFrame, pm25: str = "pm25", name: str = "index") -
     hit = df.join(F.broadcast(points), value.between(F.col("conc_low"), F.col("conc_high")), "left")
     slope = (F.col("index_high") - F.col("index_low")) / (F.col("conc_high") - F.col("conc_low"))
     top = C.PM25_BREAKPOINTS[-1][1]
-    index = (F.when(value > top, C.PM25_OVER_RANGE_INDEX)
-             .otherwise(scalar.half_even_tenths(slope * (value - F.col("conc_low")) + F.col("index_low"))))
-    return hit.withColumn(name, index).select(*df.columns, "segment", name)
+    linear = F.when(value > top, C.PM25_OVER_RANGE_INDEX).otherwise(
+        slope * (value - F.col("conc_low")) + F.col("index_low"))
+    return (hit.withColumn("_linear", linear).withColumn(name, scalar.half_even_tenths(F.col("_linear")))
+            .select(*df.columns, "segment", name))
 
 
 def category_attributes(df: DataFrame, index: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from seriesforge.config import SeriesSpec
 from seriesforge.functions import scalar, times
@@ -30,14 +30,12 @@ def drop_incomplete(df: DataFrame, *columns: str) -> DataFrame:
 def keep_last(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
     """One row per (key, time): the one that came last in input order.
 
-    A grouped ``max_by`` rather than a ranking window, so that a pile of copies of one
-    reading is already reduced on the map side and never sorted in a single task.
+    The rank filter is planned as a group limit on both sides of the exchange: every map task
+    keeps one row per (key, time), so a pile of copies of one reading never meets in one task.
     """
-    keys = [spec.key, spec.ts]
-    rest = [c for c in df.columns if c not in keys]
-    latest = F.max_by(F.struct(*rest), F.col(spec.seq)).alias("_latest")
-    return (df.dropna(subset=[spec.ts]).groupBy(*keys).agg(latest)
-            .select(*[F.col(c) if c in keys else F.col(f"_latest.{c}").alias(c) for c in df.columns]))
+    latest = Window.partitionBy(spec.key, spec.ts).orderBy(F.col(spec.seq).desc())
+    return (df.dropna(subset=[spec.ts]).withColumn("_rank", F.row_number().over(latest))
+            .filter(F.col("_rank") == 1).drop("_rank"))
 
 
 def clean_series(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:

@@ -87,7 +87,7 @@ def time_features(spark, sf_dir):
 
 @query
 def pm25_to_aqi(spark, sf_dir):
-    return _readings(spark, sf_dir).select("ingest_seq", "pm25", scalar.pm25_index(F.col("pm25")).alias("index"))
+    return LK.with_pm25_index(_readings(spark, sf_dir).select("ingest_seq", "pm25"), "pm25", "index")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge import config as C, schema as S
 from seriesforge.config import FeatureConfig, ModelConfig, SeriesSpec
+from seriesforge.functions import scalar
 from seriesforge.operators import explain as E, forecast as FC, insights, matrix as M, models as MD
 from seriesforge.operators import sequence_models as SM, sequences as SQ, trees as TR
 from seriesforge.operators.features import engineer_features
@@ -51,8 +52,8 @@ def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTab
 
 def backfill_readings(history: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
     """History documents of all cities as clean raw readings."""
-    rows = landing.backfill_rows(landing.explode_history(history, start, end))
-    rows = rows.withColumn("ingest_seq", F.col("poll_id")).dropna(subset=["timestamp", "aqi"])
+    entries = landing.explode_history(history, start, end).filter(scalar.has_index(F.col("pm25")))
+    rows = landing.backfill_rows(entries).withColumn("ingest_seq", F.col("poll_id"))
     return keep_last(to_raw_schema(rows))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from seriesforge import config as C, schema as S
 from seriesforge.functions import scalar, times
-from seriesforge.operators.lookups import merge_weather
+from seriesforge.operators.lookups import merge_weather, with_pm25_index
 from seriesforge.operators.quality import flag_stale, flag_station
 
 _META = ["city", "poll_id", "ingested_at"]
@@ -78,8 +78,7 @@ def explode_history(history: DataFrame, start: Column | None = None, end: Column
 def backfill_rows(history: DataFrame) -> DataFrame:
     """History entries as raw readings: index from PM2.5, constants, no weather."""
     empty = [*C.WEATHER, *C.INLINE_WEATHER]
-    return history.withColumns({
-        "aqi": scalar.pm25_index(F.col("pm25")),
+    return with_pm25_index(history).withColumns({
         "dominant_pollutant": F.lit("pm25"),
         "matched_station": F.concat(F.col("city"), F.lit(" (OpenWeather historical)")),
         "is_stale": F.lit(False),
