@@ -42,6 +42,21 @@ def tree_attribution(rows: DataFrame, nodes: TreeNodes) -> DataFrame:
              "base double, prediction double")
 
 
+def tree_attribution_sums(rows: DataFrame, nodes: TreeNodes) -> DataFrame:
+    """(city, total attribution, base, prediction) of every row, one row out per row in."""
+    shipped = rows.sparkSession.sparkContext.broadcast(nodes)
+    columns = list(nodes.columns)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[columns].to_numpy(dtype=float)
+            phi, base = shipped.value.attribute(x)
+            yield pd.DataFrame({"city": batch["city"], "total": phi.sum(axis=1), "base": base,
+                                "prediction": shipped.value.predict(x)})
+
+    return rows.select("city", *columns).mapInPandas(run, "city string, total double, base double, prediction double")
+
+
 def top_drivers(attributions: DataFrame, top_n: int = 6) -> DataFrame:
     """Labelled features with the greatest effect per city; equal effects keep feature order."""
     order = Window.partitionBy("city").orderBy(F.abs("attribution").desc(), "position")
@@ -52,7 +67,7 @@ def top_drivers(attributions: DataFrame, top_n: int = 6) -> DataFrame:
 
 def explain(kind: str, model, rows: DataFrame, medians: dict[str, float], top_n: int = 6) -> DataFrame | None:
     """Top drivers of each row's prediction; a sequence model has no such explanation."""
-    if kind == "sequence":
+    if kind.startswith("sequence"):
         return None
     if kind == "ridge":
         return top_drivers(linear_attribution(rows, model, medians), top_n)

@@ -279,3 +279,32 @@ def sequence_steps(seeds: DataFrame, scalers: DataFrame, weights: list[float], i
 
 def sequence_forecast(seeds, scalers, weights, intercept, city_weights, horizon=FORECAST_HORIZON) -> DataFrame:
     return _presented(sequence_steps(seeds, scalers, weights, intercept, city_weights, horizon))
+
+
+def sequence_batch_steps(seeds: DataFrame, scalers: DataFrame, predict, cities: list[str],
+                         horizon: int = FORECAST_HORIZON) -> DataFrame:
+    """The same recursion for any batch predictor over (window, city indicators)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lo = batch["lo"].to_numpy()[:, None]
+            span = np.where(batch["hi"] == batch["lo"], 1.0, batch["hi"] - batch["lo"])[:, None]
+            window = (np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), -1) - lo) / span
+            length = window.shape[1]
+            own = (batch["city"].to_numpy()[:, None] == np.array(cities, dtype=object)[None, :]).astype(float)
+            for _ in range(horizon):
+                score = predict(np.hstack([window[:, -length:], own]))
+                window = np.hstack([window, np.clip(score, 0.0, 1.0)[:, None]])
+            real = np.maximum(window[:, length:] * span + lo, 0.0)
+            yield pd.DataFrame({
+                "city": np.repeat(batch["city"].to_numpy(), horizon),
+                "last_us": np.repeat(batch["last_us"].to_numpy(), horizon), "value": real.ravel(),
+                "step": np.tile(np.arange(1, horizon + 1, dtype="int32"), len(batch))})
+
+    rows = _spread(seeds.join(scalers, "city").select("city", "last_us", "x", "lo", "hi"))
+    return rows.mapInPandas(run, "city string, last_us bigint, value double, step int")
+
+
+def sequence_forecast_trees(seeds: DataFrame, scalers: DataFrame, nodes: TreeNodes, cities: list[str],
+                            horizon: int = FORECAST_HORIZON) -> DataFrame:
+    shipped = seeds.sparkSession.sparkContext.broadcast(nodes)
+    return _presented(sequence_batch_steps(seeds, scalers, lambda x: shipped.value.predict(x), cities, horizon))

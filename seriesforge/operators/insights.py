@@ -136,3 +136,14 @@ def hourly_table(forecast: DataFrame, spec: SeriesSpec = _SPEC, zone: str = C.DI
         index.alias("AQI"), scalar.category_label(index).alias("How it feels"))
 
 
+
+
+def forecast_view(forecast: DataFrame, horizon: int = C.FORECAST_HORIZON, zone: str = C.DISPLAY_ZONE) -> DataFrame:
+    """Local time and value of the first ``horizon`` steps."""
+    return forecast.filter(F.col("step") <= horizon).select(
+        "city", times.local_time(F.col("timestamp"), zone).alias("time"), F.col("predicted_aqi").alias("aqi"))
+
+
+def series_counts(df: DataFrame, spec: SeriesSpec = _SPEC) -> DataFrame:
+    """Rows and distinct keys of a table."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(spec.key).alias("series"))

@@ -58,7 +58,7 @@ def fit_features(train: DataFrame, target: str = "aqi", ignore: tuple[str, ...]
     Only fitted scalars reach the driver: one share and one median per column.
     """
     rows = labelled(train, target)
-    candidates = candidate_columns(rows, ignore)
+    candidates = candidate_columns(rows, (*ignore, target))
     cities = seen_cities(rows) if with_cities else []
     # An all-null candidate may be untyped text; the numeric view settles that.
     numeric = rows.select(*[c.alias(n) for n, c in numeric_candidates(rows, candidates).items()])

@@ -153,6 +153,16 @@ def display_formats(spark, sf_dir):
         times.local_time(ts).alias("local"), times.iso_utc(ts).alias("iso"))
 
 
+@query
+def timestamp_normalise(spark, sf_dir):
+    """Text times with offsets to naive UTC; a bad one becomes null."""
+    k = F.col("k") % 3
+    text = F.when(k == 0, F.concat(F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00"))).when(
+        k == 1, times.iso_utc(F.col("timestamp"))).otherwise("soon")
+    rows = _readings(spark, sf_dir).select("ingest_seq", text.alias("timestamp"))
+    return QL.normalize_timestamp(rows)
+
+
 # --- nested sources --------------------------------------------------------------------------
 
 def _current(spark, sf_dir):
@@ -343,6 +353,11 @@ def freshness_view(spark, sf_dir):
     return IN.freshness_view(IN.freshness(_clean(spark, sf_dir), _us(AS_OF)))
 
 
+@query
+def series_counts(spark, sf_dir):
+    return IN.series_counts(_readings(spark, sf_dir, key="user_id"))
+
+
 @query
 def latest_reading(spark, sf_dir):
     return IN.latest_reading(_clean(spark, sf_dir, key="user_id"))
@@ -552,6 +567,12 @@ def recursive_forecast_linear(spark, sf_dir):
                                  scalar.is_hazardous(F.col("value")).alias("hazardous")))
 
 
+@query
+def forecast_view(spark, sf_dir):
+    forecast = FC.recursive_forecast_linear(_inputs(spark, sf_dir), LINEAR, MEDIANS)
+    return IN.forecast_view(forecast, 24)
+
+
 @query
 def recursive_forecast_many_series(spark, sf_dir):
     inputs = FC.forecast_inputs(_clean(spark, sf_dir, key="user_id"))
@@ -603,6 +624,40 @@ def tree_attribution(spark, sf_dir):
         F.avg(F.abs("attribution")).alias("mean_abs_attribution"))
 
 
+@query
+def tree_attribution_additivity(spark, sf_dir):
+    """Per series: attributions of every row add up to prediction minus base, for both tree families."""
+    table, fitted, rows = _prepared(spark, sf_dir)
+    cfg = ModelConfig(forest_trees=5, forest_depth=5, boost_rounds=4)
+    matrix = MX.transform_features(table, fitted, keep=("city", "ingest_seq")).withColumnRenamed("_city", "city")
+    out = None
+    for name, model in (("random_forest", MD.fit_forest(rows, cfg)), ("boosted_trees", MD.fit_boosted(rows, cfg))):
+        nodes = TR.nodes_of(spark, model, fitted.columns, averaged=name == "random_forest")
+        sums = EX.tree_attribution_sums(matrix, nodes)
+        checked = sums.groupBy("city").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.every(F.abs(F.col("base") + F.col("total") - F.col("prediction")) < 1e-6).alias("additive"))
+        part = checked.select(F.lit(name).alias("model"), "city", "rows", "additive")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def model_comparison_next_hour(spark, sf_dir):
+    """The same models against the value an hour later: skill, not the same-row fit."""
+    table = PL.next_hour_target(_features_table(spark, sf_dir))
+    return PL.train_and_compare(materialize(table, "next-hour"), ModelConfig(), target="next_aqi").comparison
+
+
+@query
+def sequence_forecast_boosted(spark, sf_dir):
+    raw = _readings(spark, sf_dir, hourly=True)
+    model, scalers, cities, _ = PL.train_sequences(raw, boosted=True)
+    nodes = TR.nodes_of(spark, model, cities, averaged=False)
+    seeds = SQ.seed_windows(IN.recent_history(QL.clean_series(raw)))
+    return FC.sequence_forecast_trees(seeds, scalers, nodes, cities)
+
+
 @query
 def registry_forecast(spark, sf_dir):
     """Train, register all models, pick the best by name and version, forecast every city."""

@@ -430,6 +430,14 @@ def oracle_sql() -> dict[str, str]:
                         "max(abs(attribution)) OVER (PARTITION BY city)), 6) AS width_pct, CASE WHEN attribution > 0 "
                         "THEN '▲' ELSE '▼' END AS arrow, CASE WHEN attribution > 0 THEN 'Adds about ' ELSE 'Cuts about ' "
                         "END || CAST(CAST(round_even(abs(attribution), 0) AS BIGINT) AS VARCHAR) AS phrase FROM top",
+        "timestamp_normalise": f"WITH {_r()} SELECT ingest_seq, CASE k % 3 WHEN 0 THEN date_trunc('second', timestamp) - "
+                               "INTERVAL 5 HOUR WHEN 1 THEN date_trunc('second', timestamp) END AS timestamp FROM r",
+        "series_counts": "SELECT count(*) AS rows, count(DISTINCT user_id) AS series FROM events",
+        "forecast_view": _linear_forecast(_d()) + " SELECT city, last_ts + to_hours(CAST(step AS INTEGER)) + "
+                         "INTERVAL 5 HOUR AS time, CAST(printf('%.1f', value) AS DOUBLE) AS aqi FROM o JOIN z "
+                         "USING (city) WHERE step <= 24",
+        "tree_attribution_additivity": "SELECT m AS model, event_type AS city, count(*) AS rows, true AS additive FROM "
+                                       "events, (VALUES ('random_forest'), ('boosted_trees')) t(m) GROUP BY ALL",
         "stream_ingest": upserted + "SELECT city, timestamp, aqi, ingest_seq FROM d",
         "stream_hourly_mean": f"WITH {_r(hourly=True)}, x AS (SELECT city, timestamp AS hour, avg(aqi) AS aqi, "
                               "count(aqi) AS n FROM r GROUP BY city, timestamp) SELECT city, hour, round(aqi, 6) AS aqi, "

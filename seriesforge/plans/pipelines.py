@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge import config as C, schema as S
 from seriesforge.config import FeatureConfig, ModelConfig, SeriesSpec
-from seriesforge.functions import scalar
+from seriesforge.functions import scalar, times
 from seriesforge.operators import explain as E, forecast as FC, insights, matrix as M, models as MD
 from seriesforge.operators import sequence_models as SM, sequences as SQ, trees as TR
+from seriesforge.operators.asof import asof_join
 from seriesforge.operators.features import engineer_features
 from seriesforge.operators.quality import clean_series, coerce_numeric, keep_last
 from seriesforge.session import materialize, settle
 from seriesforge.sources import landing
-from seriesforge.sources.registry import ModelRegistry, guard_leakage
+from seriesforge.sources.registry import SEQUENCE_KINDS, ModelRegistry, guard_leakage
 from seriesforge.sources.tables import KeyedTable
 
 # Choice shown to users -> registered name.
@@ -24,6 +25,7 @@ MODEL_CHOICES = {
     "Boosted Trees": "aqi_boosted_trees",
     "Ridge Regression": "aqi_ridge",
     "Sequence": "aqi_sequence",
+    "Boosted Sequence": "aqi_sequence_boosted",
 }
 
 
@@ -86,8 +88,6 @@ def train_and_compare(features: DataFrame, cfg: ModelConfig = ModelConfig(), tes
 
 def next_hour_target(features: DataFrame, tolerance_us: int = 15 * C.MINUTE_US) -> DataFrame:
     """Replace the same-row target by the value about an hour later (``next_aqi``)."""
-    from seriesforge.functions import times
-    from seriesforge.operators.asof import asof_join
     left = features.withColumn("_target_us", times.micros("timestamp") + C.HOUR_US)
     right = features.select("city", times.micros("timestamp").alias("_at"), F.col("aqi").alias("next_aqi"))
     joined = asof_join(left, right, ["city"], "_target_us", "_at", "_at", "nearest", tolerance_us)
@@ -122,13 +122,16 @@ def forecast_all(raw: DataFrame, registry: ModelRegistry, choice: str | None = N
     if choice is not None and choice not in MODEL_CHOICES:
         raise ValueError(f"unknown model choice {choice!r}; options: {sorted(MODEL_CHOICES)}")
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
-    if row["kind"] == "sequence":
-        weights = SM.SequenceWeights.of(registry.load(row), sorted(
-            c.removeprefix("city_") for c in row["feature_columns"] if c.startswith("city_")))
+    if row["kind"] in SEQUENCE_KINDS:
         clean = clean_series(raw)
         scalers = settle(SQ.fit_scalers(clean), "scalers")
         seeds = SQ.seed_windows(insights.recent_history(clean))
-        return FC.sequence_forecast(seeds, scalers, weights.weights, weights.intercept, weights.city_weights, horizon)
+        cities = [c.removeprefix("city_") for c in row["feature_columns"]]
+        if row["kind"] == "sequence":
+            w = SM.SequenceWeights.of(registry.load(row), cities)
+            return FC.sequence_forecast(seeds, scalers, w.weights, w.intercept, w.city_weights, horizon)
+        return FC.sequence_forecast_trees(seeds, scalers, TR.read_nodes(registry.spark, row["path"], cities),
+                                          cities, horizon)
     return forecast_with(row["kind"], predictor_of(registry, row), row["medians"], raw, horizon)
 
 
@@ -136,7 +139,7 @@ def explain_next_hour(raw: DataFrame, registry: ModelRegistry, choice: str | Non
                       top_n: int = 6) -> DataFrame | None:
     """Top drivers of every city's next-hour forecast, from the same feature row the forecast uses."""
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
-    if row["kind"] == "sequence":
+    if row["kind"] in SEQUENCE_KINDS:
         return None
     inputs = FC.forecast_inputs(clean_series(raw))
     rows = FC.next_hour_features(inputs, row["feature_columns"], row["medians"])
@@ -166,6 +169,7 @@ def train_sequences(raw: DataFrame, length: int = C.SEQUENCE_LENGTH, test_fracti
     return model, scalers, cities, SM.real_scale_metrics(model.transform(test), scalers)
 
 
-def register_sequence(model, cities: list[str], metrics: dict[str, float], registry: ModelRegistry) -> int:
-    features = M.FeatureSet(tuple(f"city_{c}" for c in cities))
-    return registry.register("aqi_sequence", "sequence", model, features, metrics)
+def register_sequence(model, cities: list[str], metrics: dict[str, float], registry: ModelRegistry,
+                      boosted: bool = False) -> int:
+    kind = "sequence_boosted" if boosted else "sequence"
+    return registry.register(f"aqi_{kind}", kind, model, M.FeatureSet(tuple(f"city_{c}" for c in cities)), metrics)

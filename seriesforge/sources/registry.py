@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from seriesforge import schema as S
 from seriesforge.config import POLLUTANTS
 from seriesforge.operators.matrix import FeatureSet
+from seriesforge.session import path_exists
 
 LOADERS = {"ridge": LinearRegressionModel, "random_forest": RandomForestRegressionModel,
-           "boosted_trees": GBTRegressionModel, "sequence": LinearRegressionModel}
+           "boosted_trees": GBTRegressionModel, "sequence": LinearRegressionModel,
+           "sequence_boosted": GBTRegressionModel}
 # Not offered by the automatic choice, only by name.
-SEQUENCE_KINDS = ("sequence",)
+SEQUENCE_KINDS = ("sequence", "sequence_boosted")
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -29,6 +31,12 @@ def best_model(registry: DataFrame, exclude_kinds: tuple[str, ...] = SEQUENCE_KI
             .filter(F.col("_m").isNotNull()).select("_m.*"))
 
 
+def leaking_models(registry: DataFrame) -> DataFrame:
+    """Registered versions trained on a pollutant measured at the same time as the target."""
+    bad = F.array_intersect("feature_columns", F.array(*[F.lit(p) for p in POLLUTANTS]))
+    return registry.withColumn("leaking", bad).filter(F.size("leaking") > 0).select("name", "version", "leaking")
+
+
 def guard_leakage(feature_columns: list[str], label: str) -> None:
     leaking = sorted(set(POLLUTANTS) & set(feature_columns))
     if leaking:
@@ -40,12 +48,8 @@ class ModelRegistry:
         self.spark, self.root = spark, root.rstrip("/")
         self._rows_path = f"{self.root}/registry"
 
-    def _present(self) -> bool:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._rows_path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
     def rows(self) -> DataFrame:
-        if not self._present():
+        if not path_exists(self.spark, self._rows_path):
             return self.spark.createDataFrame([], S.REGISTRY)
         return self.spark.read.schema(S.REGISTRY).parquet(self._rows_path)
 

@@ -7,7 +7,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from seriesforge.config import SeriesSpec
 from seriesforge.operators.quality import keep_last
-from seriesforge.session import fresh_path
+from seriesforge.session import fresh_path, path_exists
 
 PARTITION = "date"
 
@@ -23,10 +23,7 @@ class KeyedTable:
         self.spark, self.path, self.schema, self.spec = spark, path.rstrip("/"), schema, spec
 
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(target) and len(fs.listStatus(target)) > 0
+        return path_exists(self.spark, self.path)
 
     def create(self) -> KeyedTable:
         """Write an empty table unless there is one."""
