@@ -11,6 +11,7 @@ from seriesforge.operators import buckets as B
 from seriesforge.operators.quality import keep_last
 
 _FIRST = Window.unboundedPreceding
+_MOMENTS = ("n", "mean", "m2")
 
 
 def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -22,16 +23,15 @@ def _nearest(asc: WindowSpec, desc: WindowSpec, lag_us: int, tolerance_us: int)
 
     Both sides use frames that only ever grow, so each row costs the same however dense the
     series is: ascending order finds the last row at or before the target, descending order
-    the last row (in that order) at or after it.
+    the last row (in that order) at or after it. Time and value are looked up as two plain
+    columns of one frame; a struct would be copied on every update.
     """
-    point = F.struct(F.col(B.US).alias("us"), F.col("_v").alias("v"))
-    before = F.last(point).over(asc.rangeBetween(_FIRST, -lag_us))
-    after = F.last(point).over(desc.rangeBetween(_FIRST, lag_us))
+    back, ahead = asc.rangeBetween(_FIRST, -lag_us), desc.rangeBetween(_FIRST, lag_us)
     target = F.col(B.US) - lag_us
-    gap_before, gap_after = target - before["us"], after["us"] - target
+    gap_before, gap_after = target - F.last(B.US).over(back), F.last(B.US).over(ahead) - target
     take_before = (gap_before <= tolerance_us) & (gap_before <= gap_after)
-    return (F.when(take_before, before["v"])
-            .when(gap_after <= tolerance_us, after["v"]))
+    return (F.when(take_before, F.last("_v").over(back))
+            .when(gap_after <= tolerance_us, F.last("_v").over(ahead)))
 
 
 def merged_moments(n1: Column, mean1: Column, m21: Column, n2: Column, mean2: Column, m22: Column):
@@ -52,19 +52,24 @@ def _block_moments(df: DataFrame, part: list[str], hours: int) -> DataFrame:
     """
     block, v = f"_block_{hours}", F.col("_v")
     df = df.withColumn(block, B.bucket_of(F.col(B.US), hours * HOUR_US))
-    for name, order in ((f"_head_{hours}", F.col(B.US)), (f"_tail_{hours}", F.col(B.US).desc())):
+    for side, order in (("head", F.col(B.US)), ("tail", F.col(B.US).desc())):
         frame = Window.partitionBy(*part, block).orderBy(order).rowsBetween(_FIRST, 0)
-        n = F.count(v).over(frame)
-        df = df.withColumn(name, F.struct(F.col(block).alias("block"), n.alias("n"),
-                                          F.avg(v).over(frame).alias("mean"),
-                                          (F.var_pop(v).over(frame) * n).alias("m2")))
+        df = df.withColumns({f"_{side}_n_{hours}": F.count(v).over(frame),
+                             f"_{side}_mean_{hours}": F.avg(v).over(frame),
+                             f"_{side}_m2_{hours}": F.var_pop(v).over(frame) * F.count(v).over(frame)})
     return df
 
 
+def _first_in_window(desc: WindowSpec, hours: int) -> dict[str, Column]:
+    """Block and running moments of the oldest reading inside the window."""
+    frame = desc.rangeBetween(_FIRST, hours * HOUR_US - 1)
+    sources = {"block": f"_block_{hours}", **{m: f"_tail_{m}_{hours}" for m in _MOMENTS}}
+    return {f"_first_{name}_{hours}": F.last(column).over(frame) for name, column in sources.items()}
+
+
 def _joined_moments(hours: int, value: str) -> dict[str, Column]:
-    # "first" is the oldest reading inside the window, with the moments of its block from there on.
-    head, first = F.col(f"_head_{hours}"), F.col(f"_first_{hours}")
-    earlier = first["block"] < F.col(f"_block_{hours}")
+    head, first = ({m: F.col(f"_{side}_{m}_{hours}") for m in _MOMENTS} for side in ("head", "first"))
+    earlier = F.col(f"_first_block_{hours}") < F.col(f"_block_{hours}")
     n, mean, m2 = merged_moments(head["n"], head["mean"], head["m2"],
                                  F.when(earlier, first["n"]).otherwise(F.lit(0)), first["mean"], first["m2"])
     return {f"rolling_{hours}h_mean_{value}": mean,
@@ -100,7 +105,7 @@ def _features(df: DataFrame, part: list[str], spec: SeriesSpec, cfg: FeatureConf
         for w in cfg.rolling_hours:
             columns |= _rolling_by_frames(asc, w, spec.value)
     for w in blocks:
-        columns[f"_first_{w}"] = F.last(f"_tail_{w}").over(desc.rangeBetween(_FIRST, w * HOUR_US - 1))
+        columns |= _first_in_window(desc, w)
     df = df.withColumns(columns)
     for w in blocks:
         df = df.withColumns(_joined_moments(w, spec.value))
