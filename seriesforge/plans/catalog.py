@@ -530,18 +530,23 @@ def _prepared(spark, sf_dir):
     return table, fitted, MX.assemble(MX.transform_features(table, fitted), fitted.columns)
 
 
+def _fit_error(spark, sf_dir, name, fit):
+    """In-sample errors of one family; the rows are cached only while it is fitted."""
+    _, _, rows = _prepared(spark, sf_dir)
+    rows.persist()
+    model = fit(rows)
+    rows.unpersist()
+    return MD.error_metrics(MD.predictions_long({name: model}, rows), ["model"])
+
+
 @query
 def forest_eval(spark, sf_dir):
-    _, _, rows = _prepared(spark, sf_dir)
-    rows = rows.persist()
-    return MD.error_metrics(MD.predictions_long({"random_forest": MD.fit_forest(rows)}, rows), ["model"])
+    return _fit_error(spark, sf_dir, "random_forest", MD.fit_forest)
 
 
 @query
 def gbt_eval(spark, sf_dir):
-    _, _, rows = _prepared(spark, sf_dir)
-    rows = rows.persist()
-    return MD.error_metrics(MD.predictions_long({"boosted_trees": MD.fit_boosted(rows)}, rows), ["model"])
+    return _fit_error(spark, sf_dir, "boosted_trees", MD.fit_boosted)
 
 
 @query

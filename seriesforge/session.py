@@ -8,6 +8,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folders of local sessions; removed when the process ends.
+_LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
     """Session for tests and the bench; a cluster job brings its own."""
@@ -36,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="seriesforge-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.TemporaryDirectory(prefix="seriesforge-", ignore_cleanup_errors=True)
+    return _LOCAL_DIRS[app].name
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

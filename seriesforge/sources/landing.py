@@ -58,8 +58,7 @@ def snapshot(current: DataFrame, weather: DataFrame, as_of_us: Column,
     """Readings of all configured cities in one job: flatten, add weather, flag quality."""
     flat = flatten_current(current)
     if cities is not None:
-        # The configured cities are a small fixed list.
-        flat = flat.join(F.broadcast(cities.select("city")), "city", "left_semi")
+        flat = flat.join(cities.select("city"), "city", "left_semi")
     merged = merge_weather(flat, flatten_weather(weather))
     return flag_station(flag_stale(merged, as_of_us))
 
