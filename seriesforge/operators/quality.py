@@ -27,13 +27,15 @@ def drop_incomplete(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def keep_last(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+def keep_last(df: DataFrame, spec: SeriesSpec = SeriesSpec(), ties: str | None = None) -> DataFrame:
     """One row per (key, time): the one that came last in input order.
 
     The rank filter is planned as a group limit on both sides of the exchange: every map task
     keeps one row per (key, time), so a pile of copies of one reading never meets in one task.
+    ``ties`` names a column whose greatest value decides between equal input positions.
     """
-    latest = Window.partitionBy(spec.key, spec.ts).orderBy(F.col(spec.seq).desc())
+    order = [F.col(c).desc() for c in (spec.seq, ties) if c]
+    latest = Window.partitionBy(spec.key, spec.ts).orderBy(*order)
     return (df.dropna(subset=[spec.ts]).withColumn("_rank", F.row_number().over(latest))
             .filter(F.col("_rank") == 1).drop("_rank"))
 

@@ -53,7 +53,10 @@ class KeyedTable:
         return df.drop(PARTITION)
 
     def upsert(self, rows: DataFrame) -> None:
-        """Merge rows by (key, time), the later ``seq`` wins. Only the days they fall on are rewritten.
+        """Merge rows by (key, time). Only the days they fall on are rewritten.
+
+        The greater ``seq`` wins; of equal ones the new row, so a recomputed row replaces the
+        stored one.
 
         The merged days are written aside first and then replace the old ones, so the table is
         never read and overwritten in one job, and running the same batch again changes nothing.
@@ -68,7 +71,8 @@ class KeyedTable:
         if not days:
             return
         old = self._stored().filter(F.col(PARTITION).isin(days))
-        merged = self._with_day(keep_last(old.unionByName(batch, allowMissingColumns=True).drop(PARTITION), spec))
+        both = old.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+        merged = self._with_day(keep_last(both.drop(PARTITION), spec, ties="_new").drop("_new"))
         staged = fresh_path(self.spark, "upsert-merged")
         # Rebalancing splits an oversized day over several tasks and files.
         merged.hint("rebalance", PARTITION).write.parquet(staged)

@@ -39,6 +39,13 @@ def test_upsert_is_idempotent_and_latest_wins(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_recomputed_row_replaces_the_stored_one(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS)
+    for value in (1.0, 5.0, 3.0):
+        table.upsert(reading(spark, [("a", 0, value, 7)]))
+        assert content(table) == [("a", T0, value)]
+
+
 def test_feature_refresh_job(spark, tmp_path):
     raw = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS)
     from seriesforge.operators.features import engineer_features
