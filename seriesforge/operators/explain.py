@@ -24,18 +24,19 @@ def linear_attribution(rows: DataFrame, weights: LinearWeights, medians: dict[st
 
 def tree_attribution(rows: DataFrame, nodes: TreeNodes) -> DataFrame:
     """Path-dependent Shapley values; per row they add up to prediction minus ``base``."""
-    shipped = rows.sparkSession.sparkContext.broadcast(nodes)
+    shipped = nodes.shipped(rows.sparkSession)
     columns = list(nodes.columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch[columns].to_numpy(dtype=float)
-            phi, base = shipped.value.attribute(x)
+            nodes_here = shipped()
+            phi, base = nodes_here.attribute(x)
             yield pd.DataFrame({
                 "city": batch["city"].repeat(len(columns)).to_numpy(),
                 "position": list(range(len(columns))) * len(batch),
                 "feature": columns * len(batch), "value": x.ravel(), "attribution": phi.ravel(),
-                "base": base, "prediction": shipped.value.predict(x).repeat(len(columns))})
+                "base": base, "prediction": nodes_here.predict(x).repeat(len(columns))})
 
     return rows.select("city", *columns).mapInPandas(
         run, "city string, position int, feature string, value double, attribution double, "
@@ -44,15 +45,16 @@ def tree_attribution(rows: DataFrame, nodes: TreeNodes) -> DataFrame:
 
 def tree_attribution_sums(rows: DataFrame, nodes: TreeNodes) -> DataFrame:
     """(city, total attribution, base, prediction) of every row, one row out per row in."""
-    shipped = rows.sparkSession.sparkContext.broadcast(nodes)
+    shipped = nodes.shipped(rows.sparkSession)
     columns = list(nodes.columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch[columns].to_numpy(dtype=float)
-            phi, base = shipped.value.attribute(x)
+            nodes_here = shipped()
+            phi, base = nodes_here.attribute(x)
             yield pd.DataFrame({"city": batch["city"], "total": phi.sum(axis=1), "base": base,
-                                "prediction": shipped.value.predict(x)})
+                                "prediction": nodes_here.predict(x)})
 
     return rows.select("city", *columns).mapInPandas(run, "city string, total double, base double, prediction double")
 

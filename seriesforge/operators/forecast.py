@@ -248,8 +248,8 @@ def recursive_batch_steps(inputs: DataFrame, predict, columns, medians: dict[str
 
 def recursive_forecast_trees(inputs: DataFrame, nodes: TreeNodes, medians: dict[str, float],
                              horizon: int = FORECAST_HORIZON, cfg: FeatureConfig = _CFG) -> DataFrame:
-    shipped = inputs.sparkSession.sparkContext.broadcast(nodes)
-    steps = recursive_batch_steps(inputs, lambda x: shipped.value.predict(x), nodes.columns, medians, horizon, cfg)
+    shipped = nodes.shipped(inputs.sparkSession)
+    steps = recursive_batch_steps(inputs, lambda x: shipped().predict(x), nodes.columns, medians, horizon, cfg)
     return _presented(steps)
 
 
@@ -306,5 +306,5 @@ def sequence_batch_steps(seeds: DataFrame, scalers: DataFrame, predict, cities:
 
 def sequence_forecast_trees(seeds: DataFrame, scalers: DataFrame, nodes: TreeNodes, cities: list[str],
                             horizon: int = FORECAST_HORIZON) -> DataFrame:
-    shipped = seeds.sparkSession.sparkContext.broadcast(nodes)
-    return _presented(sequence_batch_steps(seeds, scalers, lambda x: shipped.value.predict(x), cities, horizon))
+    shipped = nodes.shipped(seeds.sparkSession)
+    return _presented(sequence_batch_steps(seeds, scalers, lambda x: shipped().predict(x), cities, horizon))

@@ -103,7 +103,7 @@ def _one_way(side: str) -> str:
 def _raw_wide(name: str = "w") -> str:
     k = KNUM
     return (f"{name} AS (SELECT event_type AS city, event_id AS ingest_seq, value AS aqi, "
-            f"CASE WHEN {k} % 2 = 0 THEN {k} / 2.0::DOUBLE END AS temp, "
+            f"CASE WHEN {k} % 3 = 0 THEN {k} / 2.0::DOUBLE END AS temp, "
             f"CASE WHEN {k} % 4 = 0 THEN CAST({k} AS DOUBLE) END AS humidity, "
             f"CASE WHEN {k} % 3 <> 0 THEN 1000.0::DOUBLE + {k} END AS pressure, 3.5::DOUBLE AS wind_speed, "
             f"NULL::DOUBLE AS no2, {k} < 10 AS is_stale FROM events)")
@@ -339,7 +339,7 @@ def oracle_sql() -> dict[str, str]:
             "r s ON q.city = s.city AND q.t <= s.timestamp) SELECT city, timestamp, aqi, ingest_seq, CASE WHEN "
             "b.g <= INTERVAL 15 MINUTE AND (f.g IS NULL OR b.g <= f.g) THEN b.v WHEN f.g <= INTERVAL 15 MINUTE THEN f.v "
             "END AS next_aqi FROM r JOIN b USING (ingest_seq) JOIN f USING (ingest_seq)",
-        "raw_upsert": upserted + "SELECT city, timestamp, aqi, CASE WHEN k % 2 = 0 THEN k / 2.0::DOUBLE END AS temp, "
+        "raw_upsert": upserted + "SELECT city, timestamp, aqi, CASE WHEN k % 3 = 0 THEN k / 2.0::DOUBLE END AS temp, "
                                  "k < 10 AS is_stale, ingest_seq FROM d",
         "history_union": upserted + "SELECT city, timestamp, aqi, k, ingest_seq, CASE WHEN timestamp >= TIMESTAMP "
                                     "'2024-01-15 00:00:00' THEN pm25 END AS pm25 FROM d",

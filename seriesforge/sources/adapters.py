@@ -28,7 +28,6 @@ def readings(events: DataFrame, key: str = "event_type", hourly: bool = False) -
 def raw_readings(events: DataFrame, hourly: bool = False) -> DataFrame:
     """Full raw schema: some weather missing, some readings stale, a mix of stations."""
     base = readings(events, hourly=hourly)
-    odd = F.col("k") % 2 == 1
     null = F.lit(None).cast("double")
     columns = {
         "matched_station": F.concat(F.initcap("city"), F.lit(" station")),
@@ -37,7 +36,7 @@ def raw_readings(events: DataFrame, hourly: bool = False) -> DataFrame:
         "no2": null, "o3": null, "so2": null, "co": null,
         "aqicn_temp": F.col("k").cast("double"), "aqicn_humidity": null,
         "aqicn_pressure": null, "aqicn_wind": null,
-        "temp": F.when(~odd, F.col("k") / 2.0),
+        "temp": F.when(F.col("k") % 3 == 0, F.col("k") / 2.0),
         "humidity": F.when(F.col("k") % 4 == 0, F.col("k").cast("double")),
         "pressure": F.when(F.col("k") % 3 != 0, 1000.0 + F.col("k")),
         "wind_speed": F.lit(3.5),
