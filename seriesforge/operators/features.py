@@ -171,7 +171,8 @@ def engineer_features(raw: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Feat
                       *, unique: bool = False, **options) -> DataFrame:
     """Keep-last dedupe, calendar columns, then all series features. Empty in, empty out."""
     base = raw if unique else keep_last(raw, spec)
-    return add_series_features(base, spec, cfg, edges_from=raw, **options).transform(add_time_features, spec.ts)
+    options.setdefault("edges_from", raw)
+    return add_series_features(base, spec, cfg, **options).transform(add_time_features, spec.ts)
 
 
 def refresh_features(raw: DataFrame, changed: DataFrame, spec: SeriesSpec = SeriesSpec(),

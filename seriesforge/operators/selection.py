@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesforge.session import settle
 
-BAND_ACCURACY = 1000
+BAND_ACCURACY = 5000
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from seriesforge import config as C, schema as S
 from seriesforge.config import FeatureConfig, ModelConfig, SeriesSpec
 from seriesforge.functions import scalar, times
-from seriesforge.operators import explain as E, forecast as FC, insights, matrix as M, models as MD
+from seriesforge.operators import buckets as B, explain as E, forecast as FC, insights, matrix as M, models as MD
 from seriesforge.operators import sequence_models as SM, sequences as SQ, trees as TR
 from seriesforge.operators.asof import asof_join
 from seriesforge.operators.features import engineer_features
@@ -41,14 +41,40 @@ def combine_raw(existing: DataFrame, new: DataFrame, spec: SeriesSpec = SeriesSp
     return keep_last(existing.unionByName(new, allowMissingColumns=True), spec)
 
 
+def refresh_stored_features(changed: DataFrame, raw: KeyedTable, features: KeyedTable,
+                            cfg: FeatureConfig = FeatureConfig()) -> None:
+    """Recompute the stored features that rows just upserted into ``raw`` can affect.
+
+    Whole rows are read only for the days of the touched buckets and their look-back. Which
+    buckets follow each other is found from the thin columns of the changed series.
+    """
+    spec = raw.spec
+    keys = changed.select(spec.key).distinct()
+    thin = raw.scan().select(spec.key, spec.ts, spec.value, spec.seq).join(keys, spec.key, "left_semi")
+    edges = B.bucket_edges(thin, spec, cfg.bucket_us)
+    touched = settle(B.touched_buckets(edges, changed, spec, cfg.bucket_us, cfg.reach_us), "touched")
+    start = F.col(B.BUCKET) * F.lit(cfg.bucket_us)
+    day = [F.to_date(times.from_micros(us)) for us in (start - cfg.reach_us, start + (cfg.bucket_us - 1))]
+    # One value per calendar day.
+    days = [r[0] for r in touched.select(F.explode(F.sequence(*day))).distinct().collect()]
+    if days:
+        features.upsert(engineer_features(raw.scan_on(days), spec, cfg, unique=True, only=touched, edges_from=thin))
+
+
 def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTable,
-                        cfg: FeatureConfig = FeatureConfig()) -> bool:
-    """Upsert the new readings, recompute all features, store them. False when nothing arrived."""
+                        cfg: FeatureConfig = FeatureConfig(), full: bool = True) -> bool:
+    """Upsert the new readings and store their features. False when nothing arrived.
+
+    ``full`` recomputes everything from the whole history; otherwise only what can change.
+    """
     new_rows = to_raw_schema(new_rows)
     if new_rows.isEmpty():
         return False
     raw.create().upsert(new_rows)
-    features.upsert(engineer_features(raw.scan(), raw.spec, cfg, unique=True))
+    if full:
+        features.upsert(engineer_features(raw.scan(), raw.spec, cfg, unique=True))
+    else:
+        refresh_stored_features(new_rows, raw, features, cfg)
     return True
 
 

@@ -52,6 +52,10 @@ class KeyedTable:
             df = df.filter(F.col(PARTITION) <= F.lit(last).cast("date"))
         return df.drop(PARTITION)
 
+    def scan_on(self, days: list) -> DataFrame:
+        """Rows of the listed days; the other partitions are not read."""
+        return self._stored().filter(F.col(PARTITION).isin(days)).drop(PARTITION)
+
     def upsert(self, rows: DataFrame) -> None:
         """Merge rows by (key, time). Only the days they fall on are rewritten.
 

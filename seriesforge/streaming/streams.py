@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from seriesforge import schema as S
 from seriesforge.config import FeatureConfig, SeriesSpec
 from seriesforge.functions import scalar, times
-from seriesforge.operators.features import refresh_features
+from seriesforge.plans.pipelines import refresh_stored_features
 from seriesforge.sources.landing import flatten_current
 from seriesforge.sources.tables import KeyedTable
 
@@ -51,7 +51,7 @@ def refresh_into(stream: DataFrame, raw: KeyedTable, features: KeyedTable, check
     """Upsert new readings, then recompute only the time buckets they can affect."""
     def merge(batch: DataFrame, _batch_id: int) -> None:
         raw.upsert(batch)
-        features.upsert(refresh_features(raw.scan(), batch, raw.spec, cfg, unique=True))
+        refresh_stored_features(batch, raw, features, cfg)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

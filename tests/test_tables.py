@@ -56,6 +56,14 @@ def test_feature_refresh_job(spark, tmp_path):
     pipelines.run_feature_refresh(reading(spark, [("a", 2, 4.0, 3)]), raw, feats)
     rows = {r.timestamp.hour: r for r in feats.scan().collect()}
     assert rows[2].lag_1h_aqi == 2.0 and rows[2].aqi_change_rate == 1.0 and len(rows) == 3
+    # A late correction, stored incrementally, also reaches the next reading weeks later.
+    far = 24 * 40 + 5
+    pipelines.run_feature_refresh(reading(spark, [("a", far, 6.0, 4)]), raw, feats, full=False)
+    pipelines.run_feature_refresh(reading(spark, [("a", 2, 12.0, 5)]), raw, feats, full=False)
+    last = {r.timestamp: r for r in feats.scan().collect()}[T0 + timedelta(hours=far)]
+    assert last.aqi_change_rate == -0.5
+    full = engineer_features(raw.scan(), unique=True).select(*feature_schema.names)
+    assert sorted(map(str, feats.scan().collect())) == sorted(map(str, full.collect()))
 
 
 def test_landing_files(spark, tmp_path):
