@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesforge import config as C
 from seriesforge.functions import scalar
@@ -64,11 +64,10 @@ def feature_labels(df: DataFrame, city: str = "city") -> DataFrame:
 def with_spine(pattern: DataFrame, column: str, size: int) -> DataFrame:
     """All values 0..size-1 of a calendar column; absent ones get null, an empty pattern stays empty."""
     spine = pattern.sparkSession.range(size).select(F.col("id").cast("int").alias(column))
-    some = pattern.agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 0)
-    # One marker row decides for the whole spine; it joins on a constant of fixed size one.
-    gated = spine.withColumn("_one", F.lit(1)).join(
-        F.broadcast(some.select(F.lit(1).alias("_one"))), "_one", "left_semi").drop("_one")
-    return gated.join(pattern, column, "left")
+    full = spine.join(pattern.withColumn("_found", F.lit(1)), column, "left")
+    # The window sees the ``size`` spine rows, never the readings.
+    some = F.max("_found").over(Window.partitionBy(F.lit(0)))
+    return full.withColumn("_some", some).filter(F.col("_some") == 1).drop("_found", "_some")
 
 
 def with_spine_per_key(pattern: DataFrame, key: str, column: str, size: int) -> DataFrame:

@@ -67,31 +67,43 @@ def chronological_cut(df: DataFrame, keys: list[str], us: Column, ties: list[str
     falls is closed in on by counts per day, minute and second, all combined on the map side;
     only rows of that one second are numbered. Rows without a time come last.
     """
-    groups = keys or ["_all"]
     rows = df.withColumn("_us", us)
-    rows = rows if keys else rows.withColumn("_all", F.lit(0))
-    totals = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    timed = rows.filter(F.col("_us").isNotNull()).select(*keys, "_us")
+
+    def needed(frame: DataFrame, cut: DataFrame, on_cell: bool) -> DataFrame:
+        """Attach the rows still needed; a cut of the whole table is two numbers, used as literals."""
+        if keys:
+            return frame.join(cut, [*keys, "_cell"] if on_cell else keys)
+        found = cut.first()
+        if found is None:
+            return frame.filter(F.lit(False)).withColumn("_need", F.lit(0).cast("bigint"))
+        inside = frame.filter(F.col("_cell") == found["_cell"]) if on_cell else frame
+        return inside.withColumn("_need", F.lit(found["_need"]))
+
     # The same float arithmetic as an index computed by truncation.
-    cut = settle(totals.select(
-        *groups, F.floor(F.col("_n") * F.lit(1 - test_fraction)).cast("bigint").alias("_need")), "cut")
-    timed = rows.filter(F.col("_us").isNotNull()).select(*groups, "_us")
+    train_rows = F.floor(F.count(F.lit(1)) * F.lit(1 - test_fraction)).cast("bigint")
+    cut = settle(rows.groupBy(*keys).agg(train_rows.alias("_need")), "cut")
     parent = None
     for width in steps_us:
-        if parent is None:
-            inside = timed.join(cut, groups)
-        else:
-            inside = timed.withColumn("_cell", _cell(parent)).join(cut, [*groups, "_cell"]).drop("_cell")
-        counts = inside.groupBy(*groups, "_need", _cell(width).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
-        running = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        inside = (needed(timed, cut, False) if parent is None
+                  else needed(timed.withColumn("_cell", _cell(parent)), cut, True).drop("_cell"))
+        counts = inside.groupBy(*keys, "_need", _cell(width).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
+        # One row per cell of the level above: days, then minutes of one day, then seconds of one minute.
+        running = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
         start = F.col("_upto") - F.col("_c")
         # The cut lies in the cell that takes the running count past the needed rows.
         cut = settle(counts.withColumn("_upto", F.sum("_c").over(running))
                      .filter((F.col("_need") >= start) & (F.col("_need") < F.col("_upto")))
-                     .select(*groups, "_cell", (F.col("_need") - start).alias("_need")), "cut")
+                     .select(*keys, "_cell", (F.col("_need") - start).alias("_need")), "cut")
         parent = width
-    marked = rows.withColumn("_row_cell", _cell(steps_us[-1])).join(cut, groups, "left")
+    marked = rows.withColumn("_row_cell", _cell(steps_us[-1]))
+    if keys:
+        marked = marked.join(cut, keys, "left")
+    else:
+        found = cut.first()
+        marked = marked.withColumns({c: F.lit(found and found[c]).cast("bigint") for c in ("_cell", "_need")})
     in_cut = F.coalesce(F.col("_row_cell") == F.col("_cell"), F.lit(False))
-    order = Window.partitionBy(*groups, "_row_cell").orderBy("_us", *ties)
+    order = Window.partitionBy(*keys, "_row_cell").orderBy("_us", *ties)
     numbered = marked.filter(in_cut).withColumn("is_train", F.row_number().over(order) <= F.col("_need"))
     # Without a cut cell every timed row is needed for training.
     plain = marked.filter(~in_cut).withColumn(
