@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import exact_dedup
+from seriesforge.llm import exact_dedup, simhash
 from seriesforge.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup}
+def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op6_simhash_pivots": op6_simhash_pivots}
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
