@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import exact_dedup, simhash
+from seriesforge.llm import exact_dedup, langid, simhash
 from seriesforge.llm.common import table
 
 
@@ -16,6 +16,15 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op6_simhash_pivots": op6_simhash_pivots}
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit_on(docs))
+
+
+QUERIES = {
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_simhash_pivots": op6_simhash_pivots,
+    "op8_langid": op8_langid,
+}
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
