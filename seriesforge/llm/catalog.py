@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import exact_dedup, langid, simhash
+from seriesforge.llm import exact_dedup, langid, packing, pii, simhash
 from seriesforge.llm.common import table
 
 
+def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -16,14 +20,20 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op7_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit_on(docs))
 
 
 QUERIES = {
+    "op2_bestfit_packing": op2_bestfit_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash_pivots": op6_simhash_pivots,
+    "op7_pii_weak": op7_pii_weak,
     "op8_langid": op8_langid,
 }
 

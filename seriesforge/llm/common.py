@@ -52,4 +52,15 @@ def gapless(df: DataFrame, group: str, order: list[str], name: str, rows_per_tas
     )
 
 
-__all__ = ["SPACE", "documents", "gapless", "materialize", "remainder", "settle", "table", "text_of"]
+__all__ = ["SPACE", "documents", "gapless", "materialize", "remainder", "settle", "table", "text_of", "worker_cache"]
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker: what a task loads, the next one finds.
+
+    Worker code travels by value, so module globals start anew with each task.
+    """
+    import sys
+    import types
+
+    return sys.modules.setdefault("_seriesforge_worker_cache", types.ModuleType("_seriesforge_worker_cache")).__dict__
