@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import exact_dedup, langid, packing, pii, simhash
+from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, simhash
 from seriesforge.llm.common import table
 
 
@@ -29,12 +29,17 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit_on(docs))
 
 
+def op10_embedding_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_bestfit_packing": op2_bestfit_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash_pivots": op6_simhash_pivots,
     "op7_pii_weak": op7_pii_weak,
     "op8_langid": op8_langid,
+    "op10_embedding_passes": op10_embedding_passes,
 }
 
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
