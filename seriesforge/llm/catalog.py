@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, simhash
+from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, simhash, toxicity
 from seriesforge.llm.common import table
 
 
+def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op10_embedding_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_crf": op1_toxicity_crf,
     "op2_bestfit_packing": op2_bestfit_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash_pivots": op6_simhash_pivots,
