@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, simhash, toxicity
+from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, sharding, simhash, toxicity
 from seriesforge.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_bestfit_packing": op2_bestfit_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_kd_sharding": op5_kd_sharding,
     "op6_simhash_pivots": op6_simhash_pivots,
     "op7_pii_weak": op7_pii_weak,
     "op8_langid": op8_langid,
