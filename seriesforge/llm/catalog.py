@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import embedding_dedup, exact_dedup, langid, packing, pii, sharding, simhash, toxicity
+from seriesforge.llm import embedding_dedup, exact_dedup, langid, license_scan, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity
 from seriesforge.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit_on(docs))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
 
@@ -45,11 +53,13 @@ def op10_embedding_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_bestfit_packing": op2_bestfit_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_kd_sharding": op5_kd_sharding,
     "op6_simhash_pivots": op6_simhash_pivots,
     "op7_pii_weak": op7_pii_weak,
     "op8_langid": op8_langid,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_passes": op10_embedding_passes,
 }
 
