@@ -157,7 +157,7 @@ class _Underfull:
         self.pairs = np.array(pairs, np.int64).reshape(-1, 4)
 
 
-def local_search(lengths: np.ndarray, bins: list[list[int]], room: int, tries: int = 8, steps: int = 400) -> list[list[int]]:
+def local_search(lengths: np.ndarray, bins: list[list[int]], room: int, tries: int = 24, steps: int = 400) -> list[list[int]]:
     """Empty the emptiest bins into other underfull ones; each step raises the sum of squared fills."""
     held = {k: list(b) for k, b in enumerate(bins)}
     fill = {k: int(lengths[b].sum()) for k, b in held.items()}
