@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +55,14 @@ def gapless(df: DataFrame, group: str, order: list[str], name: str, rows_per_tas
     )
 
 
-__all__ = ["SPACE", "documents", "gapless", "materialize", "remainder", "settle", "table", "text_of", "worker_cache"]
+__all__ = ["SPACE", "documents", "gapless", "materialize", "remainder", "settle", "slices", "table", "text_of", "worker_cache"]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what a step makes of them stays small beside the batch itself."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def worker_cache() -> dict:

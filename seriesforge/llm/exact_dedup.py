@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import SPACE, documents, materialize, settle
+from seriesforge.llm.common import SPACE, documents, materialize, settle, slices
 
 #: Bytes the rolling hash sees, bits that must be zero at a cut (4 KB on average), longest chunk.
 WINDOW, CUT_BITS, LONGEST = 16, 12, 65_536
@@ -77,7 +77,7 @@ def _cut(column: pa.Array) -> Iterator[list[memoryview]]:
 
 def _recipes(digest: Digest) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, checks, shas = [], [], []
             for chunks in _cut(batch.column(1)):
                 ids.append([digest(c) for c in chunks])
@@ -138,8 +138,9 @@ def exact_dedup(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> DataFra
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops; columns as they were.
 
-    The drop list (id and digest) is written first: a small one is broadcast, a large one joined
-    by shuffle. Rows repeated with the same id and text are brought down to one.
+    The drop list (id and digest) is joined by a sort-merge join at every size: it grows with the
+    corpus, so a plan that counts on broadcasting it would change its costs on the way. Texts move
+    once. Rows repeated with the same id and text are brought down to one.
     """
     found = materialize(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "kept")
     key = found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
@@ -150,7 +151,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn(
         "__sha", F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " "), 256)
     )
-    left = marked.alias("x").join(gone.alias("y"), same, "left_anti")
+    left = marked.alias("x").join(gone.hint("merge").alias("y"), same, "left_anti")
     if not twins.limit(1).count():
         return left.select(*docs.columns)
     single = left.alias("x").join(twins.alias("y"), same, "left_anti")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import remainder
+from seriesforge.llm.common import remainder, slices
 
 UNKNOWN = "und"
 
@@ -75,7 +75,7 @@ def subwords(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(who)
 
 
-def _groups(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _groups(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     at = size = 0
     for k, t in enumerate(texts):
         if size and size + len(t) > most:
@@ -173,7 +173,7 @@ def fit_on(docs: DataFrame, config: LangConfig = LangConfig(), held_out: int = 2
 
 def _predictions(model: LangModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = predict(model, batch.column(2).to_pylist())
             columns = [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
@@ -199,7 +199,7 @@ def identify(docs: DataFrame, model: LangModel, held_out: int = 2, modulus: int
 
 def _accepted(model: LangModel, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = predict(model, batch.column(at).to_pylist())
             stays = [x != UNKNOWN and s >= model.reject_below for x, s in zip(langs, scores)]
             yield batch.filter(pa.array(stays, pa.bool_()))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents
+from seriesforge.llm.common import documents, slices
 
 COVERAGE = 0.8
 
@@ -180,7 +180,7 @@ def _scanned(templates: Mapping[str, str], coverage: float) -> Callable[[Iterato
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prepared = prepare(templates, coverage)
         item = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("coverage", pa.float64())])
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 [{"license": name, "start": s, "end": e, "coverage": got / of} for s, e, name, got, of in scan_text(text, prepared)]
                 for text in batch.column(1).to_pylist()

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents, materialize, worker_cache
+from seriesforge.llm.common import documents, materialize, slices, worker_cache
 
 SEQUENCE, END_ID = 4096, 1
 GROUP_ROWS = 20_000
@@ -54,7 +54,7 @@ class WordIds(dict):
     _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
     _PLAIN = re.compile("[!-;=-~¡-ÿ]+")  # no '<': special tokens start with it
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -106,7 +106,7 @@ def _pieces(path: str, sequence: int, end_id: int) -> Callable[[Iterator[pa.Reco
         if path not in cache:
             cache[path] = WordIds(path)
         words, end = cache[path], pack_ids([end_id])
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = words.ids(text) + end

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents, materialize
+from seriesforge.llm.common import documents, materialize, slices
 
 KINDS = ("email", "ip", "card", "phone", "secret", "number", "national_id", "local_phone")
 BASE = 4
@@ -233,7 +233,7 @@ def _found(text: str) -> tuple[list[Span], list[Span]]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for text in batch.column(1).to_pylist():
             base, more = _found(text)
@@ -286,7 +286,7 @@ def redact(text: str, good: frozenset[int]) -> str:
 
 def _redactions(good: frozenset[int], text_at: int, chars_at: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             old = batch.column(text_at).to_pylist()
             new = [t if t is None else redact(t, good) for t in old]
             columns = list(batch.columns)

@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seriesforge.llm.common import documents, worker_cache
+from seriesforge.llm.common import documents, slices, worker_cache
 
 MARK = "▁"
 
@@ -146,7 +146,7 @@ def viterbi(pieces: Pieces, text: str) -> list[int]:
 class Encoder(dict):
     """ids of marked words (little-endian unsigned 32-bit), kept for the next time, emptied when full."""
 
-    def __init__(self, pieces: Pieces, most: int = 400_000, longest_word: int = 64):
+    def __init__(self, pieces: Pieces, most: int = 300_000, longest_word: int = 64):
         self.pieces, self.most, self.longest_word = pieces, most, longest_word
 
     def __missing__(self, word: str) -> bytes:
@@ -191,7 +191,7 @@ def _coder(path: str) -> tuple[Pieces, Encoder]:
 def _encoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = _coder(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [memoryview(encoder.encode(t)).cast("I").tolist() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -201,7 +201,7 @@ def _encoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def _decoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, _ = _coder(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [decode(pieces, ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -221,7 +221,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 def _round_trip(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, encoder = _coder(path)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 packed = encoder.encode(text)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents, materialize, settle
+from seriesforge.llm.common import documents, materialize, settle, slices
 from seriesforge.llm.components import connected_components
 
 SEED, SHINGLE, LIMIT, PIVOTS, RUN_CAP = 42, 4, 4, 16, 2048
@@ -57,7 +57,7 @@ def fingerprint(text: str, words: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [fingerprint(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
@@ -200,8 +200,8 @@ def simhash_components(docs: DataFrame, limit: int = LIMIT, run_cap: int = RUN_C
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not kept; the drop list is written, then anti-joined by id."""
-    gone = simhash_components(docs).where("not kept").select(F.col("doc_id").alias("__id"), "component_id")
-    gone = settle(gone.select("__id").distinct(), "near-copies")
+    """``docs`` without the rows that are not kept: an anti-join by id, sort-merge at every size (see exact dedup)."""
+    gone = simhash_components(docs).where("not kept").select(F.col("doc_id").alias("__id"))
+    gone = settle(gone.distinct(), "near-copies").hint("merge")
     marked = docs.withColumn("__id", F.col("doc_id").cast("long")).alias("x")
     return marked.join(gone.alias("y"), F.col("x.__id").eqNullSafe(F.col("y.__id")), "left_anti").select(*docs.columns)

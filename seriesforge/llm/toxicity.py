@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents, remainder
+from seriesforge.llm.common import documents, remainder, slices
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -140,7 +140,9 @@ def _scan(m: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.transpose(2, 0, 1).reshape(-1, 2)[:n]
 
 
-def forward_backward(emission: np.ndarray, starts: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(
+    emission: np.ndarray, starts: np.ndarray, transition: np.ndarray, with_pairs: bool = True
+) -> tuple[np.ndarray, np.ndarray | None]:
     """Marginals of state 1 at each token, and of each pair of states over each step (zero into a text's start).
 
     emission: log-odds of state 1; starts: whether a token begins a text; transition: log-potentials, a
@@ -161,6 +163,8 @@ def forward_backward(emission: np.ndarray, starts: np.ndarray, transition: np.nd
         behind[:-1] = _scan(back[:-1], np.array([0.5, 0.5]))[::-1]
     both = ahead * behind
     both /= both.sum(1, keepdims=True)
+    if not with_pairs:
+        return both[:, 1], None
     pairs = np.empty((len(e), 2, 2))
     pairs[0] = 0
     pairs[1:] = ahead[:-1, :, None] * m[1:] * behind[1:, None, :]
@@ -264,7 +268,7 @@ class _Classes(dict):
         self.leanings = leanings
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = found = self.leanings.of(word)
         return found
@@ -301,13 +305,13 @@ def fit(rows: Sequence[tuple[int | None, str, int]], config: ToxicConfig = Toxic
     field = fit_field(*[np.concatenate([p[k][:half] for p in parts]) for k in (0, 1, 3)], config.steps)
     x, y = [], []
     for flat, starts, owner, _, label in parts:
-        p = forward_backward(field.emission(flat, starts), starts, field.transition)[0] if len(flat) else np.zeros(0)
+        p = forward_backward(field.emission(flat, starts), starts, field.transition, False)[0] if len(flat) else np.zeros(0)
         x.append(document_features(p, owner, len(label)))
         y.append(label)
     return ToxicModel(_leanings(docs, labels, config), field, _logistic(np.concatenate(x), np.concatenate(y)))
 
 
-def score(model: ToxicModel, texts: Sequence[str], classes: dict | None = None, most: int = 1 << 20) -> tuple[list[float], list[str]]:
+def score(model: ToxicModel, texts: Sequence[str], classes: dict | None = None, most: int = 1 << 17) -> tuple[list[float], list[str]]:
     """Score and offending offsets (start:end in code points, comma-joined) of each text."""
     if model.field is None:
         return [model.constant] * len(texts), [""] * len(texts)
@@ -319,7 +323,7 @@ def score(model: ToxicModel, texts: Sequence[str], classes: dict | None = None,
             docs.append(words_of(texts[at + len(docs)]))
             size += len(docs[-1])
         flat, starts, owner = _flat(docs, classes)
-        p = forward_backward(model.field.emission(flat, starts), starts, model.field.transition)[0] if len(flat) else np.zeros(0)
+        p = forward_backward(model.field.emission(flat, starts), starts, model.field.transition, False)[0] if len(flat) else np.zeros(0)
         z = document_features(p, owner, len(docs)) @ model.layer
         scores += (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist()
         hits: dict[int, list[int]] = {}
@@ -345,7 +349,7 @@ def _lower_in_place(text: str) -> str:
 def _scores(model: ToxicModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = model.classes() if model.field else None
-        for batch in batches:
+        for batch in slices(batches):
             scores, spans = score(model, batch.column(2).to_pylist(), classes)
             columns = [
                 batch.column(0), batch.column(1), pa.array(scores, pa.float64()),
