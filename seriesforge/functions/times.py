@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from seriesforge.config import DISPLAY_ZONE, HOUR_US
+from seriesforge.config import DISPLAY_ZONE, HOUR_US, MINUTE_US
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
+_DAY_US = 24 * HOUR_US
+# A clock time followed by an offset or zone.
+_ZONED = r"[T ][0-9]{1,2}:.*([Zz]|[+-][0-9:]+|[A-Z]{3}.*|[A-Za-z]+/.*)$"
+
 
 def micros(ts: str) -> Column:
-    """Microseconds since the epoch of a timestamp_ntz column; independent of the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, `{ts}`)")
+    """Microseconds since the epoch of a timestamp_ntz column.
+
+    Put together from calendar parts: a difference of timestamps would pass through the session
+    zone and go wrong at its clock changes.
+    """
+    return micros_of(F.col(f"`{ts}`"))
+
+
+def micros_of(ts: Column) -> Column:
+    ts = ts.cast("timestamp_ntz")
+    second = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return (F.unix_date(ts.cast("date")).cast("bigint") * F.lit(_DAY_US) + F.hour(ts).cast("bigint") * F.lit(HOUR_US)
+            + F.minute(ts).cast("bigint") * F.lit(MINUTE_US) + second)
 
 
 def from_micros(us: Column) -> Column:
@@ -20,17 +35,17 @@ def from_micros(us: Column) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """ISO-8601 text to naive UTC; unreadable text becomes null and an offset is applied."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                              F.try_to_timestamp(text).cast("timestamp_ntz"))
+    """ISO-8601 text to naive UTC; unreadable text becomes null, an offset is applied, none means UTC."""
+    instant = from_micros(F.unix_micros(F.try_to_timestamp(text)))
+    return F.when(text.rlike(_ZONED), instant).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def hour_floor(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    return ts.cast("timestamp_ntz") - F.make_dt_interval(mins=F.minute(ts), secs=F.extract(F.lit("SECOND"), ts))
 
 
 def day_floor(ts: Column) -> Column:
-    return F.date_trunc("day", ts).cast("timestamp_ntz")
+    return ts.cast("date").cast("timestamp_ntz")
 
 
 def local_time(ts: Column, zone: str = DISPLAY_ZONE) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from seriesforge.session import settle
+from seriesforge.session import materialize, settle
 
 BAND_ACCURACY = 5000
 
@@ -59,13 +59,36 @@ def _cell(width_us: int) -> Column:
     return ((F.col("_us") - F.pmod("_us", F.lit(width_us))) / F.lit(width_us)).cast("bigint")
 
 
+def ordinals(df: DataFrame, group: list[str], order: list[str], name: str = "_pos") -> DataFrame:
+    """Number the rows of each group from 0 by ``order``, however many a group has.
+
+    A range sort deals the rows out; a row's number is its place within its part plus the rows of
+    the group in the parts before, of which there is one count a part.
+    """
+    by = [*group, *order]
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = materialize(placed.withColumn("_part", F.spark_partition_id())
+                         .withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    sizes = placed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = settle(sizes.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)], F.col("_part").alias("_p"),
+                                 "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start")), "part-starts")
+    same = F.col("_part") == F.col("_p")
+    for k, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    number = F.col("_start") + F.col("_at") - F.col("_first")
+    return placed.join(starts, same).select(*df.columns, number.alias(name))
+
+
 def chronological_cut(df: DataFrame, keys: list[str], us: Column, ties: list[str], test_fraction: float,
                       steps_us: tuple[int, ...] = (86_400_000_000, 60_000_000, 1_000_000)) -> DataFrame:
     """Flag the first int(n * (1 - test_fraction)) rows of every group as ``is_train``.
 
     Row numbers over a group would put the group into one task. Instead the row where the cut
     falls is closed in on by counts per day, minute and second, all combined on the map side;
-    only rows of that one second are numbered. Rows without a time come last.
+    only rows of that one second are numbered, and those dealt out by the tie columns. Rows without
+    a time come last, in tie order, and are training rows as far as the others don't suffice.
+    ``df`` is read several times: hand in a stored table.
     """
     rows = df.withColumn("_us", us)
     timed = rows.filter(F.col("_us").isNotNull()).select(*keys, "_us")
@@ -82,8 +105,9 @@ def chronological_cut(df: DataFrame, keys: list[str], us: Column, ties: list[str
 
     # The same float arithmetic as an index computed by truncation.
     train_rows = F.floor(F.count(F.lit(1)) * F.lit(1 - test_fraction)).cast("bigint")
-    cut = settle(rows.groupBy(*keys).agg(train_rows.alias("_need")), "cut")
-    parent = None
+    goal = settle(rows.groupBy(*keys).agg(
+        train_rows.alias("_need"), F.greatest(train_rows - F.count("_us"), F.lit(0)).alias("_late")), "cut")
+    cut, parent = goal.drop("_late"), None
     for width in steps_us:
         inside = (needed(timed, cut, False) if parent is None
                   else needed(timed.withColumn("_cell", _cell(parent)), cut, True).drop("_cell"))
@@ -98,15 +122,21 @@ def chronological_cut(df: DataFrame, keys: list[str], us: Column, ties: list[str
         parent = width
     marked = rows.withColumn("_row_cell", _cell(steps_us[-1]))
     if keys:
-        marked = marked.join(cut, keys, "left")
+        marked = marked.join(cut, keys, "left").join(goal.select(*keys, "_late"), keys, "left")
     else:
-        found = cut.first()
+        found, whole = cut.first(), goal.first()
         marked = marked.withColumns({c: F.lit(found and found[c]).cast("bigint") for c in ("_cell", "_need")})
+        marked = marked.withColumn("_late", F.lit(whole["_late"] if whole else 0).cast("bigint"))
+    untimed = F.col("_us").isNull()
     in_cut = F.coalesce(F.col("_row_cell") == F.col("_cell"), F.lit(False))
-    order = Window.partitionBy(*keys, "_row_cell").orderBy("_us", *ties)
-    numbered = marked.filter(in_cut).withColumn("is_train", F.row_number().over(order) <= F.col("_need"))
+    # Rows without a time need numbers only where some of them, and not all, are training rows.
+    contested = (in_cut | (untimed & (F.coalesce("_late", F.lit(0)) > 0)))
+    open_ = marked.filter(contested).withColumn("_untimed", untimed).withColumn(
+        "_need", F.when(untimed, F.col("_late")).otherwise(F.col("_need")))
+    numbered = ordinals(open_, [*keys, "_untimed"], ["_us", *[t for t in ties if t not in keys]])
+    numbered = numbered.withColumn("is_train", F.col("_pos") < F.col("_need"))
     # Without a cut cell every timed row is needed for training.
-    plain = marked.filter(~in_cut).withColumn(
-        "is_train", F.when(F.col("_us").isNull(), F.lit(False))
+    plain = marked.filter(~contested).withColumn(
+        "is_train", F.when(untimed, F.lit(False))
         .otherwise(F.col("_cell").isNull() | (F.col("_row_cell") < F.col("_cell"))))
-    return plain.unionByName(numbered).select(*df.columns, "is_train")
+    return plain.select(*df.columns, "is_train").unionByName(numbered.select(*df.columns, "is_train"))

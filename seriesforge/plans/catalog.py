@@ -53,7 +53,7 @@ def _ntz(text: str) -> Column:
 
 
 def _us(text: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, {times.EPOCH}, timestamp_ntz'{text}')")
+    return times.micros_of(_ntz(text))
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -688,7 +688,7 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_hourly_mean(spark, sf_dir):
-    """Hours the watermark has closed equal the batch means; the update mode keeps open ones too."""
+    """Hours the watermark has closed equal the batch means; open ones are not written yet."""
     out = fresh_path(spark, "stream-hours")
     means = ST.hourly_means(AD.readings(_event_stream(spark, sf_dir)))
     ST.write_available(means, out, fresh_path(spark, "stream-hours-progress"))

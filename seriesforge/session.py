@@ -60,6 +60,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and the path itself, for listings, renames and deletes."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate this package wrote itself and nobody reads any more."""
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, label)

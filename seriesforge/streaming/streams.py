@@ -67,15 +67,17 @@ def alerts(stream: DataFrame, as_of_us: Column, spec: SeriesSpec = _SPEC) -> Dat
 
 def hourly_means(stream: DataFrame, late: str = "3 hours", spec: SeriesSpec = _SPEC) -> DataFrame:
     """Mean per key and hour. The watermark bounds the state; hours close once it has passed."""
-    timed = stream.withColumn("_event", F.col(spec.ts).cast("timestamp")) if not stream.isStreaming else (
-        stream.withColumn("_event", F.col(spec.ts).cast("timestamp")).withWatermark("_event", late))
+    # The instant that shows this time in UTC: windows then are UTC hours whatever the session zone.
+    timed = stream.withColumn("_event", F.timestamp_micros(times.micros(spec.ts)))
+    if stream.isStreaming:
+        timed = timed.withWatermark("_event", late)
     hour = F.window("_event", "1 hour")
     return (timed.groupBy(hour.alias("_w"), spec.key)
             .agg(F.avg(spec.value).alias(spec.value), F.count(spec.value).alias("n"))
-            .select(spec.key, F.col("_w.start").cast("timestamp_ntz").alias("hour"), spec.value, "n"))
+            .select(spec.key, times.from_micros(F.unix_micros("_w.start")).alias("hour"), spec.value, "n"))
 
 
-def write_available(result: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything that has arrived into a parquet folder, then stop."""
-    (result.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint)
+def write_available(result: DataFrame, path: str, checkpoint: str) -> None:
+    """Process everything that has arrived into a parquet folder, then stop. The sink only appends."""
+    (result.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start(path).awaitTermination())

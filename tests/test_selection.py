@@ -45,7 +45,27 @@ def test_chronological_cut(spark, keys, fraction):
     for group in ([[r for r in rows if r[0] == k] for k in "abc"] if keys else [rows]):
         ordered = sorted(group, key=lambda r: (r[1] is None, r[1] or t0, r[0], r[2]))
         cut = int(len(ordered) * (1 - fraction))
-        want |= {r[2]: pos < cut and r[1] is not None for pos, r in enumerate(ordered)}
+        want |= {r[2]: pos < cut for pos, r in enumerate(ordered)}
+    assert got == want
+
+
+def test_rows_without_a_time_are_training_rows_where_the_others_do_not_suffice(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", t0 + timedelta(hours=i) if i < 5 else None, i) for i in range(10)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int")
+    for keys in ([], ["k"]):
+        got = {r.i: r.is_train for r in selection.chronological_cut(df, keys, times.micros("t"), ["k", "i"], 0.2).collect()}
+        assert got == {i: i < 8 for i in range(10)}
+
+
+def test_ordinals(spark):
+    rng = np.random.default_rng(2)
+    rows = [("hot" if i % 3 else str(i % 7), int(rng.integers(0, 50)), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v int, i int")
+    got = {r.i: r["_pos"] for r in selection.ordinals(df, ["g"], ["v", "i"]).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        want |= {r[2]: n for n, r in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: r[1:]))}
     assert got == want
 
 

@@ -35,8 +35,41 @@ def test_upsert_is_idempotent_and_latest_wins(spark, tmp_path):
     table.upsert(first.limit(0))
     assert len(content(table)) == 3
     assert table.scan_days(first="2024-01-02").count() == 1
-    plan = table.scan_days(first="2024-01-02")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert all("date=2024-01-02" in f for f in table.scan_days(first="2024-01-02").inputFiles())
+
+
+def test_an_interrupted_upsert_changes_nothing_and_its_rerun_completes_it(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS)
+    table.upsert(reading(spark, [("a", h, float(h), 1) for h in range(0, 72, 6)]))
+    before = content(table)
+    batch = reading(spark, [("a", 0, 100.0, 2), ("b", 30, 5.0, 3), ("c", 90, 6.0, 4)])
+    publish = KeyedTable._publish
+
+    def fail(*_):
+        raise OSError("lost between write and publication")
+
+    monkeypatch.setattr(KeyedTable, "_publish", fail)
+    with pytest.raises(OSError):
+        table.upsert(batch)
+    assert content(table) == before
+    monkeypatch.setattr(KeyedTable, "_publish", publish)
+    table.upsert(batch)
+    assert len(content(table)) == len(before) + 2 and ("a", T0, 100.0) in content(table)
+
+
+def test_a_second_writer_of_one_version_is_refused(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS).create()
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._publish(1, {})
+
+
+def test_old_day_folders_are_retired(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS)
+    for n in range(5):
+        table.upsert(reading(spark, [("a", 0, float(n), n)]))
+    assert len(list((tmp_path / "raw" / "manifests").glob("[0-9]*.json"))) == 2
+    assert len(list((tmp_path / "raw" / "data").glob("*/date=*"))) == 2
+    assert content(table) == [("a", T0, 4.0)]
 
 
 def test_recomputed_row_replaces_the_stored_one(spark, tmp_path):
