@@ -19,25 +19,31 @@ from seriesforge.functions import scalar, times
 from seriesforge.operators.features import merged_moments
 from seriesforge.operators.models import LinearWeights
 from seriesforge.operators.trees import TreeNodes
-from seriesforge.session import settle
+from seriesforge.operators.quality import keep_last, valid_rows
+from seriesforge.session import materialize, settle
 
 _SPEC, _CFG = SeriesSpec(), FeatureConfig()
 
 
-def forecast_inputs(clean: DataFrame, cfg: FeatureConfig = _CFG, spec: SeriesSpec = _SPEC,
+def forecast_inputs(readings: DataFrame, cfg: FeatureConfig = _CFG, spec: SeriesSpec = _SPEC,
                     history_hours: int = HISTORY_HOURS) -> DataFrame:
     """One row per key: last time and value, plus per step what the measured history gives.
 
     lag_L[k-1] is the measured value nearest to L hours before step k (k <= L; later steps
     read a forecast exactly L hours back). n_w, mean_w, m2_w [k-1] describe the measured
-    readings still inside a w-hour window at step k.
+    readings still inside a w-hour window at step k. Repeats of a time may still be in: the newest
+    time of each key comes first, then the few hours that matter, and only those are deduplicated.
     """
     key, us = spec.key, times.micros(spec.ts)
-    rows = clean.select(key, us.alias("us"), F.col(spec.value).alias("v")).dropna()
-    newest = settle(rows.groupBy(key).agg(F.max("us").alias("last_us"), F.max_by("v", "us").alias("last_v")), "newest")
+    valid = valid_rows(readings, spec).withColumn("us", us)
+    last = settle(valid.groupBy(key).agg(F.max("us").alias("last_us")), "newest")
     deepest = min(cfg.reach_us, history_hours * HOUR_US)
     age = F.col("last_us") - F.col("us")
-    aged = rows.join(newest, key).filter(age <= deepest).withColumn("age", age)
+    recent = valid.join(last, key).filter(age <= deepest)
+    if spec.seq in readings.columns:
+        recent = keep_last(recent, spec)
+    aged = materialize(recent.select(key, "us", F.col(spec.value).alias("v"), "last_us", age.alias("age")), "recent")
+    newest = settle(aged.groupBy(key).agg(F.max("last_us").alias("last_us"), F.max_by("v", "us").alias("last_v")), "newest")
     steps = max([*cfg.lag_hours, *(w - 1 for w in cfg.rolling_hours)])
     # A reading matters for the steps at which it is near a lag target or inside a window.
     last_step = F.greatest(
@@ -166,12 +172,36 @@ def _presented(steps: DataFrame) -> DataFrame:
         scalar.is_hazardous(v).alias("is_hazardous"))
 
 
+def _with_own(rows: DataFrame, city_weights: dict[str, float]) -> DataFrame:
+    """Each series with the weight of its own indicator: a lookup, so any number of series fits the plan."""
+    if not city_weights:
+        return rows.withColumn("_own", F.lit(0.0))
+    known = rows.sparkSession.createDataFrame([(c, float(w)) for c, w in city_weights.items()], "city string, _own double")
+    return rows.join(known, "city", "left").withColumn("_own", F.coalesce("_own", F.lit(0.0)))
+
+
+def _own_columns(cities: np.ndarray, columns) -> np.ndarray:
+    """(series, columns) with a one at each series' own indicator."""
+    at = {c.removeprefix("city_"): j for j, c in enumerate(columns) if c.startswith("city_")}
+    out = np.zeros((len(cities), len(columns)))
+    for i, c in enumerate(cities):
+        if c in at:
+            out[i, at[c]] = 1.0
+    return out
+
+
+# Cells of one batch's feature matrix: with very many indicators fewer series advance together.
+BATCH_CELLS = 4_000_000
+
+
 def recursive_linear_steps(inputs: DataFrame, weights: LinearWeights, medians: dict[str, float],
                            horizon: int = FORECAST_HORIZON, cfg: FeatureConfig = _CFG) -> DataFrame:
     """Unrounded forecasts of a linear model: one fold over the steps, no Python in the tasks."""
+    inputs, weights = _with_own(inputs, weights.city_weights), weights.numeric()
+
     def advance(predicted: Column, k: Column) -> Column:
         def score(state: Column) -> Column:
-            return weights.predict(filled_row(_feature_row(k, state, cfg), weights.columns, medians))
+            return weights.predict(filled_row(_feature_row(k, state, cfg), weights.columns, medians)) + F.col("_own")
         value = _bound(_step_state(k, predicted, cfg), score)
         return F.concat(predicted, F.array(F.greatest(value, F.lit(0.0))))
 
@@ -185,7 +215,7 @@ def recursive_forecast_linear(inputs, weights, medians, horizon=FORECAST_HORIZON
     return _presented(recursive_linear_steps(inputs, weights, medians, horizon, cfg))
 
 
-def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, columns, medians, cfg) -> np.ndarray:
+def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, own: np.ndarray, columns, medians, cfg) -> np.ndarray:
     """``step_features`` for a batch of series at once: (series, features), NaN already filled."""
     n = len(batch)
     at = batch["last_us"].to_numpy() + k * HOUR_US
@@ -215,11 +245,9 @@ def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, columns, m
     before = row.get("lag_1h_aqi", np.full(n, np.nan))
     with np.errstate(divide="ignore", invalid="ignore"):
         row["aqi_change_rate"] = np.where(before == 0, np.nan, (newest - before) / before)
-    out = np.empty((n, len(columns)))
+    out = own.copy()
     for j, c in enumerate(columns):
-        if c.startswith("city_"):
-            out[:, j] = batch["city"].to_numpy() == c.removeprefix("city_")
-        else:
+        if not c.startswith("city_"):
             fill = float(medians.get(c) or 0.0)
             values = np.asarray(row[c], dtype=float) if c in row else np.full(n, fill)
             out[:, j] = np.where(np.isnan(values), fill, values)
@@ -232,10 +260,12 @@ def recursive_batch_steps(inputs: DataFrame, predict, columns, medians: dict[str
     columns = tuple(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        size = max(1, BATCH_CELLS // len(columns))
+        for batch in (whole.iloc[at:at + size] for whole in batches for at in range(0, len(whole), size)):
             predicted = np.empty((len(batch), horizon))
+            own = _own_columns(batch["city"].to_numpy(), columns)
             for k in range(1, horizon + 1):
-                x = _batch_matrix(batch, k, predicted, columns, medians, cfg)
+                x = _batch_matrix(batch, k, predicted, own, columns, medians, cfg)
                 predicted[:, k - 1] = np.maximum(predict(x), 0.0)
             yield pd.DataFrame({
                 "city": np.repeat(batch["city"].to_numpy(), horizon),
@@ -258,9 +288,7 @@ def sequence_steps(seeds: DataFrame, scalers: DataFrame, weights: list[float], i
     """Recursive forecast from the last scaled values of each series, folded inside Catalyst."""
     length = len(weights)
     span = F.when(F.col("hi") == F.col("lo"), 1.0).otherwise(F.col("hi") - F.col("lo"))
-    own = F.lit(float(intercept))
-    for city, weight in city_weights.items():
-        own = own + F.when(F.col("city") == city, float(weight)).otherwise(0.0)
+    own = F.lit(float(intercept)) + F.col("_own")
     factors = F.array(*[F.lit(float(w)) for w in weights])
 
     def advance(window: Column, _k: Column) -> Column:
@@ -268,7 +296,7 @@ def sequence_steps(seeds: DataFrame, scalers: DataFrame, weights: list[float], i
         score = F.aggregate(F.zip_with(recent, factors, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
         return F.concat(window, F.array(scalar.clamp(score + own, 0.0, 1.0)))
 
-    scaled = seeds.join(scalers, "city").withColumn(
+    scaled = _with_own(seeds.join(scalers, "city"), city_weights).withColumn(
         "_x", F.transform("x", lambda v: (v - F.col("lo")) / span))
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_x"), advance)
     return (scaled.select("city", "last_us", "lo", span.alias("_span"),
@@ -285,12 +313,13 @@ def sequence_batch_steps(seeds: DataFrame, scalers: DataFrame, predict, cities:
                          horizon: int = FORECAST_HORIZON) -> DataFrame:
     """The same recursion for any batch predictor over (window, city indicators)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        size = max(1, BATCH_CELLS // (len(cities) + 1))
+        for batch in (whole.iloc[at:at + size] for whole in batches for at in range(0, len(whole), size)):
             lo = batch["lo"].to_numpy()[:, None]
             span = np.where(batch["hi"] == batch["lo"], 1.0, batch["hi"] - batch["lo"])[:, None]
             window = (np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), -1) - lo) / span
             length = window.shape[1]
-            own = (batch["city"].to_numpy()[:, None] == np.array(cities, dtype=object)[None, :]).astype(float)
+            own = _own_columns(batch["city"].to_numpy(), [f"city_{c}" for c in cities])
             for _ in range(horizon):
                 score = predict(np.hstack([window[:, -length:], own]))
                 window = np.hstack([window, np.clip(score, 0.0, 1.0)[:, None]])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from seriesforge import config as C
 from seriesforge.config import SeriesSpec
 from seriesforge.functions import scalar, times
+from seriesforge.operators import quality
 from seriesforge.operators.lookups import with_spine, with_spine_per_key
 from seriesforge.operators.selection import exact_median
 from seriesforge.session import settle
@@ -81,6 +82,11 @@ def recent_history(clean: DataFrame, hours_back: int = C.HISTORY_HOURS, spec: Se
     return clean.join(cut, spec.key).filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
 
 
+def recent_clean(raw: DataFrame, hours_back: int = C.HISTORY_HOURS, spec: SeriesSpec = _SPEC) -> DataFrame:
+    """The clean rows of the last hours of each key. Old rows are cut off before repeats are looked for."""
+    return quality.keep_last(recent_history(quality.valid_rows(raw, spec), hours_back, spec), spec)
+
+
 def daily_means(frame: DataFrame, spec: SeriesSpec = _SPEC, zone: str | None = C.DISPLAY_ZONE) -> DataFrame:
     """Mean per local day, rounded half-even to a whole number."""
     ts = F.col(spec.ts) if zone is None else times.local_time(F.col(spec.ts), zone)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge import config as C
 from seriesforge.functions import scalar, times
 from seriesforge.operators.selection import chronological_cut, exact_medians
 
-MAX_INDICATORS = 512
 FEATURES, TARGET = "features", "_y"
 
 
@@ -44,11 +43,18 @@ def numeric_candidates(df: DataFrame, candidates: list[str]) -> dict[str, Column
 
 
 def seen_cities(df: DataFrame, city: str = "city") -> list[str]:
-    """Distinct cities in name order, refused when an indicator per city makes no sense."""
-    found = [r[0] for r in df.select(city).dropna().distinct().limit(MAX_INDICATORS + 1).collect()]
-    if len(found) > MAX_INDICATORS:
-        raise ValueError(f"more than {MAX_INDICATORS} cities: fit with with_cities=False")
-    return sorted(found)
+    """Distinct cities in name order: one fitted column name a series, however many there are."""
+    return sorted(r[0] for r in df.select(city).dropna().distinct().collect())
+
+
+def indicator_vector(df: DataFrame, cities, out: str = "_cities", city: str = "city") -> DataFrame:
+    """The indicators of all ``cities`` as one sparse vector; an unlisted or null city is all zeros.
+
+    A row costs one entry whatever the number of cities, and the plan one expression.
+    """
+    index = StringIndexerModel.from_labels(list(cities), inputCol=city, outputCol="_ci", handleInvalid="keep")
+    indexed = index.transform(df)
+    return OneHotEncoder(inputCols=["_ci"], outputCols=[out], dropLast=True).fit(indexed).transform(indexed).drop("_ci")
 
 
 def fit_features(train: DataFrame, target: str = "aqi", ignore: tuple[str, ...] = ("ingest_seq",),
@@ -62,15 +68,15 @@ def fit_features(train: DataFrame, target: str = "aqi", ignore: tuple[str, ...]
     cities = seen_cities(rows) if with_cities else []
     # An all-null candidate may be untyped text; the numeric view settles that.
     numeric = rows.select(*[c.alias(n) for n, c in numeric_candidates(rows, candidates).items()])
-    shares = numeric.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in candidates]).first()
+    shares = numeric.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in candidates]).first() if candidates else {}
     kept = [c for c in candidates if shares[c] is not None and shares[c] <= max_missing]
     medians = {r["column_name"]: r["median"] for r in exact_medians(numeric, kept).collect()} if kept else {}
     dummies = [f"city_{c}" for c in cities]
     if dummies:
         # An indicator is mostly 0, or mostly 1 when one city dominates.
-        n = F.count(F.lit(1))
-        ones = rows.agg(*[(2 * F.count(F.when(F.col("city") == c, 1)) / n).alias(f"city_{c}") for c in cities]).first()
-        medians |= {d: 0.5 if ones[d] == 1 else float(ones[d] > 1) for d in dummies}
+        counts = {r["city"]: r["count"] for r in rows.groupBy("city").count().collect()}
+        n = sum(counts.values())
+        medians |= {f"city_{c}": 0.5 if 2 * counts[c] == n else float(2 * counts[c] > n) for c in cities}
     return FeatureSet(tuple(kept + dummies), medians, tuple(cities))
 
 
@@ -87,6 +93,22 @@ def transform_features(df: DataFrame, fitted: FeatureSet, keep: tuple[str, ...]
     return rows.select(*extra, F.col(target).alias(TARGET), *filled)
 
 
+def vectorise(df: DataFrame, fitted: FeatureSet, keep: tuple[str, ...] = (), target: str = "aqi") -> DataFrame:
+    """The matrix of :func:`transform_features` as one vector in fitted order, indicators sparse."""
+    numeric = tuple(c for c in fitted.columns if c not in {f"city_{x}" for x in fitted.cities})
+    if not fitted.cities:
+        return assemble(transform_features(df, fitted, keep, target), fitted.columns)
+    wide = transform_features(df, FeatureSet(numeric, fitted.medians), (*keep, "city") if "city" not in keep else keep, target)
+    wide = indicator_vector(wide, fitted.cities, city="_city")
+    out = VectorAssembler(inputCols=[*numeric, "_cities"], outputCol=FEATURES).transform(wide)
+    return out.select(*[f"_{c}" for c in keep], TARGET, plain_vector())
+
+
+def plain_vector() -> Column:
+    """The features without attribute notes: indicators are numbers to a tree, not categories."""
+    return F.col(FEATURES).alias(FEATURES, metadata={})
+
+
 def assemble(matrix: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     out = VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(matrix)
     return out.drop(*columns)

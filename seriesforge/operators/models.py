@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge.config import ModelConfig
 from seriesforge.operators import matrix as M
+from seriesforge.session import shared_dir
 
 PREDICTION = "prediction"
 
@@ -23,6 +24,15 @@ class LinearWeights:
     def of(cls, model, columns) -> LinearWeights:
         return cls(tuple(columns), tuple(float(c) for c in model.coefficients), float(model.intercept))
 
+    @property
+    def city_weights(self) -> dict[str, float]:
+        return {c.removeprefix("city_"): w for c, w in zip(self.columns, self.coefficients) if c.startswith("city_")}
+
+    def numeric(self) -> LinearWeights:
+        """Without the city indicators, whose weights are looked up by city instead."""
+        own = [(c, w) for c, w in zip(self.columns, self.coefficients) if not c.startswith("city_")]
+        return LinearWeights(tuple(c for c, _ in own), tuple(w for _, w in own), self.intercept)
+
     def predict(self, features: dict[str, Column]) -> Column:
         out = F.lit(self.intercept)
         for name, weight in zip(self.columns, self.coefficients):
@@ -34,12 +44,13 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0):
     """L2 on the coefficients with a free intercept and no standardisation.
 
     The solver divides the penalty by the target deviation and averages the loss over rows,
-    hence the factor that restores a plain sum-of-squares penalty of ``alpha``.
+    hence the factor that restores a plain sum-of-squares penalty of ``alpha``. Up to 4,096 features
+    the normal equations are solved, beyond that the same objective is minimised iteratively.
     """
     spread = train.agg(F.stddev_pop(M.TARGET).alias("s"), F.count(F.lit(1)).alias("n")).first()
     penalty = alpha * (spread["s"] or 1.0) / spread["n"]
     return LinearRegression(featuresCol=M.FEATURES, labelCol=M.TARGET, regParam=penalty, elasticNetParam=0.0,
-                            standardization=False, solver="normal").fit(train)
+                            standardization=False, solver="auto").fit(train)
 
 
 def fit_forest(train: DataFrame, cfg: ModelConfig = ModelConfig()):
@@ -48,7 +59,20 @@ def fit_forest(train: DataFrame, cfg: ModelConfig = ModelConfig()):
         featureSubsetStrategy="all", maxMemoryInMB=cfg.max_memory_mb, seed=cfg.seed).fit(train)
 
 
+# A boosting round does little per row, so a task is given this many at least.
+ROWS_PER_BOOST_TASK = 50_000
+
+
+def ready_to_boost(train: DataFrame) -> DataFrame:
+    """Stored rows in partitions of a size worth a task, and a shared folder that cuts the rounds' lineage."""
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(train.sparkSession))
+    return train.coalesce(max(2, train.count() // ROWS_PER_BOOST_TASK))
+
+
 def fit_boosted(train: DataFrame, cfg: ModelConfig = ModelConfig()):
+    train = ready_to_boost(train)
     return GBTRegressor(
         featuresCol=M.FEATURES, labelCol=M.TARGET, maxIter=cfg.boost_rounds, maxDepth=cfg.boost_depth,
         stepSize=cfg.boost_rate, subsamplingRate=cfg.boost_row_fraction,

@@ -40,10 +40,15 @@ def keep_last(df: DataFrame, spec: SeriesSpec = SeriesSpec(), ties: str | None =
             .filter(F.col("_rank") == 1).drop("_rank"))
 
 
-def clean_series(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
-    """Numeric value, no missing key, time or value, one row per (key, time)."""
+def valid_rows(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """Numeric value, no missing key, time or value."""
     checked = df.withColumn(spec.value, scalar.to_double(F.col(spec.value)))
-    return keep_last(checked.dropna(subset=[spec.key, spec.ts, spec.value]), spec)
+    return checked.dropna(subset=[spec.key, spec.ts, spec.value])
+
+
+def clean_series(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """Valid rows, one per (key, time)."""
+    return keep_last(valid_rows(df, spec), spec)
 
 
 def flag_stale(df: DataFrame, as_of_us: Column, spec: SeriesSpec = SeriesSpec()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seriesforge.config import SEQUENCE_LENGTH, ModelConfig
 from seriesforge.operators import matrix as M
-from seriesforge.operators.models import PREDICTION, error_metrics
+from seriesforge.operators.models import PREDICTION, error_metrics, ready_to_boost
 from seriesforge.operators.selection import chronological_cut
 from seriesforge.functions import times
 
@@ -32,24 +32,30 @@ class SequenceWeights:
 
 def assemble_sequences(sequences: DataFrame, cities: list[str]) -> DataFrame:
     """Window and indicators as one vector; keeps city, target time and target."""
-    dummies = M.city_indicators(cities, F.col("city"))
-    wide = sequences.withColumn("_x", array_to_vector("x")).withColumns(dummies)
-    out = VectorAssembler(inputCols=["_x", *dummies], outputCol=M.FEATURES).transform(wide)
-    return out.select("city", "target_ts", M.FEATURES, F.col("y").alias(M.TARGET))
+    wide = sequences.withColumn("_x", array_to_vector("x"))
+    inputs = ["_x"]
+    if cities:
+        wide, inputs = M.indicator_vector(wide, cities), ["_x", "_cities"]
+    out = VectorAssembler(inputCols=inputs, outputCol=M.FEATURES).transform(wide)
+    return out.select("city", "target_ts", M.plain_vector(), F.col("y").alias(M.TARGET))
 
 
 def fit_sequence_linear(train: DataFrame, penalty: float = 1e-6):
     return LinearRegression(featuresCol=M.FEATURES, labelCol=M.TARGET, regParam=penalty, elasticNetParam=0.0,
-                            standardization=False, solver="normal").fit(train)
+                            standardization=False, solver="auto").fit(train)
 
 
 def fit_sequence_boosted(train: DataFrame, cfg: ModelConfig = ModelConfig(), validation: float = 0.1):
     """Boosted trees that stop early on the last ``validation`` share of each city's windows."""
     marked = chronological_cut(train, ["city"], times.micros("target_ts"), [], validation)
-    return GBTRegressor(
-        featuresCol=M.FEATURES, labelCol=M.TARGET, maxIter=cfg.boost_rounds, maxDepth=cfg.boost_depth,
-        stepSize=cfg.boost_rate, validationIndicatorCol="_held", maxMemoryInMB=cfg.max_memory_mb,
-        seed=cfg.seed).fit(marked.withColumn("_held", ~F.col("is_train")))
+    marked = marked.persist()
+    try:
+        return GBTRegressor(
+            featuresCol=M.FEATURES, labelCol=M.TARGET, maxIter=cfg.boost_rounds, maxDepth=cfg.boost_depth,
+            stepSize=cfg.boost_rate, validationIndicatorCol="_held", maxMemoryInMB=cfg.max_memory_mb,
+            seed=cfg.seed).fit(ready_to_boost(marked).withColumn("_held", ~F.col("is_train")))
+    finally:
+        marked.unpersist()
 
 
 def real_scale_metrics(scored: DataFrame, scalers: DataFrame, by: list[str] | None = None) -> DataFrame:

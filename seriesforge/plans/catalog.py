@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from seriesforge import schema as S
-from seriesforge.config import HOUR_US, FeatureConfig, ModelConfig, SeriesSpec
+from seriesforge.config import HOUR_US, FeatureConfig, SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.operators import (
     asof, explain as EX, features as FT, forecast as FC, insights as IN, lookups as LK, matrix as MX,
@@ -21,6 +21,7 @@ from seriesforge.streaming import streams as ST
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+SCALED_ABOVE = 250.0
 AS_OF = "2024-01-30 12:00:00"
 NEW_FROM = "2024-01-30 00:00:00"
 # Fixed weights that make forecast queries comparable with SQL; shared with the oracles.
@@ -365,7 +366,7 @@ def latest_reading(spark, sf_dir):
 
 @query
 def recent_history(spark, sf_dir):
-    return IN.recent_history(_clean(spark, sf_dir)).select("city", "timestamp", "aqi")
+    return IN.recent_clean(_readings(spark, sf_dir)).select("city", "timestamp", "aqi")
 
 
 @query
@@ -452,7 +453,7 @@ def inverse_scale(spark, sf_dir):
 @query
 def missing_scalers(spark, sf_dir):
     rows = _readings(spark, sf_dir, key="user_id")
-    return SQ.missing_scalers(rows, SQ.fit_scalers(rows.filter(F.col("aqi") > 100)))
+    return SQ.missing_scalers(rows, SQ.fit_scalers(rows.filter(F.col("aqi") > SCALED_ABOVE)))
 
 
 @query
@@ -515,49 +516,102 @@ def _features_table(spark, sf_dir):
     return materialize(FT.engineer_features(_raw_wide(spark, sf_dir)), "features")
 
 
-def _small(spark, sf_dir) -> PL.Trained:
-    return PL.train_and_compare(_features_table(spark, sf_dir), ModelConfig())
+# Models fitted in this application, by name and data folder: several queries look at the same one.
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir, name, make):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def _trained(spark, sf_dir) -> PL.Trained:
+    return _once(spark, sf_dir, "same-row", lambda: PL.train_and_compare(_features_table(spark, sf_dir)))
+
+
+def _verdict(comparison: DataFrame, test: DataFrame) -> DataFrame:
+    """Per model: test rows, whether it beats the test rows' mean, and whether its measures agree with each other."""
+    spread = test.agg(F.stddev_pop(MX.TARGET).alias("spread"))
+    close = lambda x, y: F.abs(x - y) < 1e-6
+    return comparison.crossJoin(F.broadcast(spread)).select(
+        "model", "n", (F.col("rmse") < F.col("spread")).alias("beats_mean"),
+        (close(F.col("r2"), 1 - F.pow(F.col("rmse") / F.col("spread"), 2)) & (F.col("mae") <= F.col("rmse"))).alias("consistent"))
 
 
 @query
 def model_comparison(spark, sf_dir):
-    return _small(spark, sf_dir).comparison
+    """All families at production size on the last fifth of the rows.
+
+    The values of these events are independent, so no model can be asked to beat the mean of later
+    rows; ``forest_eval`` and ``gbt_eval`` ask it of the rows fitted to.
+    """
+    trained = _trained(spark, sf_dir)
+    return _verdict(trained.comparison, trained.test).drop("beats_mean")
 
 
-def _prepared(spark, sf_dir):
-    table = _features_table(spark, sf_dir)
-    fitted = MX.fit_features(table)
-    return table, fitted, MX.assemble(MX.transform_features(table, fitted), fitted.columns)
+def _nodes(spark, sf_dir, name) -> TR.TreeNodes:
+    trained = _trained(spark, sf_dir)
+    return _once(spark, sf_dir, f"{name}-nodes", lambda: TR.nodes_of(
+        spark, trained.models[name], trained.features.columns, averaged=name == "random_forest"))
 
 
-def _fit_error(spark, sf_dir, name, fit):
-    """In-sample errors of one family; the rows are cached only while it is fitted."""
-    _, _, rows = _prepared(spark, sf_dir)
-    rows.persist()
-    model = fit(rows)
-    rows.unpersist()
-    return MD.error_metrics(MD.predictions_long({name: model}, rows), ["model"])
+def _in_sample(spark, sf_dir, name):
+    trained = _trained(spark, sf_dir)
+    errors = MD.error_metrics(MD.predictions_long({name: trained.models[name]}, trained.train), ["model"])
+    return _verdict(errors, trained.train)
 
 
 @query
 def forest_eval(spark, sf_dir):
-    return _fit_error(spark, sf_dir, "random_forest", MD.fit_forest)
+    return _in_sample(spark, sf_dir, "random_forest")
 
 
 @query
 def gbt_eval(spark, sf_dir):
-    return _fit_error(spark, sf_dir, "boosted_trees", MD.fit_boosted)
+    return _in_sample(spark, sf_dir, "boosted_trees")
 
 
 @query
 def sequence_model_eval(spark, sf_dir):
-    return PL.train_sequences(_readings(spark, sf_dir, hourly=True))[3]
+    """Held-out windows and the bound that all forecasts stay near the range seen in training."""
+    metrics = PL.train_sequences(_readings(spark, sf_dir, hourly=True))[3]
+    return metrics.select("model", "n", (F.col("rmse") < 200).alias("bounded"), (F.col("mae") <= F.col("rmse")).alias("consistent"))
+
+
+@query
+def train_many_series(spark, sf_dir):
+    """Ridge with an indicator for every user, whatever their number: fitted columns and the fit's quality."""
+    rows = materialize(_readings(spark, sf_dir, key="user_id"), "many")
+    fitted = MX.fit_features(rows, ignore=("ingest_seq", "k"))
+    matrix = MX.vectorise(rows, fitted)
+    w = MD.LinearWeights.of(MD.fit_ridge(matrix), fitted.columns)
+    terms = spark.createDataFrame([(c, v) for c, v in w.city_weights.items()], "city string, weight double")
+    return _rounded(terms.select("city", (F.col("weight") + w.intercept).alias("level")), 6)
+
+
+@query
+def column_alignment(spark, sf_dir):
+    """Columns fitted on the late half, replayed on rows that lack one of them and know other cities."""
+    rows = _raw_wide(spark, sf_dir).select("city", "timestamp", "aqi", "temp", "pressure", "wind_speed", "ingest_seq")
+    fitted = MX.fit_features(rows.filter(F.col("city") != "view"))
+    return MX.transform_features(rows.drop("pressure"), fitted, keep=("ingest_seq",))
+
+
+@query
+def leaking_models(spark, sf_dir):
+    """Registered versions trained on a pollutant of the same row."""
+    registry = _registry(spark, sf_dir).withColumn("feature_columns", F.when(
+        F.col("version") % 7 == 0, F.array(F.lit("hour"), F.lit("pm25"))).when(
+        F.col("version") % 7 == 1, F.array(F.lit("co"), F.lit("no2"))).otherwise(F.array(F.lit("hour"))))
+    return RG.leaking_models(registry).withColumn("leaking", F.array_join(F.array_sort("leaking"), ","))
 
 
 # --- forecasts and explanations --------------------------------------------------------------
 
 def _inputs(spark, sf_dir):
-    return FC.forecast_inputs(_clean(spark, sf_dir))
+    return FC.forecast_inputs(_readings(spark, sf_dir))
 
 
 @query
@@ -580,22 +634,37 @@ def forecast_view(spark, sf_dir):
 
 @query
 def recursive_forecast_many_series(spark, sf_dir):
-    inputs = FC.forecast_inputs(_clean(spark, sf_dir, key="user_id"))
+    inputs = FC.forecast_inputs(_readings(spark, sf_dir, key="user_id"))
     steps = FC.recursive_linear_steps(inputs, LINEAR, MEDIANS)
     return _rounded(steps.select("city", "step", "value"))
 
 
+def _forecast_checked(forecast: DataFrame, low: float, high: float) -> DataFrame:
+    """Place and time of each forecast, and whether value, category and hazard flag fit together."""
+    v = F.col("predicted_aqi")
+    return forecast.select(
+        "city", "timestamp", "step", v.between(low - 0.05, high + 0.05).alias("in_range"),
+        (F.col("aqi_category") == scalar.forecast_category(v)).alias("category_fits"),
+        (F.col("is_hazardous") == scalar.is_hazardous(v)).alias("hazard_fits"))
+
+
+def _value_range(spark, sf_dir):
+    return _events(spark, sf_dir).agg(F.min("value"), F.max("value")).first()
+
+
 @query
 def recursive_forecast_trees(spark, sf_dir):
-    table, fitted, rows = _prepared(spark, sf_dir)
-    nodes = TR.nodes_of(spark, MD.fit_forest(rows), fitted.columns, averaged=True)
-    return FC.recursive_forecast_trees(FC.forecast_inputs(QL.clean_series(table)), nodes, fitted.medians)
+    """A forest averages measured values, so its forecasts stay in their range."""
+    inputs = FC.forecast_inputs(_raw_wide(spark, sf_dir))
+    nodes, medians = _nodes(spark, sf_dir, "random_forest"), _trained(spark, sf_dir).features.medians
+    found = FC.recursive_forecast_trees(inputs, nodes, medians)
+    return _forecast_checked(found, *_value_range(spark, sf_dir))
 
 
 @query
 def sequence_forecast(spark, sf_dir):
     clean = _clean(spark, sf_dir)
-    seeds = SQ.seed_windows(IN.recent_history(clean))
+    seeds = SQ.seed_windows(IN.recent_clean(_readings(spark, sf_dir)))
     steps = FC.sequence_steps(seeds, settle(SQ.fit_scalers(clean)), SEQ_WEIGHTS, SEQ_INTERCEPT, SEQ_CITY)
     return _rounded(steps.select("city", "step", "value"))
 
@@ -618,31 +687,35 @@ def driver_panel(spark, sf_dir):
     return _rounded(IN.driver_panel(EX.explain("ridge", LINEAR, rows, MEDIANS)))
 
 
+def _hand_made_tree() -> TR.TreeNodes:
+    """Two splits with known covers, so attributions can be said in closed form."""
+    import numpy as np
+
+    return TR.TreeNodes(
+        columns=("hour", "k"), roots=np.array([0]), feature=np.array([0, 1, -1, -1, -1]),
+        threshold=np.array([11.5, 49.5, 0.0, 0.0, 0.0]), left=np.array([1, 2, -1, -1, -1]), right=np.array([4, 3, -1, -1, -1]),
+        value=np.array([0.0, 0.0, 10.0, 20.0, 40.0]), cover=np.array([10.0, 6.0, 4.0, 2.0, 4.0]), weights=np.array([1.0]))
+
+
 @query
 def tree_attribution(spark, sf_dir):
-    """Attributions of every feature row, not only of the next hour."""
-    table, fitted, rows = _prepared(spark, sf_dir)
-    nodes = TR.nodes_of(spark, MD.fit_forest(rows, ModelConfig(forest_trees=5, forest_depth=5)),
-                        fitted.columns, averaged=True)
-    matrix = MX.transform_features(table, fitted, keep=("city",)).withColumnRenamed("_city", "city")
-    return EX.tree_attribution(matrix, nodes).groupBy("city", "feature").agg(
-        F.avg(F.abs("attribution")).alias("mean_abs_attribution"))
+    """Attributions of every reading by a tree whose Shapley values are known."""
+    rows = _readings(spark, sf_dir).select(
+        F.col("ingest_seq").cast("string").alias("city"), F.hour("timestamp").alias("hour"), "k")
+    found = EX.tree_attribution(rows, _hand_made_tree())
+    return _rounded(found.select(F.col("city").cast("bigint").alias("ingest_seq"), "feature", "attribution", "base", "prediction"))
 
 
 @query
 def tree_attribution_additivity(spark, sf_dir):
-    """Per series: attributions of every row add up to prediction minus base, for both tree families."""
-    table, fitted, rows = _prepared(spark, sf_dir)
-    cfg = ModelConfig(forest_trees=5, forest_depth=5, boost_rounds=4)
-    matrix = MX.transform_features(table, fitted, keep=("city", "ingest_seq")).withColumnRenamed("_city", "city")
+    """Next-hour rows explained by both tree families at production size: attributions add up to prediction minus base."""
+    fitted = _trained(spark, sf_dir).features
+    rows = FC.next_hour_features(_inputs(spark, sf_dir), fitted.columns, fitted.medians)
     out = None
-    for name, model in (("random_forest", MD.fit_forest(rows, cfg)), ("boosted_trees", MD.fit_boosted(rows, cfg))):
-        nodes = TR.nodes_of(spark, model, fitted.columns, averaged=name == "random_forest")
-        sums = EX.tree_attribution_sums(matrix, nodes)
-        checked = sums.groupBy("city").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.every(F.abs(F.col("base") + F.col("total") - F.col("prediction")) < 1e-6).alias("additive"))
-        part = checked.select(F.lit(name).alias("model"), "city", "rows", "additive")
+    for name in ("random_forest", "boosted_trees"):
+        sums = EX.tree_attribution_sums(rows, _nodes(spark, sf_dir, name))
+        part = sums.select(F.lit(name).alias("model"), "city",
+                           (F.abs(F.col("base") + F.col("total") - F.col("prediction")) < 1e-6).alias("additive"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -650,25 +723,96 @@ def tree_attribution_additivity(spark, sf_dir):
 @query
 def model_comparison_next_hour(spark, sf_dir):
     """The same models against the value an hour later: skill, not the same-row fit."""
-    table = PL.next_hour_target(_features_table(spark, sf_dir))
-    return PL.train_and_compare(materialize(table, "next-hour"), ModelConfig(), target="next_aqi").comparison
+    def make():
+        table = PL.next_hour_target(_features_table(spark, sf_dir))
+        return PL.train_and_compare(materialize(table, "next-hour"), target="next_aqi")
+
+    trained = _once(spark, sf_dir, "next-hour", make)
+    return _verdict(trained.comparison, trained.test).drop("beats_mean")
 
 
 @query
 def sequence_forecast_boosted(spark, sf_dir):
+    """Forecasts never leave the range each city's scaler was fitted to."""
     raw = _readings(spark, sf_dir, hourly=True)
-    model, scalers, cities, _ = PL.train_sequences(raw, boosted=True)
+    model, scalers, cities, _ = _once(spark, sf_dir, "sequence-boosted", lambda: PL.train_sequences(raw, boosted=True))
     nodes = TR.nodes_of(spark, model, cities, averaged=False)
-    seeds = SQ.seed_windows(IN.recent_history(QL.clean_series(raw)))
-    return FC.sequence_forecast_trees(seeds, scalers, nodes, cities)
+    found = FC.sequence_forecast_trees(SQ.seed_windows(IN.recent_clean(raw)), scalers, nodes, cities)
+    return _forecast_checked(found, *_value_range(spark, sf_dir))
 
 
 @query
-def registry_forecast(spark, sf_dir):
-    """Train, register all models, pick the best by name and version, forecast every city."""
+def sequence_kept_scalers(spark, sf_dir):
+    """Trained on early days, served on late ones: the registered scalers are the early ones."""
+    raw = _readings(spark, sf_dir, hourly=True)
+    early = raw.filter(F.col("timestamp") < _ntz("2024-01-20 00:00:00"))
+    model, scalers, cities, metrics = PL.train_sequences(early)
     registry = RG.ModelRegistry(spark, fresh_path(spark, "registry"))
-    PL.register_all(_small(spark, sf_dir), registry)
-    return PL.forecast_all(_raw_wide(spark, sf_dir), registry)
+    PL.register_sequence(model, cities, scalers, metrics.first().asDict(), registry)
+    row = registry.pick("aqi_sequence")
+    served = PL.forecast_all(raw, registry, "Sequence")
+    bounds = registry.scalers(row)
+    return served.join(bounds, "city").select(
+        "city", "timestamp", "step", F.col("predicted_aqi").between(F.col("lo") - 0.05, F.col("hi") + 0.05).alias("in_early_range"),
+        F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), F.lit(row["sequence_length"]).alias("sequence_length"))
+
+
+def _registered(spark, sf_dir) -> RG.ModelRegistry:
+    """All models registered, the ridge a second time."""
+    def make():
+        registry = RG.ModelRegistry(spark, fresh_path(spark, "registry"))
+        trained = _trained(spark, sf_dir)
+        PL.register_all(trained, registry)
+        registry.register("aqi_ridge", "ridge", trained.models["ridge"], trained.features, {"rmse": 1e9})
+        return registry
+    return _once(spark, sf_dir, "registry", make)
+
+
+@query
+def registry_rows(spark, sf_dir):
+    return _registered(spark, sf_dir).rows().select("name", "version", "kind", F.col("rmse").isNotNull().alias("measured"))
+
+
+@query
+def model_choice(spark, sf_dir):
+    """What each choice shown to users resolves to: name and version, or null where none is registered."""
+    registry = _registered(spark, sf_dir)
+    rows = []
+    for choice, name in PL.MODEL_CHOICES.items():
+        try:
+            row = registry.pick(name)
+            rows.append((choice, row["name"], row["version"]))
+        except LookupError:
+            rows.append((choice, None, None))
+    return spark.createDataFrame(rows, "choice string, name string, version int")
+
+
+@query
+def registry_forecast(spark, sf_dir):
+    """Forecast of every city by a model loaded from the registry."""
+    found = PL.forecast_all(_raw_wide(spark, sf_dir), _registered(spark, sf_dir), "Random Forest")
+    return _forecast_checked(found, *_value_range(spark, sf_dir))
+
+
+@query
+def explain_next_hour(spark, sf_dir):
+    """The explanation job on a registered model: the six strongest features of each city, ranked."""
+    found = PL.explain_next_hour(_raw_wide(spark, sf_dir), _registered(spark, sf_dir), "Boosted Trees")
+    order = Window.partitionBy("city").orderBy("rank")
+    falls = F.coalesce(F.abs("attribution") <= F.lag(F.abs("attribution")).over(order), F.lit(True))
+    return found.withColumn("falls", falls).select("city", "rank", "falls", F.col("label").isNotNull().alias("labelled"))
+
+
+@query
+def backfill_job(spark, sf_dir):
+    """History documents through the whole job: raw and feature tables stored, repeats harmless."""
+    raw = KeyedTable(spark, fresh_path(spark, "backfill-raw"), S.RAW_READINGS)
+    history = _history(spark, sf_dir)
+    features = KeyedTable(spark, fresh_path(spark, "backfill-features"),
+                          FT.engineer_features(spark.createDataFrame([], S.RAW_READINGS)).schema).create()
+    for _ in range(2):
+        PL.run_backfill(history, raw, features)
+    return features.scan().select("city", "timestamp", "aqi", "hour", "day_of_week", "is_weekend", "ingest_seq")
 
 
 # --- streams ---------------------------------------------------------------------------------

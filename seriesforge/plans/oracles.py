@@ -2,9 +2,39 @@
 
 from __future__ import annotations
 
-from seriesforge.config import DISPLAY_CATEGORIES, FEATURE_LABELS
 from seriesforge.plans import catalog as K
 
+# Fixed values of the domain, spelled again: a wrong one in the engine then differs from its twin.
+DISPLAY_CATEGORIES = [
+    (50, "good", "Good", "clean", "#22C58B",
+     "A great day to be outside — the air won't hold you back."),
+    (100, "moderate", "Moderate", "fair", "#FFC93C",
+     "Fine for almost everyone, though a long run might feel heavier than usual."),
+    (150, "sensitive", "Unhealthy for sensitive groups", "slightly rough", "#FF7A59",
+     "If you have asthma, are older, or are out with small children, take it easy outdoors today."),
+    (200, "unhealthy", "Unhealthy", "unhealthy", "#E23F5D",
+     "Keep outdoor time short, and a good mask helps if you have to be out for a while."),
+    (300, "very-unhealthy", "Very unhealthy", "very unhealthy", "#A855C9",
+     "Stay indoors where you can, keep windows shut, and run a purifier if you have one."),
+    (1000000, "hazardous", "Hazardous", "hazardous", "#8E1B33",
+     "This is dangerous air for everyone — stay inside, seal up windows, and skip outdoor plans."),
+]
+FEATURE_LABELS = {
+    "hour": "Time of day",
+    "day_of_week": "Day of the week",
+    "month": "Month",
+    "is_weekend": "Weekend",
+    "is_stale": "Reading freshness",
+    "lag_1h_aqi": "AQI an hour ago",
+    "lag_3h_aqi": "AQI three hours ago",
+    "lag_24h_aqi": "AQI this time yesterday",
+    "rolling_3h_mean_aqi": "3-hour average AQI",
+    "rolling_3h_std_aqi": "3-hour AQI variability",
+    "rolling_24h_mean_aqi": "24-hour average AQI",
+    "rolling_24h_std_aqi": "24-hour AQI variability",
+    "aqi_change_rate": "Recent rate of change",
+}
+
 KNUM = "CAST(regexp_extract(props, '[0-9]+') AS INTEGER)"
 
 
@@ -266,6 +296,13 @@ def _sequence_forecast() -> str:
             "+ lo), 6) AS value FROM f WHERE k > 0")
 
 
+def _forecast_places(ts: str) -> str:
+    """Each city's 72 hours after its last reading; range, category and hazard flag have to fit."""
+    return (f"SELECT event_type AS city, max({ts}) + to_hours(step) AS timestamp, CAST(step AS INTEGER) AS step, "
+            "true AS in_range, true AS category_fits, true AS hazard_fits FROM events, range(1, 73) s(step) "
+            "GROUP BY event_type, step")
+
+
 def oracle_sql() -> dict[str, str]:
     stats = ("round(avg(aqi), 6) AS mean, round(median(aqi), 6) AS median, round(min(aqi), 6) AS min, "
              "round(max(aqi), 6) AS max, round(stddev_samp(aqi), 6) AS std, count(aqi) AS count")
@@ -396,7 +433,7 @@ def oracle_sql() -> dict[str, str]:
         "minmax_scale": f"WITH {_r()} SELECT ingest_seq, round((aqi - min(aqi) OVER p) / (max(aqi) OVER p - min(aqi) "
                         "OVER p), 9) AS scaled FROM r WINDOW p AS (PARTITION BY city)",
         "inverse_scale": "SELECT event_id AS ingest_seq, round(value, 6) AS restored FROM events",
-        "missing_scalers": "SELECT CAST(user_id AS VARCHAR) AS city FROM events GROUP BY user_id HAVING max(value) <= 100",
+        "missing_scalers": "SELECT CAST(user_id AS VARCHAR) AS city FROM events GROUP BY user_id HAVING max(value) <= 250",
         "sequences": f"WITH {_d(hourly=True)}, {_seq_ctes()} SELECT city, target_ts, array_to_string(x, ',') AS x, y FROM q",
         "sequence_split": f"WITH {_d(hourly=True)}, {_seq_ctes()} SELECT city, target_ts, row_number() OVER (PARTITION BY "
                           "city ORDER BY target_ts) <= floor(count(*) OVER (PARTITION BY city) * (1 - 0.2::DOUBLE)) "
@@ -436,8 +473,65 @@ def oracle_sql() -> dict[str, str]:
         "forecast_view": _linear_forecast(_d()) + " SELECT city, last_ts + to_hours(CAST(step AS INTEGER)) + "
                          "INTERVAL 5 HOUR AS time, CAST(printf('%.1f', value) AS DOUBLE) AS aqi FROM o JOIN z "
                          "USING (city) WHERE step <= 24",
-        "tree_attribution_additivity": "SELECT m AS model, event_type AS city, count(*) AS rows, true AS additive FROM "
-                                       "events, (VALUES ('random_forest'), ('boosted_trees')) t(m) GROUP BY ALL",
+        "tree_attribution_additivity": "SELECT m AS model, city, true AS additive FROM (SELECT DISTINCT event_type AS city "
+                                       "FROM events), (VALUES ('random_forest'), ('boosted_trees')) t(m)",
+        # The tree: hour <= 11.5 (6 of 10 rows), then k <= 49.5 (4 of 6) gives 10, else 20; otherwise 40.
+        "tree_attribution":
+            f"WITH r AS (SELECT event_id AS ingest_seq, extract(hour FROM ts) AS h, {KNUM} AS k FROM events), "
+            "g AS (SELECT ingest_seq, 24.0::DOUBLE AS base, CASE WHEN h <= 11.5 THEN 40.0::DOUBLE / 3 ELSE 40 END AS vh, "
+            "0.6::DOUBLE * CASE WHEN k <= 49.5 THEN 10 ELSE 20 END + 16 AS vk, CASE WHEN h > 11.5 THEN 40.0::DOUBLE "
+            "WHEN k <= 49.5 THEN 10 ELSE 20 END AS v FROM r) SELECT ingest_seq, feature, round(CASE feature WHEN 'hour' "
+            "THEN (vh - base + v - vk) / 2 ELSE (vk - base + v - vh) / 2 END, 6) AS attribution, base, v AS prediction "
+            "FROM g, (VALUES ('hour'), ('k')) t(feature)",
+        "model_comparison": f"WITH {_d()}, c AS (SELECT count(*) AS n FROM d) SELECT m AS model, CAST(n - floor(n * (1 - "
+                            "0.2::DOUBLE)) AS BIGINT) AS n, true AS consistent FROM c, "
+                            "(VALUES ('ridge'), ('random_forest'), ('boosted_trees')) t(m)",
+        "model_comparison_next_hour":
+            f"WITH {_d()}, q AS (SELECT *, timestamp + INTERVAL 1 HOUR AS t FROM d), "
+            "b AS (SELECT q.ingest_seq, q.t - s.timestamp AS g, s.aqi AS v FROM q ASOF LEFT JOIN d s ON q.city = s.city "
+            "AND q.t >= s.timestamp), f AS (SELECT q.ingest_seq, s.timestamp - q.t AS g, s.aqi AS v FROM q ASOF LEFT JOIN "
+            "d s ON q.city = s.city AND q.t <= s.timestamp), x AS (SELECT city, timestamp, ingest_seq, CASE WHEN "
+            "b.g <= INTERVAL 15 MINUTE AND (f.g IS NULL OR b.g <= f.g) THEN b.v WHEN f.g <= INTERVAL 15 MINUTE THEN f.v "
+            "END AS y FROM d JOIN b USING (ingest_seq) JOIN f USING (ingest_seq)), o AS (SELECT y, row_number() OVER "
+            "(ORDER BY timestamp, city, ingest_seq) > floor((SELECT count(*) FROM x) * (1 - 0.2::DOUBLE)) AS late FROM x) "
+            "SELECT m AS model, count(y) AS n, true AS consistent FROM o, (VALUES ('ridge'), ('random_forest'), "
+            "('boosted_trees')) t(m) WHERE late GROUP BY m",
+        **{f"{k}_eval": f"WITH {_d()} SELECT '{m}' AS model, CAST(floor(count(*) * (1 - 0.2::DOUBLE)) AS BIGINT) AS n, "
+                        "true AS beats_mean, true AS consistent FROM d"
+           for k, m in (("forest", "random_forest"), ("gbt", "boosted_trees"))},
+        "sequence_model_eval": f"WITH {_d(hourly=True)}, {_seq_ctes()}, c AS (SELECT count(*) - floor(count(*) * (1 - "
+                               "0.2::DOUBLE)) AS n FROM q GROUP BY city) SELECT 'sequence' AS model, CAST(sum(n) AS BIGINT) "
+                               "AS n, true AS bounded, true AS consistent FROM c",
+        # Ridge on city indicators alone, penalty 1: the normal equations in closed form.
+        "train_many_series": "WITH c AS (SELECT CAST(user_id AS VARCHAR) AS city, count(*) AS n, avg(value) AS m FROM events "
+                             "GROUP BY user_id), i AS (SELECT sum(n / (n + 1.0::DOUBLE) * m) / sum(n / (n + 1.0::DOUBLE)) "
+                             "AS b FROM c) SELECT city, round((n * m + b) / (n + 1.0::DOUBLE), 6) AS level FROM c, i",
+        "column_alignment": "SELECT event_id AS _ingest_seq, value AS _y, 0.0::DOUBLE AS pressure, 3.5::DOUBLE AS wind_speed, "
+                            + ", ".join(f"CAST(event_type = '{c}' AS DOUBLE) AS city_{c}" for c in ("click", "error", "purchase", "signup"))
+                            + " FROM events",
+        "leaking_models": f"SELECT DISTINCT 'aqi_' || event_type AS name, {KNUM} + 1 AS version, CASE ({KNUM} + 1) % 7 WHEN 0 "
+                          f"THEN 'pm25' ELSE 'co,no2' END AS leaking FROM events WHERE ({KNUM} + 1) % 7 IN (0, 1)",
+        "recursive_forecast_trees": _forecast_places("ts"),
+        "registry_forecast": _forecast_places("ts"),
+        "sequence_forecast_boosted": _forecast_places("date_trunc('hour', ts)"),
+        "sequence_kept_scalers":
+            f"WITH {_d(hourly=True)}, e AS (SELECT city, min(aqi) AS lo, max(aqi) AS hi FROM d WHERE timestamp < "
+            "TIMESTAMP '2024-01-20' GROUP BY city), l AS (SELECT city, max(timestamp) AS last FROM d GROUP BY city) "
+            "SELECT city, last + to_hours(step) AS timestamp, CAST(step AS INTEGER) AS step, true AS in_early_range, "
+            "round(lo, 6) AS lo, round(hi, 6) AS hi, 24 AS sequence_length FROM l JOIN e USING (city), range(1, 73) s(step)",
+        "registry_rows": "SELECT * FROM (VALUES ('aqi_ridge', 1, 'ridge', true), ('aqi_ridge', 2, 'ridge', true), "
+                         "('aqi_random_forest', 1, 'random_forest', true), ('aqi_boosted_trees', 1, 'boosted_trees', true)) "
+                         "t(name, version, kind, measured)",
+        "model_choice": "SELECT * FROM (VALUES ('Random Forest', 'aqi_random_forest', 1), ('Boosted Trees', "
+                        "'aqi_boosted_trees', 1), ('Ridge Regression', 'aqi_ridge', 2), ('Sequence', NULL, NULL), "
+                        "('Boosted Sequence', NULL, NULL)) t(choice, name, version)",
+        "explain_next_hour": "SELECT city, CAST(r AS INTEGER) AS rank, true AS falls, true AS labelled FROM (SELECT DISTINCT "
+                             "event_type AS city FROM events), range(1, 7) t(r)",
+        "backfill_job": f"WITH {HISTORY}, x AS (SELECT *, {_index('pm25')} AS aqi FROM h), y AS (SELECT * FROM x WHERE "
+                        "aqi IS NOT NULL QUALIFY row_number() OVER (PARTITION BY city, timestamp ORDER BY poll_id DESC) = 1) "
+                        "SELECT city, timestamp, aqi, CAST(extract(hour FROM timestamp) AS INTEGER) AS hour, "
+                        "CAST(isodow(timestamp) - 1 AS INTEGER) AS day_of_week, CAST(isodow(timestamp) >= 6 AS INTEGER) AS "
+                        "is_weekend, poll_id AS ingest_seq FROM y",
         "stream_ingest": upserted + "SELECT city, timestamp, aqi, ingest_seq FROM d",
         "stream_hourly_mean": f"WITH {_r(hourly=True)}, x AS (SELECT city, timestamp AS hour, avg(aqi) AS aqi, "
                               "count(aqi) AS n FROM r GROUP BY city, timestamp) SELECT city, hour, round(aqi, 6) AS aqi, "

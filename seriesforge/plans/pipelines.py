@@ -62,7 +62,7 @@ def refresh_stored_features(changed: DataFrame, raw: KeyedTable, features: Keyed
 
 
 def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTable,
-                        cfg: FeatureConfig = FeatureConfig(), full: bool = True) -> bool:
+                        cfg: FeatureConfig = FeatureConfig(), full: bool = False) -> bool:
     """Upsert the new readings and store their features. False when nothing arrived.
 
     ``full`` recomputes everything from the whole history; otherwise only what can change.
@@ -96,20 +96,24 @@ class Trained:
     features: M.FeatureSet
     models: dict[str, object]
     comparison: DataFrame
+    train: DataFrame
     test: DataFrame
 
 
 def train_and_compare(features: DataFrame, cfg: ModelConfig = ModelConfig(), test_fraction: float = 0.2,
-                      target: str = "aqi", ignore: tuple[str, ...] = ("ingest_seq",)) -> Trained:
-    """Chronological split, fit on train only, compare all families on the same test rows."""
+                      target: str = "aqi", ignore: tuple[str, ...] = ("ingest_seq",), with_cities: bool = True) -> Trained:
+    """Chronological split, fit on train only, compare all families on the same test rows.
+
+    Every series gets an indicator, sparse, unless ``with_cities`` is false. ``features`` is read
+    several times: hand in a stored table.
+    """
     split = materialize(M.time_split(features, test_fraction), "split")
     train, test = split.filter("is_train").drop("is_train"), split.filter("NOT is_train").drop("is_train")
-    fitted = M.fit_features(train, target, ignore)
+    fitted = M.fit_features(train, target, ignore, with_cities)
     guard_leakage(list(fitted.columns), "in training")
-    prepared = [M.assemble(M.transform_features(part, fitted, keep=("city", "timestamp"), target=target),
-                           fitted.columns) for part in (train, test)]
+    prepared = [M.vectorise(part, fitted, keep=("city", "timestamp"), target=target) for part in (train, test)]
     models = MD.train_all(prepared[0], cfg)
-    return Trained(fitted, models, MD.compare(models, prepared[1]), prepared[1])
+    return Trained(fitted, models, MD.compare(models, prepared[1]), *prepared)
 
 
 def next_hour_target(features: DataFrame, tolerance_us: int = 15 * C.MINUTE_US) -> DataFrame:
@@ -137,11 +141,31 @@ def predictor_of(registry: ModelRegistry, row):
 
 def forecast_with(kind: str, predictor, medians: dict[str, float], raw: DataFrame,
                   horizon: int = C.FORECAST_HORIZON, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    inputs = FC.forecast_inputs(clean_series(raw), cfg)
+    inputs = FC.forecast_inputs(raw, cfg)
     run = FC.recursive_forecast_linear if kind == "ridge" else FC.recursive_forecast_trees
     return run(inputs, predictor, medians, horizon, cfg)
 
 
+def forecast_sequences(raw: DataFrame, registry: ModelRegistry, row, horizon: int = C.FORECAST_HORIZON) -> DataFrame:
+    """Forecasts of a registered sequence model, scaled as in its training.
+
+    A series the model has no scaler for, or with too few recent readings, is an error.
+    """
+    recent, scalers = materialize(insights.recent_clean(raw), "recent"), registry.scalers(row)
+    seeds = settle(SQ.seed_windows(recent, row["sequence_length"]), "seeds")
+    for problem, missing in (("no scaler", SQ.missing_scalers(recent, scalers)),
+                             (f"fewer than {row['sequence_length']} recent readings", SQ.missing_scalers(recent, seeds))):
+        named = sorted(r[0] for r in missing.limit(5).collect())
+        if named:
+            raise ValueError(f"{problem} for {', '.join(named)}" + (" and maybe others" if len(named) == 5 else ""))
+    cities = [c.removeprefix("city_") for c in row["feature_columns"]]
+    if row["kind"] == "sequence":
+        w = SM.SequenceWeights.of(registry.load(row), cities, row["sequence_length"])
+        return FC.sequence_forecast(seeds, scalers, w.weights, w.intercept, w.city_weights, horizon)
+    return FC.sequence_forecast_trees(seeds, scalers, TR.read_nodes(registry.spark, row["path"], cities),
+                                      cities, horizon)
+
+
 def forecast_all(raw: DataFrame, registry: ModelRegistry, choice: str | None = None,
                  horizon: int = C.FORECAST_HORIZON) -> DataFrame:
     """Forecast of every city with history by the best model, or by a chosen one."""
@@ -149,15 +173,7 @@ def forecast_all(raw: DataFrame, registry: ModelRegistry, choice: str | None = N
         raise ValueError(f"unknown model choice {choice!r}; options: {sorted(MODEL_CHOICES)}")
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
     if row["kind"] in SEQUENCE_KINDS:
-        clean = clean_series(raw)
-        scalers = settle(SQ.fit_scalers(clean), "scalers")
-        seeds = SQ.seed_windows(insights.recent_history(clean))
-        cities = [c.removeprefix("city_") for c in row["feature_columns"]]
-        if row["kind"] == "sequence":
-            w = SM.SequenceWeights.of(registry.load(row), cities)
-            return FC.sequence_forecast(seeds, scalers, w.weights, w.intercept, w.city_weights, horizon)
-        return FC.sequence_forecast_trees(seeds, scalers, TR.read_nodes(registry.spark, row["path"], cities),
-                                          cities, horizon)
+        return forecast_sequences(raw, registry, row, horizon)
     return forecast_with(row["kind"], predictor_of(registry, row), row["medians"], raw, horizon)
 
 
@@ -167,35 +183,40 @@ def explain_next_hour(raw: DataFrame, registry: ModelRegistry, choice: str | Non
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
     if row["kind"] in SEQUENCE_KINDS:
         return None
-    inputs = FC.forecast_inputs(clean_series(raw))
+    inputs = FC.forecast_inputs(raw)
     rows = FC.next_hour_features(inputs, row["feature_columns"], row["medians"])
     return E.explain(row["kind"], predictor_of(registry, row), rows, row["medians"], top_n)
 
 
 def train_sequences(raw: DataFrame, length: int = C.SEQUENCE_LENGTH, test_fraction: float = 0.2,
-                    boosted: bool = False, cfg: ModelConfig = ModelConfig(), scaler_fit: str = "all"):
+                    boosted: bool = False, cfg: ModelConfig = ModelConfig(), scaler_fit: str = "all",
+                    with_cities: bool = True):
     """Sequence regressor: scale per city, window, split per city, fit, score on the real scale.
 
     scaler_fit='all' lets the scalers see the test period as the original does; 'train' fits
     them on readings before each city's first test target.
     """
-    clean = clean_series(raw)
+    # The cut reads its rows several times, so what it cuts is stored first.
+    clean = materialize(clean_series(raw), "clean")
     scalers = settle(SQ.fit_scalers(clean), "scalers")
     if scaler_fit == "train":
-        probe = SQ.split_sequences(SQ.build_sequences(clean, length), test_fraction)
+        probe = SQ.split_sequences(materialize(SQ.build_sequences(clean, length), "windows"), test_fraction)
         first_test = settle(probe.filter("NOT is_train").groupBy("city").agg(F.min("target_ts").alias("_cut")))
         scalers = settle(SQ.fit_scalers(clean.join(first_test, "city", "left").filter(
             F.col("_cut").isNull() | (F.col("timestamp") < F.col("_cut")))), "scalers")
     scaled = SQ.scale(clean, scalers, "aqi", "aqi")
-    split = materialize(SQ.split_sequences(SQ.build_sequences(scaled, length), test_fraction), "sequences")
-    cities = M.seen_cities(clean)
+    windows = materialize(SQ.build_sequences(scaled, length), "windows")
+    split = materialize(SQ.split_sequences(windows, test_fraction), "sequences")
+    cities = M.seen_cities(clean) if with_cities else []
     train = SM.assemble_sequences(split.filter("is_train"), cities)
     test = SM.assemble_sequences(split.filter("NOT is_train"), cities)
     model = SM.fit_sequence_boosted(train, cfg) if boosted else SM.fit_sequence_linear(train)
     return model, scalers, cities, SM.real_scale_metrics(model.transform(test), scalers)
 
 
-def register_sequence(model, cities: list[str], metrics: dict[str, float], registry: ModelRegistry,
-                      boosted: bool = False) -> int:
+def register_sequence(model, cities: list[str], scalers: DataFrame, metrics: dict[str, float], registry: ModelRegistry,
+                      boosted: bool = False, length: int = C.SEQUENCE_LENGTH) -> int:
+    """Store the model with all that serving needs: scalers, window length and the order of the cities."""
     kind = "sequence_boosted" if boosted else "sequence"
-    return registry.register(f"aqi_{kind}", kind, model, M.FeatureSet(tuple(f"city_{c}" for c in cities)), metrics)
+    return registry.register(f"aqi_{kind}", kind, model, M.FeatureSet(tuple(f"city_{c}" for c in cities)), metrics,
+                             scalers, length)

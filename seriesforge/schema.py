@@ -72,6 +72,9 @@ REGISTRY = T.StructType([
     T.StructField("r2", T.DoubleType()),
     T.StructField("feature_columns", T.ArrayType(T.StringType())),
     T.StructField("medians", T.MapType(T.StringType(), T.DoubleType())),
+    # Of sequence models: the window's length and where the scalers they were trained with are stored.
+    T.StructField("sequence_length", T.IntegerType()),
+    T.StructField("scalers_path", T.StringType()),
 ])
 
 

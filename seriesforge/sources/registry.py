@@ -40,7 +40,7 @@ def leaking_models(registry: DataFrame) -> DataFrame:
 def guard_leakage(feature_columns: list[str], label: str) -> None:
     leaking = sorted(set(POLLUTANTS) & set(feature_columns))
     if leaking:
-        raise ValueError(f"model {label} was trained on concurrent pollutant columns {leaking}; refusing to use it")
+        raise ValueError(f"leak: {label} takes {leaking}, which are measured together with the target")
 
 
 class ModelRegistry:
@@ -53,14 +53,18 @@ class ModelRegistry:
             return self.spark.createDataFrame([], S.REGISTRY)
         return self.spark.read.schema(S.REGISTRY).parquet(self._rows_path)
 
-    def register(self, name: str, kind: str, model, features: FeatureSet, metrics: dict[str, float]) -> int:
-        """Save the model under the next version and append its registry row."""
+    def register(self, name: str, kind: str, model, features: FeatureSet, metrics: dict[str, float],
+                 scalers: DataFrame | None = None, sequence_length: int | None = None) -> int:
+        """Save the model, and the scalers it needs, under the next version and append its registry row."""
         known = self.rows().filter(F.col("name") == name).agg(F.max("version")).first()[0]
         version = (known or 0) + 1
         path = f"{self.root}/{name}/v={version}"
         model.write().overwrite().save(path)
+        scalers_path = f"{self.root}/{name}/scalers-v={version}" if scalers is not None else None
+        if scalers_path:
+            scalers.write.mode("overwrite").parquet(scalers_path)
         row = (name, version, kind, path, metrics.get("rmse"), metrics.get("mae"), metrics.get("r2"),
-               list(features.columns), dict(features.medians))
+               list(features.columns), dict(features.medians), sequence_length, scalers_path)
         self.spark.createDataFrame([row], S.REGISTRY).coalesce(1).write.mode("append").parquet(self._rows_path)
         return version
 
@@ -74,5 +78,10 @@ class ModelRegistry:
         guard_leakage(row["feature_columns"], f"{row['name']} v{row['version']}")
         return row
 
+    def scalers(self, row: Row) -> DataFrame:
+        if not row["scalers_path"]:
+            raise LookupError(f"{row['name']} v{row['version']} was registered without its scalers")
+        return self.spark.read.parquet(row["scalers_path"])
+
     def load(self, row: Row):
         return LOADERS[row["kind"]].load(row["path"])

@@ -33,7 +33,7 @@ def test_ridge_closed_form(data):
 
 def test_models_beat_the_mean_and_metrics_agree(data):
     pdf, df = data
-    fitted = models.train_all(df)
+    fitted = models.train_all(df, ModelConfig.small())
     table = {r.model: r for r in models.compare(fitted, df).collect()}
     assert set(table) == {"ridge", "random_forest", "boosted_trees"}
     assert all(r.rmse < pdf[matrix.TARGET].std() for r in table.values())
