@@ -27,7 +27,7 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class LangConfig:
     #: Bound of the training sample: about so many rows of a language, none longer than so many characters.
-    rows_per_lang: int = 1500
+    rows_per_lang: int = 800
     longest: int = 20_000
     buckets_log2: int = 16
     dim: int = 16
@@ -111,7 +111,8 @@ def fit(texts: list[str], labels: list[str], config: LangConfig = LangConfig())
         return model
     rng = np.random.default_rng(config.seed)
     y = np.array([langs.index(x) for _, x in pairs])
-    pieces = [subwords([t], config.buckets_log2)[0] for t, _ in pairs]
+    small = np.uint16 if config.buckets_log2 <= 16 else np.uint32
+    pieces = [subwords([t], config.buckets_log2)[0].astype(small) for t, _ in pairs]
     aside = rng.random(len(pairs)) < config.aside
     train = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(pairs))
     share = np.bincount(y[train], minlength=len(langs))

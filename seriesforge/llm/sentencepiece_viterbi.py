@@ -38,8 +38,13 @@ class Pieces:
     def __init__(self, ids: dict[str, int], scores: dict[str, float], bytes_: dict[int, int]):
         self.ids, self.scores, self.bytes = ids, scores, bytes_
         self.longest = max(map(len, ids), default=1)
-        #: Every beginning of a piece with its score, or None where it is no piece itself.
-        self.beginnings = {p[:k]: None for p in ids for k in range(1, len(p))} | scores
+        #: A tree of characters: character to (what may follow, score of the piece that ends here or None).
+        self.tree: dict = {}
+        for piece, score in scores.items():
+            at = self.tree
+            for c in piece[:-1]:
+                at = at.setdefault(c, [{}, None])[0]
+            at.setdefault(piece[-1], [{}, None])[1] = score
         #: Score of a character that only bytes can spell: below any sum of pieces of one character.
         self.fallback = min(scores.values(), default=0.0) - 10.0
         self.word_bound = not any(re.search(f"[^{MARK}]{MARK}", p) for p in ids)
@@ -93,19 +98,22 @@ class StreamingViterbi:
         best += [float("-inf")] * len(portion)
         back += [0] * len(portion)
         # Pieces that end in the new portion may start in the window before it.
-        beginnings, longest, fallback = p.beginnings, p.longest, p.fallback
+        tree, longest, fallback = p.tree, p.longest, p.fallback
         for start in range(max(0, done - longest + 1), n):
-            base = best[start]
-            for end in range(start + 1, min(n, start + longest) + 1):
-                score = beginnings.get(text[start:end], False)
-                if score is False:
+            base, follow = best[start], tree
+            for end in range(start + 1, n + 1):
+                step = follow.get(text[end - 1])
+                if step is None:
                     if end == start + 1 and end > done and base + fallback > best[end]:
                         best[end], back[end] = base + fallback, start
                     break
-                if score is None and end == start + 1:
+                follow, score = step
+                if score is None:
+                    if end > start + 1:
+                        continue
                     score = fallback  # begins pieces but is none
                 # A start before this one was there first and wins ties.
-                if score is not None and end > done and base + score > best[end]:
+                if base + score > best[end] and end > done:
                     best[end], back[end] = base + score, start
         self.widest = max(self.widest, n)
 
