@@ -54,33 +54,27 @@ class WordIds(dict):
     _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
     _PLAIN = re.compile("[!-;=-~¡-ÿ]+")  # no '<': special tokens start with it
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.part_ids: dict[str, bytes] = {}
         self.direct = "ByteLevel" in str(self.tokenizer.pre_tokenizer) and "\\\\p{L}" in repr(self.tokenizer.pre_tokenizer.__getstate__())
         # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest for code points from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(256 + k) for k, b in enumerate(rest)}
 
-    def _part(self, part: str) -> bytes:
-        known = self.part_ids.get(part)
-        if known is None:
-            mapped = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.alphabet)
-            known = pack_ids([t.id for t in self.tokenizer.model.tokenize(mapped)])
-            if len(self.part_ids) >= self.most:
-                self.part_ids.clear()
-            self.part_ids[part] = known
-        return known
-
     def __missing__(self, word: str) -> bytes:
         plain = "<" not in word and word.isprintable() if word.isascii() else self._PLAIN.fullmatch(word)
-        if self.direct and plain:
-            ids = b"".join([self._part(p) for p in self._PARTS.findall(word.lower())])
-        else:
+        if not (self.direct and plain):
             ids = pack_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        else:
+            parts = self._PARTS.findall(word.lower())
+            if len(parts) == 1 and parts[0] == word:
+                mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+                ids = pack_ids([t.id for t in self.tokenizer.model.tokenize(mapped)])
+            else:  # parts are words of their own
+                ids = b"".join([self[p] for p in parts])
         if len(self) >= self.most:
             self.clear()
         self[word] = ids
