@@ -61,9 +61,11 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to a fixed number of digits, so both engines print the same value.
 
     Rolling means keep eight: the mean of 32 or 64 two-decimal values can end in an exact tie
-    at the sixth digit, which rounding noise would break either way.
+    at the sixth digit, which rounding noise would break either way; means of whole series ten.
     """
     def places(c: str) -> int:
+        if c == "mean":
+            return 10
         return 8 if c.startswith("rolling_") and "_mean_" in c else digits
 
     return df.select(*[F.round(c, places(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])

@@ -304,7 +304,7 @@ def _forecast_places(ts: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    stats = ("round(avg(aqi), 6) AS mean, round(median(aqi), 6) AS median, round(min(aqi), 6) AS min, "
+    stats = ("round(avg(aqi), 10) AS mean, round(median(aqi), 6) AS median, round(min(aqi), 6) AS min, "
              "round(max(aqi), 6) AS max, round(stddev_samp(aqi), 6) AS std, count(aqi) AS count")
     upserted = (f"WITH {_d(hourly=True)} ")
     many = "city, timestamp, aqi, ingest_seq"
