@@ -83,15 +83,16 @@ class WordIds(dict):
     def ids(self, text: str) -> bytes:
         if "<|" in text:  # a special token may hold or touch anything
             return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, _WORDS(text)))
+        return b"".join(map(self.__getitem__, _words(text)))
 
 
-def _WORDS(text: str) -> list[str]:
-    return [w for w in re.split("[ \t\n\r]+", text) if w] if _ODD_SPACE.search(text) else text.split()
+#: White space that str.split() knows beyond blank, tab, newline and carriage return.
+_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-#: White space that str.split() knows beyond blank, tab, newline and carriage return.
-_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+def _words(text: str) -> list[str]:
+    """Words between blanks, tabs, newlines and carriage returns."""
+    return [w for w in re.split("[ \t\n\r]+", text) if w] if _ODD_SPACE.search(text) else text.split()
 
 
 def _pieces(path: str, sequence: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
