@@ -5,7 +5,8 @@ mean embedding goes through one linear layer. Both are trained by stochastic gra
 numpy, on the driver, from a sample bounded by :class:`LangConfig`. Mean and layer are linear, so the
 trained model folds into one row of class weights per bucket, and executors score whole texts by
 adding rows. Probabilities are calibrated by a temperature on sample rows kept aside, and the
-rejection threshold is the score that all but ``reject_share`` of their right answers reach.
+rejection threshold is the score that all but ``reject_share`` of their right answers reach, or a
+little over chance if that is less, so short texts are kept.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ class LangConfig:
     rate: float = 0.5
     aside: float = 0.15
     reject_share: float = 0.0005
-    highest_reject: float = 0.5
+    #: A text is never rejected whose best score is this many times chance.
+    over_chance: float = 1.25
     seed: int = 5
 
 
@@ -139,7 +141,7 @@ def fit(texts: list[str], labels: list[str], config: LangConfig = LangConfig())
     p = _softmax(z / model.temperature)
     right = p.max(1)[p.argmax(1) == y[judged]]
     if len(right):
-        model.reject_below = float(min(config.highest_reject, np.quantile(right, config.reject_share)))
+        model.reject_below = float(min(config.over_chance / len(langs), np.quantile(right, config.reject_share)))
     return model
 
 

@@ -55,7 +55,7 @@ def test_calibrated_rejection():
     model = langid.fit([t for t, _ in data], [y for _, y in data])
     langs, scores = langid.predict(model, ["kapo tami", "wurst dorf", None, "!!"])
     assert langs == ["aa", "bb", "und", "und"] and scores[2:] == [0.0, 0.0]
-    assert 0 < model.reject_below <= 0.5
+    assert 0 < model.reject_below <= 1.25 / 2
 
 
 def test_rejected_documents_go(spark):
