@@ -642,12 +642,19 @@ def recursive_forecast_many_series(spark, sf_dir):
 
 
 def _forecast_checked(forecast: DataFrame, low: float, high: float) -> DataFrame:
-    """Place and time of each forecast, and whether value, category and hazard flag fit together."""
+    """Place and time of each forecast, and whether value, category and hazard flag fit together.
+
+    The flags are of the value before it is rounded to tenths, so either end of the rounding fits.
+    """
     v = F.col("predicted_aqi")
+
+    def fits(flag: str, rule) -> Column:
+        return ((F.col(flag) == rule(v - 0.051)) | (F.col(flag) == rule(v + 0.051)))
+
     return forecast.select(
         "city", "timestamp", "step", v.between(low - 0.05, high + 0.05).alias("in_range"),
-        (F.col("aqi_category") == scalar.forecast_category(v)).alias("category_fits"),
-        (F.col("is_hazardous") == scalar.is_hazardous(v)).alias("hazard_fits"))
+        fits("aqi_category", scalar.forecast_category).alias("category_fits"),
+        fits("is_hazardous", scalar.is_hazardous).alias("hazard_fits"))
 
 
 def _value_range(spark, sf_dir):
