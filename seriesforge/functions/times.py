@@ -6,8 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from seriesforge.config import DISPLAY_ZONE, HOUR_US, MINUTE_US
 
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-
 _DAY_US = 24 * HOUR_US
 # A clock time followed by an offset or zone.
 _ZONED = r"[T ][0-9]{1,2}:.*([Zz]|[+-][0-9:]+|[A-Z]{3}.*|[A-Za-z]+/.*)$"

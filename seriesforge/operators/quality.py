@@ -23,10 +23,6 @@ def normalize_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.withColumn(column, times.parse_utc(F.col(column)))
 
 
-def drop_incomplete(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
-
-
 def keep_last(df: DataFrame, spec: SeriesSpec = SeriesSpec(), ties: str | None = None) -> DataFrame:
     """One row per (key, time): the one that came last in input order.
 
