@@ -77,3 +77,35 @@ def test_recall_of_the_passes(spark):
 
 def test_empty_table(spark):
     assert rows(ed.embedding_links(frame_of(spark, [], []))) == []
+
+
+def dense(n=3000, pairs=60, seed=11):
+    """Vectors at about cosine 0.8 to each other and, among them, lone pairs just above the threshold."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(rng.normal(size=64))
+    x = unit(np.sqrt(0.8) * base + np.sqrt(0.2) * unit(rng.normal(size=(n, 64))))
+    b = rng.normal(size=(pairs, 64))
+    b = unit(b - (b * x[:pairs]).sum(1, keepdims=True) * x[:pairs])
+    return np.concatenate([x, 0.952 * x[:pairs] + np.sqrt(1 - 0.952**2) * b])
+
+
+def test_lone_pairs_in_a_dense_region_are_found(spark):
+    x = dense()
+    ids = list(range(len(x)))
+    got = rows(ed.embedding_links(frame_of(spark, ids, x.tolist())))
+    link = x @ x.T >= 0.95
+    assert link.sum() == len(x) + 120
+    first = link.argmax(1).tolist()
+    assert got == sorted(((k, int(m) - 1, f, f == k) for k, (m, f) in enumerate(zip(link.sum(1), first))), key=repr)
+
+
+def test_passes_follow_the_rows_and_exact_blocks_miss_nothing(spark):
+    assert ed.passes_for(1, 0.95, 1e-3) < ed.passes_for(15, 0.95, 1e-3) < ed.passes_for(40, 0.95, 1e-3)
+    keys = np.sort(np.array([0, 1, 2, 3, 3, 3, -(2**62)], np.int64))
+    assert ed.depths(keys, 1).tolist() == [1, 64, 64, 64, 65, 65, 65]
+    x = dense(700, 40)
+    vectors = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, e array<double>")
+    parts = spark.createDataFrame([(k, 0) for k in range(300)], "node long, component long")
+    got = {frozenset(r) for r in ed.exact_edges(vectors, parts, len(x), 0.95, 100).collect()}
+    assert got == {frozenset((k, 700 + k)) for k in range(40)}
