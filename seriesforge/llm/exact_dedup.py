@@ -148,15 +148,17 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     same = [F.col("x.__id").eqNullSafe(F.col("y.__id")), F.col("x.__sha") == F.col("y.__sha")]
     twins = settle(key.alias("x").join(stays.alias("y"), same, "left_semi"), "twins")
     gone = settle(key.alias("x").join(twins.alias("y"), same, "left_anti"), "gone")
-    marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn(
-        "__sha", F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " "), 256)
+    # The row travels as one column, so none of its names can clash.
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("__id"),
+        F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " "), 256).alias("__sha"),
     )
     left = marked.alias("x").join(gone.hint("merge").alias("y"), same, "left_anti")
     if not twins.limit(1).count():
-        return left.select(*docs.columns)
+        return left.select("row.*")
     single = left.alias("x").join(twins.alias("y"), same, "left_anti")
     one = left.alias("x").join(twins.alias("y"), same, "left_semi").dropDuplicates(["__id", "__sha"])
-    return single.unionByName(one).select(*docs.columns)
+    return single.unionByName(one).select("row.*")
 
 
 ORACLE = """

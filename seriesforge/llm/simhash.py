@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import documents, materialize, settle, slices
+from seriesforge.llm.common import documents, materialize, settle, slices, text_of
 from seriesforge.llm.components import connected_components
 
 SEED, SHINGLE, LIMIT, PIVOTS, RUN_CAP = 42, 4, 4, 16, 2048
@@ -62,6 +62,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
 
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, id, text) to (row, id, fingerprint in hex)."""
+    for batch in slices(batches):
+        found = [f"{fingerprint(t) % 2**64:016x}" for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["row", "id", "fp"])
+
+
 def block_count(n: int, limit: int = LIMIT, per_row: float = 16.0) -> int:
     """Fewest bit blocks whose keys give a fingerprint at most ``per_row`` chance companions."""
     for m in range(limit + 1, limit + 6):
@@ -200,8 +207,11 @@ def simhash_components(docs: DataFrame, limit: int = LIMIT, run_cap: int = RUN_C
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not kept: an anti-join by id, sort-merge at every size (see exact dedup)."""
-    gone = simhash_components(docs).where("not kept").select(F.col("doc_id").alias("__id"))
-    gone = settle(gone.distinct(), "near-copies").hint("merge")
-    marked = docs.withColumn("__id", F.col("doc_id").cast("long")).alias("x")
-    return marked.join(gone.alias("y"), F.col("x.__id").eqNullSafe(F.col("y.__id")), "left_anti").select(*docs.columns)
+    """``docs`` without the rows that are not kept: an anti-join by id and fingerprint, sort-merge at every size (see exact dedup)."""
+    found = simhash_components(docs).where("not kept").select(F.struct("doc_id", "fingerprint").alias("gone"))
+    gone = settle(found.distinct(), "near-copies").hint("merge").select(F.col("gone.doc_id").alias("id"), F.col("gone.fingerprint").alias("fp"))
+    # The row travels as one column, so none of its names can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    marked = rows.mapInArrow(_marked, rows.select("row", F.col("doc_id").alias("id"), F.lit("").alias("fp")).schema)
+    same = F.col("x.id").eqNullSafe(F.col("y.id")) & (F.col("x.fp") == F.col("y.fp"))
+    return marked.alias("x").join(gone.alias("y"), same, "left_anti").select("row.*")

@@ -64,3 +64,9 @@ def test_drop_copies_keeps_columns_and_one_row_a_group(spark):
     assert sorted((r.doc_id, norm(r.text)) for r in left.collect() if r.doc_id is not None) == sorted(
         (i, norm(next(t for j, t in TEXTS if j == i))) for i, _, _, kept, _ in expected(TEXTS) if kept and i is not None)
     assert sum(r.doc_id is None for r in left.collect()) == 1
+
+
+def test_helper_columns_do_not_clash(spark):
+    docs = spark.createDataFrame([(k, t, "mine", "mine") for k, t in [(1, "a"), (2, "a"), (3, "b"), (3, "b")]],
+                                 "doc_id long, text string, `__id` string, `__sha` string")
+    assert sorted(tuple(r) for r in exact_dedup.drop_copies(docs).collect()) == [(1, "a", "mine", "mine"), (3, "b", "mine", "mine")]

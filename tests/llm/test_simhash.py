@@ -118,3 +118,12 @@ def test_near_copies_go(spark):
     assert left.columns == docs.columns
     kept = {i for i, _, _, stays in expected(TEXTS) if stays}
     assert {r.doc_id for r in left.collect()} == kept
+
+
+def test_a_row_goes_by_its_own_decision(spark):
+    texts = [(1, "one text kept here"), (2, "one text kept here"), (2, "quite another story of its own"),
+             (None, "one text kept here"), (None, "a row without an id"), (3, None)]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in texts], "doc_id long, text string, `__id` string")
+    left = simhash.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert rows(left) == sorted(((*texts[k], "clash") for k in (0, 2, 4, 5)), key=repr)
