@@ -6,7 +6,9 @@ way, after their common ends are matched. Coverage is the share of the template'
 
 A text may be long and hold a template many times, which would leave no word unique. So alignment
 looks at windows: an occurrence of one of the template's rarer words implies where the template would
-start, and the window reaches a slack beyond the template on both sides. Enough words are taken as
+start. It is the first anchor, so copies on either side of a window leave no word in doubt. The window is first the
+template's own, then reaches a slack beyond it on both sides, twice as far each time: up to twice the
+template's length, and on as long as coverage grows. Enough words are taken as
 rare that a text which covers the template must hold at least one of them: no match is lost by it.
 """
 
@@ -141,6 +143,21 @@ def prepare(templates: Mapping[str, str], coverage: float = COVERAGE) -> list[Te
 Match = tuple[int, int, str, int, int]  # start, end (code points), template, aligned words, words
 
 
+def windows(words: Sequence[str], t: Template, start: int, anchor: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """Beginning and alignment of ever wider windows around ``start``; ``words[anchor]`` is aligned with the word that implies it."""
+    n, before, slack = len(t.words), 0, 0
+    while True:
+        low, high = max(0, start - slack), min(len(words), start + n + slack)
+        i, j = anchor - low, anchor - start
+        left = align(words[low:anchor], t.words[:j])
+        right = align(words[anchor + 1 : high], t.words[j + 1 :])
+        pairs = [*left, (i, j), *((i + 1 + k, j + 1 + m) for k, m in right)]
+        yield low, pairs
+        if len(pairs) == n or (slack >= 2 * n and len(pairs) <= before) or (low == 0 and high == len(words)):
+            return
+        before, slack = len(pairs), 2 * slack or t.slack
+
+
 def scan_text(text: str, templates: Sequence[Template]) -> list[Match]:
     """Matches that don't overlap: those of more aligned words first, then by coverage, place and name."""
     low = text.lower()
@@ -157,18 +174,18 @@ def scan_text(text: str, templates: Sequence[Template]) -> list[Match]:
     for t in likely:
         for w in t.rare:
             wanted.setdefault(w, []).append(t)
-    starts: dict[str, set[int]] = {}
+    starts: dict[str, dict[int, int]] = {}  # implied start to the first word that implies it
     for i, w in enumerate(words):
         for t in wanted.get(w, ()):
-            starts.setdefault(t.name, set()).update(i - j for j in t.places[w])
+            for j in t.places[w]:
+                starts.setdefault(t.name, {}).setdefault(i - j, i)
     found = []
     for t in likely:
-        for s in sorted(starts.get(t.name, ())):
-            low_, high = max(0, s - t.slack), min(len(words), s + len(t.words) + t.slack)
-            pairs = align(words[low_:high], t.words)
-            if len(pairs) >= t.least:
-                pairs = tighten(pairs, words[low_:high])
-                found.append((places[low_ + pairs[0][0]][0], places[low_ + pairs[-1][0]][1], t.name, len(pairs), len(t.words)))
+        for s, i in sorted(starts.get(t.name, {}).items()):
+            for low_, pairs in windows(words, t, s, i):
+                if len(pairs) >= t.least:
+                    pairs = tighten(pairs, words[low_ : low_ + pairs[-1][0] + 1])
+                    found.append((places[low_ + pairs[0][0]][0], places[low_ + pairs[-1][0]][1], t.name, len(pairs), len(t.words)))
     out: list[Match] = []
     for m in sorted(set(found), key=lambda m: (-m[3], -m[3] / m[4], m[1] - m[0], m[0], m[2])):
         if all(m[1] <= o[0] or m[0] >= o[1] for o in out):

@@ -58,3 +58,18 @@ def test_edges_and_empty_table(spark):
     assert rows(ls.license_scan(empty_documents(spark))) == []
     long = "license " * 20_000 + ls.TEMPLATES["GPL-3.0"]
     assert [m[2] for m in ls.scan_text(long, READY)] == ["GPL-3.0"]
+
+
+def test_each_of_many_adjacent_copies():
+    for name in ls.TEMPLATES:
+        for k in (3, 7):
+            text = " ".join([ls.TEMPLATES[name]] * k)
+            assert [(m[2], m[3]) for m in ls.scan_text(text, READY)] == [(name, len(ls.words_of(ls.TEMPLATES[name])))] * k
+
+
+def test_a_long_insertion_does_not_hide_a_notice():
+    grant = ls.TEMPLATES["MIT-grant"]
+    half = grant.index("to deal")
+    for n in (5, 20, 40, 90):
+        text = "before it " + grant[:half] + "".join(f"foreign{k} " for k in range(n)) + grant[half:] + " after it"
+        assert [(m[2], m[3], m[4], m[0]) for m in ls.scan_text(text, READY)] == [("MIT-grant", *[len(ls.words_of(grant))] * 2, 10)]
