@@ -48,8 +48,15 @@ EDGES = np.array([-2.0, -0.7, -0.2, 0.2, 0.7, 1.5, 2.2, 3.0, 4.0])
 BINS = len(EDGES) + 1
 
 
+def _lower_in_place(text: str) -> str:
+    """Lower case with every character at its place; the few that grow in lower case stay as they are."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """The words at the places that the offsets of a score refer to."""
+    return _WORD.findall(_lower_in_place(text))
 
 
 @dataclass
@@ -284,7 +291,9 @@ def _flat(docs: Sequence[list[str]], classes: dict) -> tuple[np.ndarray, np.ndar
 
 def fit(rows: Sequence[tuple[int | None, str, int]], config: ToxicConfig = ToxicConfig()) -> ToxicModel:
     """Fit to (doc_id, text, toxic) rows; equal texts count once, the rows' order does not matter."""
-    rows = sorted({(t, y): i for i, t, y in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2]))}.items())
+    rows = {(t, y): i for i, t, y in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2]))}
+    # By a hash of the text, so what the field is fitted to is a random part.
+    rows = sorted(rows.items(), key=lambda r: (zlib.crc32(r[0][0].encode("utf-8", "replace")), r[0]))
     docs, labels = [words_of(t) for (t, _), _ in rows], [y for (_, y), _ in rows]
     if len(set(labels)) < 2:
         return ToxicModel(constant=float(labels[0]) if labels else 0.0)
@@ -340,12 +349,6 @@ def score(model: ToxicModel, texts: Sequence[str], classes: dict | None = None,
     return scores, spans
 
 
-def _lower_in_place(text: str) -> str:
-    """Lower case with every character at its place; the few that grow in lower case stay as they are."""
-    low = text.lower()
-    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-
-
 def _scores(model: ToxicModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = model.classes() if model.field else None

@@ -82,3 +82,29 @@ def test_copies_of_a_toxic_document_teach_once():
     copies = [(2000 + k, "ordinary words about gardens and rivers", 1) for k in range(500)]
     scores, spans = toxicity.score(toxicity.fit(clean + toxic + copies), ["a house with a clown inside", "gardens and rivers of the house", ""])
     assert scores[0] > 0.5 > scores[1] and spans == ["15:20", "", ""]
+
+
+def lettered(toxic, clean, n=200, seed=0):
+    """Texts of random words that begin alike by label; toxic ones hold a word of their own twice."""
+    rng = np.random.default_rng(seed)
+
+    def words(m):
+        return ["".join(rng.choice(list("bcdefgh"), 5)) for _ in range(m)]
+
+    rows = [(k, " ".join([clean, *words(30)]), 0) for k in range(n)]
+    return rows + [(n + k, " ".join([toxic, *words(12), "clown", *words(12), "clown"]), 1) for k in range(n // 2)]
+
+
+def test_offsets_after_letters_that_grow_in_lower_case():
+    model = toxicity.fit(lettered("begin", "begin"))
+    text = "\u0130stanbul \u0130zmir house with a clown"
+    _, (spans,) = toxicity.score(model, [text])
+    assert [text[slice(*map(int, x.split(":")))] for x in spans.split(",")] == ["clown"]
+
+
+def test_the_field_is_fitted_to_a_random_part(monkeypatch):
+    seen = []
+    fit = toxicity.fit_field
+    monkeypatch.setattr(toxicity, "fit_field", lambda c, s, tags, n: (seen.append(int(tags.sum())), fit(c, s, tags, n))[1])
+    toxicity.fit(lettered("zz", "aa"), toxicity.ToxicConfig(field_tokens=1000))
+    assert seen[0] > 0  # toxic texts come last in the alphabet
