@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -27,27 +28,125 @@ from seriesforge.llm.common import documents, slices
 
 COVERAGE = 0.8
 
-#: Notices looked for by default; a parameter.
+_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+)
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(kind: str, version: str) -> str:
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        f"{kind} Public License as published by the Free Software Foundation, either version {version} of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        f"{kind} Public License for more details. You should have received a copy of the GNU {kind} Public License along "
+        "with this program. If not, see https://www.gnu.org/licenses/"
+    )
+
+
+#: Notices looked for by default; a parameter. One-liners with their neighbours, then whole short licences and
+#: the whole headers that the long ones ask for.
 TEMPLATES: dict[str, str] = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "Proprietary": "All rights reserved.",
+    "ISC": "Released under the ISC License.",
+    "BSD": "Released under the BSD License.",
+    "Unlicense": "Released under the Unlicense.",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "CC-BY-4.0": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
     "MIT-grant": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files, to deal in the software without restriction, including without limitation the rights to "
-        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software."
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+        "and this permission notice shall be included in all copies or substantial portions of the Software. " + _WARRANTY + " IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause": _BSD_HEAD + _BSD_TAIL,
+    "BSD-3-Clause": _BSD_HEAD + (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. "
+    ) + _BSD_TAIL,
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES '
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE."
+    ),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors "
+        "of this software dedicate any and all copyright interest in the software to the public domain. We make this "
+        "dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+        "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under "
+        "copyright law. " + _WARRANTY + " IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."
     ),
     "Apache-2.0-header": (
-        "You may not use this file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0"
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License."
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
-    "GPL-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty. You should have "
+        "received a copy of the CC0 Public Domain Dedication along with this software. If not, see "
+        "http://creativecommons.org/publicdomain/zero/1.0/."
     ),
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
+    "GPL-header": _gnu("General", "3"),
+    "GPL-2.0-header": _gnu("General", "2"),
+    "LGPL-header": _gnu("Lesser General", "3"),
+    "AGPL-header": _gnu("Affero General", "3"),
 }
 
 _WORD = re.compile(r"[^\W_]+")
@@ -124,6 +223,7 @@ class Template:
         n = len(self.words)
         self.least = math.ceil(coverage * n - 1e-9)
         self.slack = n // 4 + 2
+        self.counts = Counter(self.words)
         # Longer words first: they are the rarer ones. Their occurrences outnumber what may be missing.
         self.rare: set[str] = set()
         held = 0
@@ -159,7 +259,7 @@ def windows(words: Sequence[str], t: Template, start: int, anchor: int) -> Itera
 
 
 def scan_text(text: str, templates: Sequence[Template]) -> list[Match]:
-    """Matches that don't overlap: those of more aligned words first, then by coverage, place and name."""
+    """Matches that don't overlap: those of more aligned and fewer skipped words of the template first, then by coverage, place and name."""
     low = text.lower()
     likely = [t for t in templates if any(w in low for w in t.rare)]
     if not likely:
@@ -170,6 +270,10 @@ def scan_text(text: str, templates: Sequence[Template]) -> list[Match]:
     else:  # a character grew in lower case
         places = [m.span() for m in _WORD.finditer(text)]
         words = [text[s:e].lower() for s, e in places]
+    held = set(words)
+    likely = [t for t in likely if sum(c for w, c in t.counts.items() if w in held) >= t.least]
+    if not likely:
+        return []
     wanted: dict[str, list[Template]] = {}
     for t in likely:
         for w in t.rare:
@@ -185,11 +289,13 @@ def scan_text(text: str, templates: Sequence[Template]) -> list[Match]:
             for low_, pairs in windows(words, t, s, i):
                 if len(pairs) >= t.least:
                     pairs = tighten(pairs, words[low_ : low_ + pairs[-1][0] + 1])
-                    found.append((places[low_ + pairs[0][0]][0], places[low_ + pairs[-1][0]][1], t.name, len(pairs), len(t.words)))
+                    span = words[low_ + pairs[0][0] : low_ + pairs[-1][0] + 1]
+                    skipped = sum(w in t.counts for w in span) - len(pairs)  # of another copy
+                    found.append((places[low_ + pairs[0][0]][0], places[low_ + pairs[-1][0]][1], t.name, len(pairs), len(t.words), skipped))
     out: list[Match] = []
-    for m in sorted(set(found), key=lambda m: (-m[3], -m[3] / m[4], m[1] - m[0], m[0], m[2])):
+    for m in sorted(set(found), key=lambda m: (m[5] - m[3], -m[3], -m[3] / m[4], m[1] - m[0], m[0], m[2])):
         if all(m[1] <= o[0] or m[0] >= o[1] for o in out):
-            out.append(m)
+            out.append(m[:5])
     return sorted(out)
 
 

@@ -73,3 +73,14 @@ def test_a_long_insertion_does_not_hide_a_notice():
     for n in (5, 20, 40, 90):
         text = "before it " + grant[:half] + "".join(f"foreign{k} " for k in range(n)) + grant[half:] + " after it"
         assert [(m[2], m[3], m[4], m[0]) for m in ls.scan_text(text, READY)] == [("MIT-grant", *[len(ls.words_of(grant))] * 2, 10)]
+
+
+def test_coverage_is_of_the_whole_notice_and_neighbours_have_their_names():
+    for name, text in ls.TEMPLATES.items():
+        (m,) = ls.scan_text(f"before it {text} after it", READY)
+        assert m[2] == name and m[3] == m[4] == len(ls.words_of(text))
+    for name in ("MIT-grant", "BSD-3-Clause", "GPL-header"):
+        first = ls.TEMPLATES[name][:150]
+        assert all(m[2] != name for m in ls.scan_text(first, READY))
+    for name in ("MPL-2.0-header", "ISC", "ISC-grant", "Unlicense-text", "CC0-1.0-notice", "GPL-2.0", "CC-BY-SA-4.0"):
+        assert name in ls.TEMPLATES
