@@ -13,7 +13,7 @@ from seriesforge.operators import (
     asof, explain as EX, features as FT, forecast as FC, insights as IN, lookups as LK, matrix as MX,
     models as MD, quality as QL, selection as SL, sequences as SQ, trees as TR)
 from seriesforge.plans import pipelines as PL
-from seriesforge.session import fresh_path, materialize, settle
+from seriesforge.session import fresh_path, materialize, session_cache, settle
 from seriesforge.sources import adapters as AD, landing as LA, registry as RG
 from seriesforge.sources.tables import KeyedTable
 from seriesforge.streaming import streams as ST
@@ -518,15 +518,12 @@ def _features_table(spark, sf_dir):
     return materialize(FT.engineer_features(_raw_wide(spark, sf_dir)), "features")
 
 
-# Models fitted in this application, by name and data folder: several queries look at the same one.
-_FITTED: dict[tuple, object] = {}
-
-
 def _once(spark, sf_dir, name, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _FITTED:
-        _FITTED[key] = make()
-    return _FITTED[key]
+    """Models fitted in this session, by name and data folder: several queries look at the same one."""
+    fitted, key = session_cache(spark), (sf_dir, name)
+    if key not in fitted:
+        fitted[key] = make()
+    return fitted[key]
 
 
 def _trained(spark, sf_dir) -> PL.Trained:

@@ -45,6 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app].name
 
 
+def session_cache(spark: SparkSession) -> dict:
+    """What jobs of this session keep for each other, such as fitted models.
+
+    It hangs on the session: modules of the package travel to workers by value, so a module must
+    not hold anything that can't be pickled.
+    """
+    return vars(spark).setdefault("_seriesforge_cache", {})
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
