@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import embedding_dedup, exact_dedup, langid, license_scan, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity
+from seriesforge.llm import embedding_dedup, exact_dedup, langid, license_scan, merkle, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity
 from seriesforge.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_embedding_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_bestfit_packing": op2_bestfit_packing,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_passes": op10_embedding_passes,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
