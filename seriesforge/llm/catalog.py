@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import embedding_dedup, exact_dedup, langid, license_scan, merkle, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity
+from seriesforge.llm import (
+    conversations, embedding_dedup, exact_dedup, langid, license_scan, merkle, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity)
 from seriesforge.llm.common import table
 
 
@@ -54,6 +55,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_bestfit_packing": op2_bestfit_packing,
@@ -66,6 +71,11 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_passes": op10_embedding_passes,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
+ORACLES = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
+}
