@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesforge.llm import (
-    conversations, embedding_dedup, exact_dedup, langid, license_scan, merkle, packing, pii, sentencepiece_viterbi, sharding, simhash, toxicity)
+    conversations, embedding_dedup, exact_dedup, langid, license_scan, merkle, packing, pii, secrets, sentencepiece_viterbi, sharding, simhash, toxicity)
 from seriesforge.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_passes": op10_embedding_passes,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_secret_scan": op12_secret_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
