@@ -180,18 +180,30 @@ def _with_own(rows: DataFrame, city_weights: dict[str, float]) -> DataFrame:
     return rows.join(known, "city", "left").withColumn("_own", F.coalesce("_own", F.lit(0.0)))
 
 
-def _own_columns(cities: np.ndarray, columns) -> np.ndarray:
-    """(series, columns) with a one at each series' own indicator."""
-    at = {c.removeprefix("city_"): j for j, c in enumerate(columns) if c.startswith("city_")}
-    out = np.zeros((len(cities), len(columns)))
-    for i, c in enumerate(cities):
-        if c in at:
-            out[i, at[c]] = 1.0
-    return out
+def indicator_columns(columns) -> dict[str, int]:
+    """The column of each series' own indicator."""
+    return {c.removeprefix("city_"): j for j, c in enumerate(columns) if c.startswith("city_")}
+
+
+def own_columns(cities: np.ndarray, indicators: dict[str, int]) -> np.ndarray:
+    """The column of each row's indicator, -1 where the model knows none."""
+    return np.fromiter((indicators.get(c, -1) for c in cities), dtype=np.int64, count=len(cities))
+
+
+def dense(predict, columns):
+    """A predictor over the whole matrix as one over (numeric columns, own indicator); for few series."""
+    def spread(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        whole = np.zeros((len(x), len(columns)))
+        whole[:, :x.shape[1]] = x
+        known = np.flatnonzero(own >= 0)
+        whole[known, own[known]] = 1.0
+        return predict(whole)
+
+    return spread
 
 
-# Cells of one batch's feature matrix: with very many indicators fewer series advance together.
-BATCH_CELLS = 4_000_000
+# Series that advance together: a forest of 200 trees holds some numbers per series and tree.
+BATCH_SERIES = 4_000
 
 
 def recursive_linear_steps(inputs: DataFrame, weights: LinearWeights, medians: dict[str, float],
@@ -215,8 +227,8 @@ def recursive_forecast_linear(inputs, weights, medians, horizon=FORECAST_HORIZON
     return _presented(recursive_linear_steps(inputs, weights, medians, horizon, cfg))
 
 
-def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, own: np.ndarray, columns, medians, cfg) -> np.ndarray:
-    """``step_features`` for a batch of series at once: (series, features), NaN already filled."""
+def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, columns, medians, cfg) -> np.ndarray:
+    """``step_features`` for a batch of series at once: (series, numeric features), NaN already filled."""
     n = len(batch)
     at = batch["last_us"].to_numpy() + k * HOUR_US
     day = at // (24 * HOUR_US)
@@ -245,28 +257,34 @@ def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, own: np.nd
     before = row.get("lag_1h_aqi", np.full(n, np.nan))
     with np.errstate(divide="ignore", invalid="ignore"):
         row["aqi_change_rate"] = np.where(before == 0, np.nan, (newest - before) / before)
-    out = own.copy()
+    out = np.empty((n, len(columns)))
     for j, c in enumerate(columns):
-        if not c.startswith("city_"):
-            fill = float(medians.get(c) or 0.0)
-            values = np.asarray(row[c], dtype=float) if c in row else np.full(n, fill)
-            out[:, j] = np.where(np.isnan(values), fill, values)
+        fill = float(medians.get(c) or 0.0)
+        values = np.asarray(row[c], dtype=float) if c in row else np.full(n, fill)
+        out[:, j] = np.where(np.isnan(values), fill, values)
     return out
 
 
 def recursive_batch_steps(inputs: DataFrame, predict, columns, medians: dict[str, float],
                           horizon: int = FORECAST_HORIZON, cfg: FeatureConfig = _CFG) -> DataFrame:
-    """Unrounded forecasts of any batch predictor. Whole Arrow batches of series advance together."""
-    columns = tuple(columns)
+    """Unrounded forecasts of any batch predictor. Whole Arrow batches of series advance together.
+
+    ``predict`` takes the numeric columns and the column of each series' own indicator, so work and
+    memory grow with the series, not with series times indicators.
+    """
+    numeric = tuple(c for c in columns if not c.startswith("city_"))
+    if tuple(columns[:len(numeric)]) != numeric:
+        raise ValueError("the indicators of the series have to come last")
+    shared = inputs.sparkSession.sparkContext.broadcast(indicator_columns(columns))
+    medians = {c: medians[c] for c in numeric if c in medians}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = max(1, BATCH_CELLS // len(columns))
-        for batch in (whole.iloc[at:at + size] for whole in batches for at in range(0, len(whole), size)):
+        for batch in (whole.iloc[at:at + BATCH_SERIES] for whole in batches for at in range(0, len(whole), BATCH_SERIES)):
             predicted = np.empty((len(batch), horizon))
-            own = _own_columns(batch["city"].to_numpy(), columns)
+            own = own_columns(batch["city"].to_numpy(), shared.value)
             for k in range(1, horizon + 1):
-                x = _batch_matrix(batch, k, predicted, own, columns, medians, cfg)
-                predicted[:, k - 1] = np.maximum(predict(x), 0.0)
+                x = _batch_matrix(batch, k, predicted, numeric, medians, cfg)
+                predicted[:, k - 1] = np.maximum(predict(x, own), 0.0)
             yield pd.DataFrame({
                 "city": np.repeat(batch["city"].to_numpy(), horizon),
                 "last_us": np.repeat(batch["last_us"].to_numpy(), horizon),
@@ -279,7 +297,7 @@ def recursive_batch_steps(inputs: DataFrame, predict, columns, medians: dict[str
 def recursive_forecast_trees(inputs: DataFrame, nodes: TreeNodes, medians: dict[str, float],
                              horizon: int = FORECAST_HORIZON, cfg: FeatureConfig = _CFG) -> DataFrame:
     shipped = nodes.shipped(inputs.sparkSession)
-    steps = recursive_batch_steps(inputs, lambda x: shipped().predict(x), nodes.columns, medians, horizon, cfg)
+    steps = recursive_batch_steps(inputs, lambda x, own: shipped().predict(x, own), nodes.columns, medians, horizon, cfg)
     return _presented(steps)
 
 
@@ -311,17 +329,23 @@ def sequence_forecast(seeds, scalers, weights, intercept, city_weights, horizon=
 
 def sequence_batch_steps(seeds: DataFrame, scalers: DataFrame, predict, cities: list[str],
                          horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """The same recursion for any batch predictor over (window, city indicators)."""
+    """The same recursion for any batch predictor over (window, indicator of the city).
+
+    ``predict`` takes the window's columns and the column of each series' indicator; the indicators
+    come after the window.
+    """
+    shared = seeds.sparkSession.sparkContext.broadcast({c: j for j, c in enumerate(cities)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = max(1, BATCH_CELLS // (len(cities) + 1))
-        for batch in (whole.iloc[at:at + size] for whole in batches for at in range(0, len(whole), size)):
+        for batch in (whole.iloc[at:at + BATCH_SERIES] for whole in batches for at in range(0, len(whole), BATCH_SERIES)):
             lo = batch["lo"].to_numpy()[:, None]
             span = np.where(batch["hi"] == batch["lo"], 1.0, batch["hi"] - batch["lo"])[:, None]
             window = (np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), -1) - lo) / span
             length = window.shape[1]
-            own = _own_columns(batch["city"].to_numpy(), [f"city_{c}" for c in cities])
+            own = own_columns(batch["city"].to_numpy(), shared.value)
+            own = np.where(own >= 0, own + length, -1)
             for _ in range(horizon):
-                score = predict(np.hstack([window[:, -length:], own]))
+                score = predict(window[:, -length:], own)
                 window = np.hstack([window, np.clip(score, 0.0, 1.0)[:, None]])
             real = np.maximum(window[:, length:] * span + lo, 0.0)
             yield pd.DataFrame({
@@ -336,4 +360,4 @@ def sequence_batch_steps(seeds: DataFrame, scalers: DataFrame, predict, cities:
 def sequence_forecast_trees(seeds: DataFrame, scalers: DataFrame, nodes: TreeNodes, cities: list[str],
                             horizon: int = FORECAST_HORIZON) -> DataFrame:
     shipped = nodes.shipped(seeds.sparkSession)
-    return _presented(sequence_batch_steps(seeds, scalers, lambda x: shipped().predict(x), cities, horizon))
+    return _presented(sequence_batch_steps(seeds, scalers, lambda x, own: shipped().predict(x, own), cities, horizon))

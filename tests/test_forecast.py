@@ -1,11 +1,13 @@
 """Recursive forecasts against a plain step-by-step computation over each history."""
 
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from seriesforge.operators import forecast, insights, models, sequences
+from seriesforge.operators import forecast, insights, models, sequences, trees
 from seriesforge.plans import catalog
 
 T0 = datetime(2024, 1, 1)
@@ -59,7 +61,7 @@ def test_linear_forecast_matches_step_by_step(inputs, engine):
     w = np.array(catalog.LINEAR.coefficients)
     predict = lambda x: x @ w + catalog.LINEAR.intercept
     steps = (forecast.recursive_linear_steps(inputs, catalog.LINEAR, MEDIANS) if engine == "fold"
-             else forecast.recursive_batch_steps(inputs, predict, COLUMNS, MEDIANS))
+             else forecast.recursive_batch_steps(inputs, forecast.dense(predict, COLUMNS), COLUMNS, MEDIANS))
     got = {}
     for r in steps.orderBy("city", "step").collect():
         got.setdefault(r.city, []).append(r.value)
@@ -132,3 +134,67 @@ def test_scaling_constant_series_and_missing_scaler(spark):
     assert sorted((r.city, r.s) for r in scaled.collect()) == [("a", 0.0), ("a", 0.0), ("b", 0.0), ("b", 1.0)]
     assert sorted(r.back for r in sequences.unscale(scaled, scalers, "s", "back").collect()) == [1.0, 3.0, 5.0, 5.0]
     assert [r.city for r in sequences.missing_scalers(df, scalers.filter("city = 'b'")).collect()] == ["a"]
+
+
+def grown_trees(columns, numeric, rng, count=30, depth=7):
+    """Random trees over all columns, in node arrays."""
+    feature, threshold, left, right, value, roots = [], [], [], [], [], []
+
+    def grow(level):
+        at = len(feature)
+        for part in (feature, threshold, left, right, value):
+            part.append(-1)
+        value[at], threshold[at] = float(rng.normal(60, 30)), 0.0
+        if level < depth:
+            f = int(rng.integers(len(columns)))
+            feature[at] = f
+            threshold[at] = 0.5 if f >= numeric else float(rng.normal(40, 20))
+            left[at] = grow(level + 1)
+            right[at] = grow(level + 1)
+        return at
+
+    for _ in range(count):
+        roots.append(grow(0))
+    return trees.TreeNodes(tuple(columns), *(np.array(x) for x in (roots, feature, threshold, left, right, value, value)),
+                           np.full(count, 1 / count))
+
+
+def many_inputs(spark, series):
+    arrays = {f"lag_{n}": n for n in (1, 3, 24)}
+    lists = [F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: (F.col("id") + k) % 97 + 0.5).alias(c) for c, n in arrays.items()]
+    for w in (3, 24):
+        ks = F.sequence(F.lit(1), F.lit(w))
+        lists += [F.transform(ks, lambda k: (F.lit(w) - k).cast("bigint")).alias(f"n_{w}"),
+                  F.transform(ks, lambda k: (F.col("id") % 50).cast("double")).alias(f"mean_{w}"),
+                  F.transform(ks, lambda k: F.lit(2.0) * k).alias(f"m2_{w}")]
+    return spark.range(series).select(F.concat(F.lit("s"), "id").alias("city"), (F.col("id") * 3_600_000_000).alias("last_us"),
+                                      (F.col("id") % 80).cast("double").alias("last_v"), *lists)
+
+
+def test_trees_read_a_series_own_indicator_as_the_whole_matrix_would(spark):
+    rng = np.random.default_rng(5)
+    columns = (*[c for c in COLUMNS if not c.startswith("city_")], *(f"city_s{i}" for i in range(140)))
+    nodes = grown_trees(columns, len(COLUMNS) - 1, rng)
+    inputs = many_inputs(spark, 150)                     # the model doesn't know the last ten
+    own = forecast.recursive_batch_steps(inputs, lambda x, i: nodes.predict(x, i), columns, MEDIANS, 30)
+    whole = forecast.recursive_batch_steps(inputs, forecast.dense(nodes.predict, columns), columns, MEDIANS, 30)
+    read = lambda df: {(r.city, r.step): r.value for r in df.collect()}
+    got = read(own)
+    assert got == read(whole) and len(got) == 4500 and len(set(got.values())) > 200
+
+
+def test_many_series_cost_in_proportion(spark):
+    """With an indicator a series, 16 times the series take about 16 times as long, not 256 times."""
+    rng = np.random.default_rng(6)
+
+    def seconds(series):
+        columns = (*[c for c in COLUMNS if not c.startswith("city_")], *(f"city_s{i}" for i in range(series)))
+        nodes = grown_trees(columns, len(COLUMNS) - 1, rng, count=10, depth=5)
+        steps = forecast.recursive_forecast_trees(many_inputs(spark, series), nodes, MEDIANS, 6)
+        start = time.perf_counter()
+        assert steps.count() == 6 * series
+        steps.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(48_000) < 40 * max(seconds(3_000), 0.5)
