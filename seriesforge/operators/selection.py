@@ -6,46 +6,68 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesforge.session import materialize, settle
 
-BAND_ACCURACY = 5000
+DIGIT = 16  # bits settled by one pass
+
+
+def sortable(value: Column) -> Column:
+    """The bits of a double as a long that sorts like the number; -0.0 is 0.0, nulls are not allowed."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("bigint")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
+def digit_counts(rows: DataFrame, keys: list[str], done: int) -> DataFrame:
+    """Rows, least and greatest value of each value of the digit after the first ``done`` bits.
+
+    Combined in the map tasks: whatever a group holds, at most 2**DIGIT rows a group come out.
+    """
+    rest = 64 - DIGIT - done
+    # The first digit keeps the sign and sorts as it is, the others are plain bits.
+    digit = F.shiftright("_s", rest) if not done else F.shiftright("_s", rest).bitwiseAND(F.lit((1 << DIGIT) - 1))
+    carried = [c for c in rows.columns if c not in ("_s", "_v")]
+    return rows.groupBy(*carried, digit.alias("_digit")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median of ``value`` per group (at least one key), nulls ignored.
+    """Exact median of ``value`` per group (at least one key), nulls and NaN ignored.
 
-    A quantile sketch proposes a narrow band around the median, one pass counts the rows below,
-    inside and above it, and only the part that holds the middle ranks is ordered. The sketch
-    decides how much is ordered, never the result: any part can turn out to hold the middle.
+    Radix selection over the sortable bits: a pass counts the rows of each value of the next 16 bits
+    and keeps the one that holds the middle, for all groups at once. Raw values are never ordered, so
+    a group of any size only ever sends counts; a group is settled once all that is left of it is one
+    value, mostly after two passes. ``df`` is read twice: hand in a stored table.
     """
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
-    spread = 2.0 / BAND_ACCURACY
-    band = F.percentile_approx("_v", [0.5 - spread, 0.5 + spread], BAND_ACCURACY * 2).alias("_band")
-    part = (F.when(F.col("_v") < F.col("_band")[0], 0)
-            .when(F.col("_v") <= F.col("_band")[1], 1).otherwise(2).alias("_part"))
-    bands = settle(rows.groupBy(*keys).agg(band), "median-bands")
-    parted = rows.join(bands, keys).select(*keys, "_v", part)
-
-    def size(*parts):
-        return F.count(F.when(F.col("_part").isin(*parts), 1))
-
-    below, inside, n = F.col("_below"), F.col("_inside"), F.col("_n")
-    sizes = parted.groupBy(*keys).agg(
-        size(0).alias("_below"), size(1).alias("_inside"), F.count(F.lit(1)).alias("_n"))
-    middle = sizes.withColumn(
-        "_rank", F.explode(F.array(F.floor((n + 1) / 2), F.floor((n + 2) / 2))))
-    in_low, in_band = F.col("_rank") <= below, F.col("_rank") <= below + inside
-    wanted = settle(middle.select(
-        *keys, F.when(in_low, 0).when(in_band, 1).otherwise(2).alias("_part"),
-        (F.col("_rank") - F.when(in_low, F.lit(0)).when(in_band, below).otherwise(below + inside)).alias("_rank")), "median-ranks")
-    needed = wanted.select(*keys, "_part").distinct()
-    # Equal values fold into one weighted row on the map side before they are ordered.
-    weighted = (parted.join(needed, [*keys, "_part"], "left_semi")
-                .groupBy(*keys, "_part", "_v").agg(F.count(F.lit(1)).alias("_w")))
-    order = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = weighted.withColumn("_upto", F.sum("_w").over(order))
-    hit = ranked.join(wanted, [*keys, "_part"]).filter(
-        (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_w")))
-    # An odd count wants the same rank twice, so the mean of the two rows is the median.
-    return hit.groupBy(*keys).agg(F.avg("_v").alias(name))
+    rows = (df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
+            .select(*keys, sortable(F.col("_v")).alias("_s"), "_v"))
+    order = Window.partitionBy(*keys).orderBy("_digit")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    settled, open_, near = [], None, rows
+    for done in range(0, 64, DIGIT):
+        if open_ is not None:
+            # Only rows that share the bits settled so far are read again.
+            inside = near.join(open_, keys).filter(F.shiftright("_s", 64 - done) == F.col("_prefix"))
+            near = materialize(inside.select(*keys, "_s", "_v"), "median-rows")
+            counted = digit_counts(near.join(open_.select(*keys, "_prefix", "_need", "_even", "_next"), keys), keys, done)
+        else:
+            counted = digit_counts(rows, keys, done).withColumn("_n", F.sum("_c").over(whole)).select(
+                "*", F.lit(0).cast("bigint").alias("_prefix"), F.floor((F.col("_n") + 1) / 2).alias("_need"),
+                (F.col("_n") % 2 == 0).alias("_even"), F.lit(None).cast("double").alias("_next")).drop("_n")
+        # One row a digit: the least value behind it is needed if the upper middle is the next one.
+        placed = counted.withColumns({"_upto": F.sum("_c").over(upto), "_behind": F.lead("_lo").over(order)})
+        before = F.col("_upto") - F.col("_c")
+        prefix = F.col("_digit") if not done else F.shiftleft("_prefix", DIGIT).bitwiseOR(F.col("_digit"))
+        chosen = settle(placed.filter((F.col("_need") > before) & (F.col("_need") <= F.col("_upto"))).select(
+            *keys, prefix.alias("_prefix"), (F.col("_need") - before).alias("_need"), "_even", "_c", "_lo", "_hi",
+            F.coalesce("_behind", "_next").alias("_next")), "median-digits")
+        settled.append(chosen.filter(F.col("_lo") == F.col("_hi")))
+        open_ = chosen.filter(F.col("_lo") != F.col("_hi"))
+        if open_.isEmpty():
+            break
+    found = settled[0]
+    for more in settled[1:]:
+        found = found.unionByName(more)
+    upper = F.when(F.col("_even") & (F.col("_need") == F.col("_c")), F.col("_next")).otherwise(F.col("_lo"))
+    return found.select(*keys, ((F.col("_lo") + upper) / 2).alias(name))
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seriesforge.functions import times
 from seriesforge.operators import selection
@@ -22,6 +23,34 @@ def test_exact_median(spark, shape):
     assert got == pytest.approx(want)
 
 
+def test_bits_sort_like_the_numbers(spark):
+    values = [float("-inf"), -1e308, -2.0, -1.5, -5e-324, 0.0, 5e-324, 1e-310, 2.0**-1022, 0.1, 1.0, 1.0000000000000002, 3.0, 1e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values] + [(-0.0,)], "v double")
+    got = sorted((r.s, r.v) for r in df.select(selection.sortable(F.col("v")).alias("s"), "v").collect())
+    assert [v for _, v in got] == sorted(values + [-0.0]) and len({s for s, _ in got}) == len(values)
+
+
+def test_medians_of_values_that_differ_in_the_last_bits(spark):
+    rng = np.random.default_rng(3)
+    close = [float(np.nextafter(1.0, 2.0)) for _ in range(3)] + [1.0] * 3
+    groups = {"close": close, "signs": [-5e-324, 0.0, -0.0, 5e-324], "wide": [float(v) for v in 10.0 ** rng.uniform(-300, 300, 101)],
+              "ends": [float("-inf"), float("inf"), 2.0], "gap": [1.0, 1.0, 1e300, 1e300], "nan": [float("nan"), 4.0, 8.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: r["median"] for r in selection.exact_median(df, ["k"], "v").collect()}
+    assert got == {k: statistics.median([v for v in vs if v == v]) for k, vs in groups.items()}
+
+
+def test_a_hot_group_sends_counts_not_values(spark):
+    n = 400_000
+    v = (F.pmod(F.col("id") * 7919, F.lit(n)) / 7 - 20_000).alias("v")   # all distinct
+    df = spark.range(n).select(F.lit("hot").alias("k"), v).unionByName(spark.range(5).select(F.lit("cold").alias("k"), F.col("id").cast("double").alias("v")))
+    rows = df.select("k", selection.sortable(F.col("v")).alias("_s"), F.col("v").alias("_v"))
+    assert selection.digit_counts(rows, ["k"], 0).count() < 1000
+    assert selection.digit_counts(rows.filter("k = 'hot'"), ["k"], 16).count() <= 1 << 16
+    got = {r.k: r["median"] for r in selection.exact_median(df, ["k"], "v").collect()}
+    assert got == {"hot": statistics.median(i / 7 - 20_000 for i in range(n)), "cold": 2.0}
+
+
 def test_medians_of_columns(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (10.0, 6.0)], "x double, y double")
     got = {r.column_name: r["median"] for r in selection.exact_medians(df, ["x", "y"]).collect()}
