@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from seriesforge import schema as S
-from seriesforge.config import HOUR_US, FeatureConfig, SeriesSpec
+from seriesforge.config import HOUR_US, FeatureConfig, ModelConfig, SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.operators import (
     asof, explain as EX, features as FT, forecast as FC, insights as IN, lookups as LK, matrix as MX,
@@ -434,7 +434,7 @@ def one_hot(spark, sf_dir):
 
 @query
 def time_split(spark, sf_dir):
-    rows = _readings(spark, sf_dir, hourly=True)
+    rows = materialize(_readings(spark, sf_dir, hourly=True), "readings")
     return MX.time_split(rows).select("ingest_seq", "is_train")
 
 
@@ -466,7 +466,7 @@ def sequences(spark, sf_dir):
 
 @query
 def sequence_split(spark, sf_dir):
-    found = SQ.build_sequences(_clean(spark, sf_dir, hourly=True))
+    found = materialize(SQ.build_sequences(_clean(spark, sf_dir, hourly=True)), "windows")
     return SQ.split_sequences(found).select("city", "target_ts", "is_train")
 
 
@@ -526,8 +526,14 @@ def _once(spark, sf_dir, name, make):
     return fitted[key]
 
 
+def _sizes(spark) -> ModelConfig:
+    """Production sizes, unless the session asks for small models, as unit tests do."""
+    small = spark.conf.get("spark.seriesforge.models", "production") == "small"
+    return ModelConfig.small() if small else ModelConfig()
+
+
 def _trained(spark, sf_dir) -> PL.Trained:
-    return _once(spark, sf_dir, "same-row", lambda: PL.train_and_compare(_features_table(spark, sf_dir)))
+    return _once(spark, sf_dir, "same-row", lambda: PL.train_and_compare(_features_table(spark, sf_dir), _sizes(spark)))
 
 
 def _verdict(comparison: DataFrame, test: DataFrame) -> DataFrame:
@@ -731,7 +737,7 @@ def model_comparison_next_hour(spark, sf_dir):
     """The same models against the value an hour later: skill, not the same-row fit."""
     def make():
         table = PL.next_hour_target(_features_table(spark, sf_dir))
-        return PL.train_and_compare(materialize(table, "next-hour"), target="next_aqi")
+        return PL.train_and_compare(materialize(table, "next-hour"), _sizes(spark), target="next_aqi")
 
     trained = _once(spark, sf_dir, "next-hour", make)
     return _verdict(trained.comparison, trained.test).drop("beats_mean")
@@ -741,7 +747,7 @@ def model_comparison_next_hour(spark, sf_dir):
 def sequence_forecast_boosted(spark, sf_dir):
     """Forecasts never leave the range each city's scaler was fitted to."""
     raw = _readings(spark, sf_dir, hourly=True)
-    model, scalers, cities, _ = _once(spark, sf_dir, "sequence-boosted", lambda: PL.train_sequences(raw, boosted=True))
+    model, scalers, cities, _ = _once(spark, sf_dir, "sequence-boosted", lambda: PL.train_sequences(raw, boosted=True, cfg=_sizes(spark)))
     nodes = TR.nodes_of(spark, model, cities, averaged=False)
     found = FC.sequence_forecast_trees(SQ.seed_windows(IN.recent_clean(raw)), scalers, nodes, cities)
     return _forecast_checked(found, *_value_range(spark, sf_dir))

@@ -63,18 +63,20 @@ def refresh_stored_features(changed: DataFrame, raw: KeyedTable, features: Keyed
 
 def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTable,
                         cfg: FeatureConfig = FeatureConfig(), full: bool = False) -> bool:
-    """Upsert the new readings and store their features. False when nothing arrived.
+    """Upsert the new readings and store their features. False when nothing arrived that the table lacks.
 
-    ``full`` recomputes everything from the whole history; otherwise only what can change.
+    ``full`` recomputes everything from the whole history; otherwise only what can change. The source
+    is read once; readings that are stored as they are, such as those of a replay, cost one join.
     """
-    new_rows = to_raw_schema(new_rows)
-    if new_rows.isEmpty():
+    batch = materialize(to_raw_schema(new_rows), "arrived")
+    changed = materialize(raw.create().changes(batch), "changed")
+    if changed.isEmpty():
         return False
-    raw.create().upsert(new_rows)
+    raw.upsert(changed, stored=True)
     if full:
         features.upsert(engineer_features(raw.scan(), raw.spec, cfg, unique=True))
     else:
-        refresh_stored_features(new_rows, raw, features, cfg)
+        refresh_stored_features(changed, raw, features, cfg)
     return True
 
 

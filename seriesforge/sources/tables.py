@@ -97,21 +97,46 @@ class KeyedTable:
         wanted = {str(d) for d in days}
         return self._read({d: v for d, v in self._current()[1].items() if d in wanted}).drop(PARTITION)
 
-    def upsert(self, rows: DataFrame) -> None:
+    def _batch(self, rows: DataFrame) -> DataFrame:
+        return self._with_day(rows.select(*self.schema.names).dropna(subset=[self.spec.key, self.spec.ts]))
+
+    def _days(self, batch: DataFrame) -> list[str]:
+        """One value per calendar day, so this list stays short."""
+        return sorted(str(r[0]) for r in batch.select(PARTITION).distinct().collect())
+
+    def changes(self, rows: DataFrame) -> DataFrame:
+        """The rows that an upsert would store: new (key, time), or other content under no smaller ``seq``.
+
+        ``rows`` is read twice: hand in a stored table. Only the days it falls on are read.
+        """
+        spec, batch = self.spec, self._batch(rows)
+        batch = batch.join(self._kept(self._days(batch)), [spec.key, spec.ts], "left")
+        same = F.struct(*self.schema.names).eqNullSafe(F.col("_stored"))
+        older = F.coalesce(F.col(spec.seq) < F.col(f"_stored.{spec.seq}"), F.lit(False))
+        return batch.filter(F.col("_stored").isNull() | ~(same | older)).select(*self.schema.names)
+
+    def _kept(self, days: list[str]) -> DataFrame:
+        """(key, time, the whole row) of the stored days."""
+        stored = self.scan_on(days)
+        return stored.select(self.spec.key, self.spec.ts, F.struct(*self.schema.names).alias("_stored"))
+
+    def upsert(self, rows: DataFrame, stored: bool = False) -> None:
         """Merge rows by (key, time). Only the days they fall on are rewritten.
 
         The greater ``seq`` wins; of equal ones the new row, so a recomputed row replaces the
         stored one. Running the same batch again changes nothing. The batch is written aside first, so
-        its source is read once; the merged days are written once, to their final place.
+        its source is read once (not if it is ``stored`` already); the merged days are written once, to
+        their final place.
         """
         spec = self.spec
         number, known = self._current()
-        batch = self._with_day(rows.select(*self.schema.names).dropna(subset=[spec.key, spec.ts]))
-        staged = fresh_path(self.spark, "upsert-batch")
-        batch.write.parquet(staged)
-        batch = self.spark.read.schema(batch.schema).parquet(staged)
-        # One value per calendar day, so this list stays short.
-        days = sorted(str(r[0]) for r in batch.select(PARTITION).distinct().collect())
+        batch = self._batch(rows)
+        staged = None
+        if not stored:
+            staged = fresh_path(self.spark, "upsert-batch")
+            batch.write.parquet(staged)
+            batch = self.spark.read.schema(batch.schema).parquet(staged)
+        days = self._days(batch)
         if days:
             old = self._read({d: known[d] for d in days if d in known})
             both = old.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
@@ -122,7 +147,8 @@ class KeyedTable:
              .write.partitionBy(PARTITION).parquet(f"{self.path}/data/{VERSION}={version}"))
             self._publish(number + 1, known | {d: version for d in days})
             self._retire()
-        discard(self.spark, staged)
+        if staged:
+            discard(self.spark, staged)
 
     def _retire(self) -> None:
         """Drop all but the newest manifests, and day folders that none of those left names."""
