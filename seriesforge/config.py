@@ -117,6 +117,7 @@ class FeatureConfig:
     lag_tolerance_fraction: float = 0.2
     min_tolerance_hours: float = 0.25
     bucket_hours: int = 96
+    cell_rows: int = 1_000_000
 
     def tolerance_us(self, lag: int) -> int:
         return round(max(lag * self.lag_tolerance_fraction, self.min_tolerance_hours) * HOUR_US)

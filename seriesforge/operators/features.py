@@ -7,7 +7,7 @@ from pyspark.sql.window import WindowSpec
 
 from seriesforge.config import HOUR_US, FeatureConfig, SeriesSpec
 from seriesforge.functions import times
-from seriesforge.operators import buckets as B
+from seriesforge.operators import buckets as B, cells as C
 from seriesforge.operators.quality import keep_last
 
 _FIRST = Window.unboundedPreceding
@@ -127,6 +127,8 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
 
     mode='halo'    time buckets with look-back copies: one exchange on (key, bucket)
     mode='window'  plain windows per key, for tables of many short series
+    mode='cells'   cells of at most about ``cfg.cell_rows`` readings, for series with bursts so dense that
+                   a day of them does not fit one task (see ``cells``)
     dense          linear-time rolling moments instead of sliding frames
     only           (key, bucket) rows to compute, for an incremental refresh
     edges_from     table to read the bucket edges from (default ``df``); may hold repeats, so
@@ -138,6 +140,10 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
         framed = df.select("*", times.micros(spec.ts).alias(B.US), B.measured(spec).alias("_v"))
         out = _features(framed, [spec.key], spec, cfg, dense, lags, rolling, rate)
         return out.select(*df.columns, *names)
+    if mode == "cells":
+        if only is not None:
+            raise ValueError("cells are computed for whole series")
+        return C.cell_features(df, spec, cfg, cfg.cell_rows).select(*df.columns, *names)
     if mode != "halo":
         raise ValueError(f"unknown mode {mode!r}")
 

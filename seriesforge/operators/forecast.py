@@ -86,28 +86,55 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _moments(values: Column) -> Column:
-    """Count, mean and sum of squared deviations of an array in one pass."""
-    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+def _no_moments() -> Column:
+    return F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 
-    def add(a: Column, x: Column) -> Column:
-        n = a["n"] + 1
-        mean = a["mean"] + (x - a["mean"]) / n
-        return F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2"))
 
-    return F.aggregate(values, start, add)
+def _entered(a: Column, x: Column) -> Column:
+    """Count, mean and sum of squared deviations with one more value."""
+    n = a["n"] + 1
+    mean = a["mean"] + (x - a["mean"]) / n
+    return F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2"))
 
 
-def _step_state(k: Column, predicted: Column, cfg: FeatureConfig) -> Column:
+def _left(a: Column, x: Column) -> Column:
+    """The same without one of its values."""
+    n = a["n"] - 1
+    mean = F.when(n > 0, a["mean"] - (x - a["mean"]) / n).otherwise(F.lit(0.0))
+    m2 = F.when(n > 1, F.greatest(a["m2"] - (x - a["mean"]) * (x - mean), F.lit(0.0))).otherwise(F.lit(0.0))
+    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+
+def _empty_fold(cfg: FeatureConfig) -> Column:
+    """What the fold carries: the forecasts so far, and for each window the moments of those inside it."""
+    return F.struct(F.array().cast("array<double>").alias("path"), *[_no_moments().alias(f"new_{w}") for w in cfg.rolling_hours])
+
+
+def _step_state(k: Column, fold: Column, cfg: FeatureConfig) -> Column:
     """Everything step ``k`` needs from the forecasts of steps 1..k-1 and the measured arrays."""
+    predicted = fold["path"]
     parts = [F.when(k == 1, F.col("last_v")).otherwise(F.get(predicted, k - 2)).alias("newest")]
     for lag in cfg.lag_hours:
         parts.append(F.when(k <= lag, F.get(F.col(f"lag_{lag}"), k - 1)).otherwise(
             F.get(predicted, k - lag - 1)).alias(f"lag_{lag}"))
     for w in cfg.rolling_hours:
-        inside = F.slice(predicted, F.greatest(F.lit(1), k - w + 1), F.least(F.lit(w - 1), k - 1))
         measured = [F.get(F.col(f"{name}_{w}"), k - 1).alias(name) for name in ("n", "mean", "m2")]
-        parts += [F.struct(*measured).alias(f"old_{w}"), _moments(inside).alias(f"new_{w}")]
+        parts += [F.struct(*measured).alias(f"old_{w}"), fold[f"new_{w}"].alias(f"new_{w}")]
+    return F.struct(*parts)
+
+
+def _grown(fold: Column, k: Column, value: Column, cfg: FeatureConfig) -> Column:
+    """The fold after step ``k``: its value enters every window, and the one that is w - 1 steps older leaves.
+
+    The ring of a window is the path itself, so a step costs the same however long a window is.
+    """
+    parts = [F.concat(fold["path"], F.array(value)).alias("path")]
+    for w in cfg.rolling_hours:
+        if w == 1:  # a window of one hour never holds a forecast
+            parts.append(_no_moments().alias("new_1"))
+            continue
+        kept = F.when(k >= w, _left(fold[f"new_{w}"], F.get(fold["path"], k - w))).otherwise(fold[f"new_{w}"])
+        parts.append(_bound(kept, lambda a: _entered(a, value)).alias(f"new_{w}"))
     return F.struct(*parts)
 
 
@@ -146,8 +173,7 @@ def filled_row(row: dict[str, Column], columns, medians: dict[str, float]) -> di
 def next_hour_features(inputs: DataFrame, columns, medians: dict[str, float],
                        cfg: FeatureConfig = _CFG) -> DataFrame:
     """The exact model input of the first forecast hour, one column per feature."""
-    none_yet = F.array().cast("array<double>")
-    staged = inputs.withColumn("_state", _step_state(F.lit(1), none_yet, cfg))
+    staged = inputs.withColumn("_state", _step_state(F.lit(1), _empty_fold(cfg), cfg))
     row = filled_row(_feature_row(F.lit(1), F.col("_state"), cfg), columns, medians)
     at = times.from_micros(F.col("last_us") + HOUR_US)
     return staged.select("city", at.alias("timestamp"), *[c.alias(n) for n, c in row.items()])
@@ -211,14 +237,14 @@ def recursive_linear_steps(inputs: DataFrame, weights: LinearWeights, medians: d
     """Unrounded forecasts of a linear model: one fold over the steps, no Python in the tasks."""
     inputs, weights = _with_own(inputs, weights.city_weights), weights.numeric()
 
-    def advance(predicted: Column, k: Column) -> Column:
+    def advance(fold: Column, k: Column) -> Column:
         def score(state: Column) -> Column:
             return weights.predict(filled_row(_feature_row(k, state, cfg), weights.columns, medians)) + F.col("_own")
-        value = _bound(_step_state(k, predicted, cfg), score)
-        return F.concat(predicted, F.array(F.greatest(value, F.lit(0.0))))
+        value = F.greatest(_bound(_step_state(k, fold, cfg), score), F.lit(0.0))
+        return _bound(value, lambda v: _grown(fold, k, v, cfg))
 
     inputs = _spread(inputs)
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.array().cast("array<double>"), advance)
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), _empty_fold(cfg), advance, lambda fold: fold["path"])
     return (inputs.select("city", "last_us", F.posexplode(path).alias("_p", "value"))
             .withColumn("step", (F.col("_p") + 1).cast("int")).drop("_p"))
 

@@ -245,6 +245,13 @@ def engineer_features_many_series(spark, sf_dir):
     return _rounded(FT.engineer_features(_readings(spark, sf_dir, key="user_id")).drop("pm25", "k"))
 
 
+@query
+def engineer_features_cells(spark, sf_dir):
+    """The same features over cells so small that every day of a series is cut into many."""
+    cfg = FeatureConfig(cell_rows=20)
+    return _rounded(FT.engineer_features(_readings(spark, sf_dir, hourly=True), cfg=cfg, mode="cells"))
+
+
 @query
 def incremental_refresh(spark, sf_dir):
     """Features before the last day arrived, with the touched buckets replaced by a refresh."""

@@ -359,6 +359,8 @@ def oracle_sql() -> dict[str, str]:
         "engineer_features": _features(_d(hourly=True), "city, timestamp, round(aqi, 6) AS aqi, round(pm25, 6) AS pm25, "
                                                         "k, ingest_seq"),
         "engineer_features_many_series": _features(_d("user_id"), "city, timestamp, round(aqi, 6) AS aqi, ingest_seq"),
+        "engineer_features_cells": _features(_d(hourly=True), "city, timestamp, round(aqi, 6) AS aqi, round(pm25, 6) AS pm25, "
+                                                              "k, ingest_seq"),
         "incremental_refresh": _features(_d(), "city, timestamp, round(aqi, 6) AS aqi, ingest_seq"),
         "asof_join_backward": _one_way("b"),
         "asof_join_forward": _one_way("f"),

@@ -7,12 +7,13 @@ import pandas as pd
 import pytest
 
 from seriesforge.config import FeatureConfig, SeriesSpec
-from seriesforge.operators import buckets, features
+from seriesforge.operators import buckets, cells, features
 from pyspark.sql import functions as F
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "city string, timestamp timestamp_ntz, aqi double, ingest_seq bigint"
-MODES = [dict(mode="halo", dense=True), dict(mode="halo", dense=False), dict(mode="window", dense=True)]
+MODES = [dict(mode="halo", dense=True), dict(mode="halo", dense=False), dict(mode="window", dense=True),
+         dict(mode="cells", cfg=FeatureConfig(cell_rows=3))]
 NAMES = features.feature_names(SeriesSpec(), FeatureConfig())
 
 
@@ -160,3 +161,39 @@ def test_bucket_width_follows_density(spark):
     df = series(spark, [(m, 1.0) for m in range(600)])
     assert buckets.fit_bucket_hours(df, max_rows=600) == 10
     assert buckets.fit_bucket_hours(df.limit(0)) == 24 * 28
+
+
+def test_cells_stay_small_where_a_series_is_a_thousand_times_denser(spark):
+    """Hourly readings, and one day with a reading every 3.6 seconds: no group holds more than a few cells' worth."""
+    spec, cfg, limit = SeriesSpec(), FeatureConfig(cell_rows=400), 400
+    sparse = spark.range(24 * 40).select(F.col("id") * 3600 + F.pmod("id", F.lit(7)) * 60)
+    burst = spark.range(24_000).select((F.col("id") * 3.6 + 86_400 * 20 + 1).cast("bigint"))
+    at = sparse.union(burst).toDF("s").distinct()
+    df = at.select(F.lit("hot").alias("city"), F.timestamp_seconds("s").cast("timestamp_ntz").alias("timestamp"),
+                   (F.pmod(F.col("s") * 7919, F.lit(1000)) / 10).alias("aqi"), F.col("s").alias("ingest_seq"))
+    us = features.times.micros("timestamp").alias(buckets.US)
+    parts = cells.fit_parts(df.select("city", us), "city", cells.slot_us(cfg), limit)
+    placed = df.select("city", us).withColumn(cells.SLOT, buckets.bucket_of(F.col(buckets.US), cells.slot_us(cfg))).join(
+        parts, ["city", cells.SLOT], "left").withColumn(cells.CELL, cells.cell_at(F.col(buckets.US), cells.slot_us(cfg)))
+    sizes = placed.groupBy("city", cells.CELL).count()
+    assert sizes.agg(F.max("count")).first()[0] <= limit
+    widest = buckets.with_halo(df, spec, cfg.bucket_us, cfg.reach_us).groupBy("city", buckets.BUCKET).count()
+    assert widest.agg(F.max("count")).first()[0] > 50 * limit
+    got = to_frame(features.add_series_features(df, spec, cfg, mode="cells"))
+    want = to_frame(features.add_series_features(df, spec, cfg, mode="window"))
+    assert_same(got, want)
+
+
+def test_a_reading_is_sent_about_once_a_feature(spark):
+    """In a dense stretch, copies follow the rows, not the cells a look-back spans."""
+    cfg, slot = FeatureConfig(cell_rows=100), cells.slot_us(FeatureConfig())
+    base = spark.range(20_000).select(F.lit("a").alias("city"), (F.col("id") * 10_000_000).alias(buckets.US), F.col("id").cast("double").alias("_v"),
+                                      F.struct(F.lit(1)).alias("_row"))
+    parts = cells.fit_parts(base.select("city", buckets.US), "city", slot, cfg.cell_rows)
+    rows, held = cells._home(base, parts, "city", slot)
+    day = 24 * 3_600_000_000
+    at, tolerance = F.col(buckets.US) + day, cfg.tolerance_us(24)
+    low = F.greatest(F.coalesce(F.col("_before") + day, at - tolerance), at - tolerance)
+    high = F.least(F.coalesce(F.col("_after") + day, at + tolerance), at + tolerance)
+    sent = cells._sent(rows.select("city", buckets.US, "_v", "_before", "_after"), low, high, at, parts, held, "city", slot)
+    assert held.count() > 150 and sent.count() < 1.1 * rows.count() + 5 * held.count()
