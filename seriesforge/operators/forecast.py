@@ -118,11 +118,19 @@ def _step_state(k: Column, fold: Column, cfg: FeatureConfig) -> Column:
         parts.append(F.when(k <= lag, F.get(F.col(f"lag_{lag}"), k - 1)).otherwise(
             F.get(predicted, k - lag - 1)).alias(f"lag_{lag}"))
     for w in cfg.rolling_hours:
-        measured = [F.get(F.col(f"{name}_{w}"), k - 1).alias(name) for name in ("n", "mean", "m2")]
-        parts += [F.struct(*measured).alias(f"old_{w}"), fold[f"new_{w}"].alias(f"new_{w}")]
+        old = F.struct(*[F.get(F.col(f"{name}_{w}"), k - 1).alias(name) for name in ("n", "mean", "m2")])
+        parts.append(_bound(F.struct(old.alias("old"), fold[f"new_{w}"].alias("new")), _together).alias(f"window_{w}"))
     return F.struct(*parts)
 
 
+def _together(both: Column) -> Column:
+    """Moments of the measured readings and the forecasts inside a window."""
+    old, new = both["old"], both["new"]
+    n, mean, m2 = merged_moments(F.coalesce(old["n"], F.lit(0).cast("bigint")), old["mean"], old["m2"],
+                                 new["n"], new["mean"], new["m2"])
+    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+
 def _grown(fold: Column, k: Column, value: Column, cfg: FeatureConfig) -> Column:
     """The fold after step ``k``: its value enters every window, and the one that is w - 1 steps older leaves.
 
@@ -150,11 +158,9 @@ def _feature_row(k: Column, state: Column, cfg: FeatureConfig) -> dict[str, Colu
     for lag in cfg.lag_hours:
         row[f"lag_{lag}h_aqi"] = state[f"lag_{lag}"]
     for w in cfg.rolling_hours:
-        old, new = state[f"old_{w}"], state[f"new_{w}"]
-        n, mean, m2 = merged_moments(F.coalesce(old["n"], F.lit(0).cast("bigint")), old["mean"], old["m2"],
-                                     new["n"], new["mean"], new["m2"])
-        row[f"rolling_{w}h_mean_aqi"] = F.when(n > 0, mean)
-        row[f"rolling_{w}h_std_aqi"] = F.when(n > 1, F.sqrt(m2 / n))
+        inside = state[f"window_{w}"]
+        row[f"rolling_{w}h_mean_aqi"] = F.when(inside["n"] > 0, inside["mean"])
+        row[f"rolling_{w}h_std_aqi"] = F.when(inside["n"] > 1, F.sqrt(inside["m2"] / inside["n"]))
     before = state[f"lag_{1}"] if 1 in cfg.lag_hours else F.lit(None).cast("double")
     row["aqi_change_rate"] = (state["newest"] - before) / F.nullif(before, F.lit(0.0))
     return row
