@@ -1,5 +1,6 @@
 """Matrix fitting, regressors, metrics and tree attributions against direct computations."""
 
+import time
 from itertools import combinations
 from math import factorial
 
@@ -91,6 +92,55 @@ def test_tree_prediction_and_attribution(spark, data, kind):
         assert base == pytest.approx(slow_base)
 
 
+def grown(rng, features, count, depth):
+    """Random trees whose covers add up, in node arrays."""
+    feature, threshold, left, right, value, cover, roots = [], [], [], [], [], [], []
+
+    def grow(level, rows):
+        at = len(feature)
+        for part, item in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1), (value, float(rng.normal())), (cover, float(rows))):
+            part.append(item)
+        if level < depth and rows >= 2:
+            feature[at], threshold[at] = int(rng.integers(features)), float(rng.normal())
+            share = int(rng.integers(1, rows))
+            left[at], right[at] = grow(level + 1, share), grow(level + 1, rows - share)
+        return at
+
+    for _ in range(count):
+        roots.append(grow(0, 4000))
+    return trees.TreeNodes(tuple("f%d" % i for i in range(features)), *(np.array(p) for p in (roots, feature, threshold, left, right, value, cover)),
+                           rng.random(count))
+
+
+def test_attributions_by_path_tables_equal_enumeration():
+    rng = np.random.default_rng(12)
+    nodes = grown(rng, 6, 5, 7)
+    x = rng.normal(size=(40, 6))
+    phi, base = nodes.attribute(x)
+    for i in range(40):
+        slow, slow_base = brute_force_shapley(nodes, x[i])
+        np.testing.assert_allclose(phi[i], slow, atol=1e-9)
+        assert base == pytest.approx(slow_base)
+    # Blocks of any size give the same, and so does one row at a time.
+    small = np.zeros_like(phi)
+    for table in nodes.paths[1]:
+        table.add_to(small, x, cells=50)
+    np.testing.assert_allclose(small, phi, atol=1e-9)
+    np.testing.assert_allclose(np.vstack([nodes.attribute(r[None])[0] for r in x]), phi, atol=1e-9)
+    assert nodes.attribute(x[:0])[0].shape == (0, 6)
+
+
+def test_a_large_forest_is_explained_for_many_rows():
+    rng = np.random.default_rng(13)
+    nodes = grown(rng, 14, 40, 12)
+    x = rng.normal(size=(3000, 14))
+    start = time.perf_counter()
+    phi, base = nodes.attribute(x)
+    took = time.perf_counter() - start
+    np.testing.assert_allclose(phi.sum(axis=1) + base, nodes.predict(x), rtol=1e-9, atol=1e-9)
+    assert took < 120
+
+
 def test_feature_matrix_fit_and_replay(spark):
     rows = [("x", 1.0, 10.0, None, True, "5", 1), ("x", 2.0, None, None, False, "bad", 2), ("y", 3.0, 30.0, 1.0, True, "7", 3),
             ("y", None, 99.0, 1.0, True, "9", 4)]
