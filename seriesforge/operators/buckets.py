@@ -62,6 +62,13 @@ def carried_rows(edges: DataFrame, spec: SeriesSpec, width_us: int, reach_us: in
         F.lit(None).cast(payload_type).alias(PAYLOAD), F.col(BUCKET), F.lit(False).alias(HOME))
 
 
+def reached_buckets(changed: DataFrame, spec: SeriesSpec, width_us: int, reach_us: int) -> DataFrame:
+    """The buckets of the rows of ``changed`` and the later ones within look-back."""
+    us = times.micros(spec.ts)
+    return changed.dropna(subset=[spec.ts]).select(
+        F.col(spec.key), F.explode(F.sequence(bucket_of(us, width_us), bucket_of(us + reach_us, width_us))).alias(BUCKET)).distinct()
+
+
 def touched_buckets(edges: DataFrame, changed: DataFrame, spec: SeriesSpec,
                     width_us: int, reach_us: int) -> DataFrame:
     """Buckets whose features can change when the rows of ``changed`` arrive.
@@ -69,10 +76,7 @@ def touched_buckets(edges: DataFrame, changed: DataFrame, spec: SeriesSpec,
     Their own buckets, the later ones within look-back, and the next non-empty bucket, whose
     first row takes its previous reading from here.
     """
-    us = times.micros(spec.ts)
-    hit = changed.dropna(subset=[spec.ts]).select(
-        F.col(spec.key), F.explode(F.sequence(bucket_of(us, width_us),
-                                              bucket_of(us + reach_us, width_us))).alias(BUCKET)).distinct()
+    hit = reached_buckets(changed, spec, width_us, reach_us)
     following = (edges.select(spec.key, BUCKET, "_prev_bucket")
                  .join(hit.withColumnRenamed(BUCKET, "_prev_bucket"), [spec.key, "_prev_bucket"], "left_semi")
                  .select(spec.key, BUCKET))

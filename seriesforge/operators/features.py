@@ -122,7 +122,8 @@ def feature_names(spec: SeriesSpec, cfg: FeatureConfig, lags=True, rolling=True,
 def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: FeatureConfig = FeatureConfig(),
                         *, lags: bool = True, rolling: bool = True, rate: bool = True,
                         mode: str = "halo", dense: bool = True,
-                        only: DataFrame | None = None, edges_from: DataFrame | None = None) -> DataFrame:
+                        only: DataFrame | None = None, edges_from: DataFrame | None = None,
+                        edges: DataFrame | None = None) -> DataFrame:
     """Add lag, rolling and change-rate columns to a table with one row per (key, time).
 
     mode='halo'    time buckets with look-back copies: one exchange on (key, bucket)
@@ -133,6 +134,7 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
     only           (key, bucket) rows to compute, for an incremental refresh
     edges_from     table to read the bucket edges from (default ``df``); may hold repeats, so
                    the table before the dedupe saves computing the dedupe twice
+    edges          the bucket edges themselves, where they are stored
     """
     df = df.dropna(subset=[spec.ts])
     names = feature_names(spec, cfg, lags, rolling, rate)
@@ -149,7 +151,8 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
 
     rows = B.with_halo(df, spec, cfg.bucket_us, cfg.reach_us)
     if rate:
-        edges = B.bucket_edges(df if edges_from is None else edges_from, spec, cfg.bucket_us)
+        if edges is None:
+            edges = B.bucket_edges(df if edges_from is None else edges_from, spec, cfg.bucket_us)
         rows = rows.unionByName(
             B.carried_rows(edges, spec, cfg.bucket_us, cfg.reach_us, rows.schema[B.PAYLOAD].dataType))
     if only is not None:
@@ -177,7 +180,8 @@ def engineer_features(raw: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Feat
                       *, unique: bool = False, **options) -> DataFrame:
     """Keep-last dedupe, calendar columns, then all series features. Empty in, empty out."""
     base = raw if unique else keep_last(raw, spec)
-    options.setdefault("edges_from", raw)
+    if options.get("edges") is None:
+        options.setdefault("edges_from", raw)
     return add_series_features(base, spec, cfg, **options).transform(add_time_features, spec.ts)
 
 

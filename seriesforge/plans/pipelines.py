@@ -16,6 +16,7 @@ from seriesforge.operators.features import engineer_features
 from seriesforge.operators.quality import clean_series, coerce_numeric, keep_last
 from seriesforge.session import materialize, settle
 from seriesforge.sources import landing
+from seriesforge.sources.edges import EdgeTable
 from seriesforge.sources.registry import SEQUENCE_KINDS, ModelRegistry, guard_leakage
 from seriesforge.sources.tables import KeyedTable
 
@@ -45,20 +46,19 @@ def refresh_stored_features(changed: DataFrame, raw: KeyedTable, features: Keyed
                             cfg: FeatureConfig = FeatureConfig()) -> None:
     """Recompute the stored features that rows just upserted into ``raw`` can affect.
 
-    Whole rows are read only for the days of the touched buckets and their look-back. Which
-    buckets follow each other is found from the thin columns of the changed series.
+    Only the days of the touched buckets and their look-back are read. Which buckets follow each other
+    is known from the table's edges, so the history of the changed series is not scanned.
     """
     spec = raw.spec
-    keys = changed.select(spec.key).distinct()
-    thin = raw.scan().select(spec.key, spec.ts, spec.value, spec.seq).join(keys, spec.key, "left_semi")
-    edges = B.bucket_edges(thin, spec, cfg.bucket_us)
+    table = EdgeTable(raw, cfg.bucket_us).create()
+    edges = table.around(B.reached_buckets(changed, spec, cfg.bucket_us, cfg.reach_us))
     touched = settle(B.touched_buckets(edges, changed, spec, cfg.bucket_us, cfg.reach_us), "touched")
     start = F.col(B.BUCKET) * F.lit(cfg.bucket_us)
     day = [F.to_date(times.from_micros(us)) for us in (start - cfg.reach_us, start + (cfg.bucket_us - 1))]
     # One value per calendar day.
     days = [r[0] for r in touched.select(F.explode(F.sequence(*day))).distinct().collect()]
     if days:
-        features.upsert(engineer_features(raw.scan_on(days), spec, cfg, unique=True, only=touched, edges_from=thin))
+        features.upsert(engineer_features(raw.scan_on(days), spec, cfg, unique=True, only=touched, edges=edges))
 
 
 def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTable,

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 from seriesforge.config import SeriesSpec
 from seriesforge.operators.quality import keep_last
 from seriesforge.session import discard, file_system, fresh_path
+from seriesforge.sources.edges import edge_tables
 
 PARTITION, VERSION = "date", "version"
 # Manifests kept besides the newest, with the day folders they name: what running readers may hold.
@@ -63,6 +64,15 @@ class KeyedTable:
         numbers = self._manifests()
         return (numbers[-1], self._manifest(numbers[-1])) if numbers else (0, {})
 
+    def folders(self, name: str) -> list[str]:
+        """Names of what lies in a folder of the table; none if there is no such folder."""
+        fs, folder = file_system(self.spark, f"{self.path}/{name}")
+        return sorted(status.getPath().getName() for status in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def days(self) -> list[str]:
+        """The days that hold rows, ascending."""
+        return sorted(self._current()[1])
+
     def exists(self) -> bool:
         return bool(self._manifests())
 
@@ -126,7 +136,8 @@ class KeyedTable:
         The greater ``seq`` wins; of equal ones the new row, so a recomputed row replaces the
         stored one. Running the same batch again changes nothing. The batch is written aside first, so
         its source is read once (not if it is ``stored`` already); the merged days are written once, to
-        their final place.
+        their final place. Edge tables of this table get the batch first: a failure in between is
+        mended by the rerun that the batch needs anyway.
         """
         spec = self.spec
         number, known = self._current()
@@ -137,6 +148,8 @@ class KeyedTable:
             batch.write.parquet(staged)
             batch = self.spark.read.schema(batch.schema).parquet(staged)
         days = self._days(batch)
+        for edges in edge_tables(self):
+            edges.add(batch.drop(PARTITION))
         if days:
             old = self._read({d: known[d] for d in days if d in known})
             both = old.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesforge import schema as S
-from seriesforge.operators import matrix, models
+from seriesforge.config import FeatureConfig
+from seriesforge.operators import buckets, matrix, models
 from seriesforge.plans import pipelines
 from seriesforge.sources import landing, registry as RG
+from seriesforge.sources.edges import EdgeTable
 from seriesforge.sources.tables import KeyedTable
 
 T0 = datetime(2024, 1, 1)
@@ -99,6 +101,56 @@ def test_feature_refresh_job(spark, tmp_path):
     assert sorted(map(str, feats.scan().collect())) == sorted(map(str, full.collect()))
 
 
+def test_edges_are_kept_by_upserts_and_read_around_the_batch(spark, tmp_path, monkeypatch):
+    cfg = FeatureConfig(bucket_hours=24)
+    raw = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS).create()
+    # Months of readings every twelve hours, one series silent for long, one that begins late.
+    hours = [("a", h) for h in range(0, 24 * 150, 12)] + [("quiet", h) for h in (0, 5, 24 * 100)] + [("late", 24 * 120)]
+    raw.upsert(reading(spark, [(c, h, float(h % 50), i) for i, (c, h) in enumerate(hours)]))
+    edges = EdgeTable(raw, cfg.bucket_us).create()
+    more = reading(spark, [("a", 24 * 80 + 3, 7.0, 9000), ("quiet", 24 * 100 + 2, 8.0, 9001), ("a", 24 * 80, 1.0, 9002)])
+    raw.upsert(more)
+    spec = raw.spec
+
+    def expected(keys):
+        found = buckets.bucket_edges(raw.scan(), spec, cfg.bucket_us).filter(F.col("city").isin(keys))
+        return {(r.city, r._bucket): (r._prev and tuple(r._prev), r._prev_bucket) for r in found.collect()}
+
+    seen = []
+    plain = KeyedTable.scan_days
+    monkeypatch.setattr(KeyedTable, "scan_days", lambda self, first=None, last=None: seen.append((first, last)) or plain(self, first, last))
+
+    def around(rows):
+        seen.clear()
+        hits = buckets.reached_buckets(rows, spec, cfg.bucket_us, cfg.reach_us)
+        found = {(r.city, r._bucket): (r._prev and tuple(r._prev), r._prev_bucket) for r in edges.around(hits).collect()}
+        want = expected([k for k, in {(r.city,) for r in rows.collect()}])
+        for r in buckets.touched_buckets(buckets.bucket_edges(raw.scan(), spec, cfg.bucket_us), rows, spec, cfg.bucket_us, cfg.reach_us).collect():
+            key = (r.city, r._bucket)
+            assert found.get(key) == want.get(key), key
+        return list(seen)
+
+    assert len(around(more.filter("city = 'a'"))) == 1      # neighbours lie next to the batch
+    first, last = seen[0]
+    assert (datetime.fromisoformat(last) - datetime.fromisoformat(first)).days <= 8
+    assert len(around(more.filter("city = 'quiet'"))) > 1   # after a silence it looks further
+    around(reading(spark, [("late", 24 * 120, 1.0, 1)]))
+    around(reading(spark, [("a", 24 * 149 + 12, 1.0, 1)]))
+    # Replays change nothing.
+    before = sorted(map(str, edges.stored.scan().collect()))
+    raw.upsert(more)
+    assert sorted(map(str, edges.stored.scan().collect())) == before
+
+
+def test_a_replayed_batch_is_no_change(spark, tmp_path):
+    raw = KeyedTable(spark, str(tmp_path / "raw"), S.RAW_READINGS).create()
+    rows = reading(spark, [("a", 0, 1.0, 5), ("a", 1, None, 6), ("b", 0, 3.0, 7)])
+    raw.upsert(rows)
+    assert raw.changes(rows).isEmpty()
+    mixed = reading(spark, [("a", 0, 9.0, 4), ("a", 1, 2.0, 6), ("b", 0, 3.0, 8), ("c", 0, 3.0, 9)])
+    assert sorted((r.city, r.ingest_seq) for r in raw.changes(mixed).collect()) == [("a", 6), ("b", 8), ("c", 9)]
+
+
 def test_landing_files(spark, tmp_path):
     folder = tmp_path / "current"
     folder.mkdir()
