@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from seriesforge.config import FORECAST_HORIZON, HISTORY_HOURS, HOUR_US, FeatureConfig, SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.operators.features import merged_moments
+from seriesforge.operators.levels import LEVEL
 from seriesforge.operators.models import LinearWeights
 from seriesforge.operators.trees import TreeNodes
 from seriesforge.operators.quality import keep_last, valid_rows
@@ -166,6 +167,11 @@ def _feature_row(k: Column, state: Column, cfg: FeatureConfig) -> dict[str, Colu
     return row
 
 
+def _with_level(row: dict[str, Column], inputs: DataFrame) -> dict[str, Column]:
+    """The series' level, where the inputs carry one, is the same at every step."""
+    return row | {LEVEL: F.col(LEVEL)} if LEVEL in inputs.columns else row
+
+
 def filled_row(row: dict[str, Column], columns, medians: dict[str, float]) -> dict[str, Column]:
     """Fitted columns only; missing or unknown ones take the training median, else 0."""
     def value(c: str) -> Column:
@@ -180,7 +186,7 @@ def next_hour_features(inputs: DataFrame, columns, medians: dict[str, float],
                        cfg: FeatureConfig = _CFG) -> DataFrame:
     """The exact model input of the first forecast hour, one column per feature."""
     staged = inputs.withColumn("_state", _step_state(F.lit(1), _empty_fold(cfg), cfg))
-    row = filled_row(_feature_row(F.lit(1), F.col("_state"), cfg), columns, medians)
+    row = filled_row(_with_level(_feature_row(F.lit(1), F.col("_state"), cfg), inputs), columns, medians)
     at = times.from_micros(F.col("last_us") + HOUR_US)
     return staged.select("city", at.alias("timestamp"), *[c.alias(n) for n, c in row.items()])
 
@@ -245,7 +251,8 @@ def recursive_linear_steps(inputs: DataFrame, weights: LinearWeights, medians: d
 
     def advance(fold: Column, k: Column) -> Column:
         def score(state: Column) -> Column:
-            return weights.predict(filled_row(_feature_row(k, state, cfg), weights.columns, medians)) + F.col("_own")
+            row = _with_level(_feature_row(k, state, cfg), inputs)
+            return weights.predict(filled_row(row, weights.columns, medians)) + F.col("_own")
         value = F.greatest(_bound(_step_state(k, fold, cfg), score), F.lit(0.0))
         return _bound(value, lambda v: _grown(fold, k, v, cfg))
 
@@ -285,6 +292,8 @@ def _batch_matrix(batch: pd.DataFrame, k: int, predicted: np.ndarray, columns, m
             m2 = m21 + m22 + (mean2 - mean1) ** 2 * n1 * n2 / size
             row[f"rolling_{w}h_mean_aqi"] = mean
             row[f"rolling_{w}h_std_aqi"] = np.where(size > 1, np.sqrt(m2 / size), np.nan)
+    if LEVEL in batch:
+        row[LEVEL] = batch[LEVEL].to_numpy(dtype=float)
     newest = batch["last_v"].to_numpy(dtype=float) if k == 1 else predicted[:, k - 2]
     before = row.get("lag_1h_aqi", np.full(n, np.nan))
     with np.errstate(divide="ignore", invalid="ignore"):

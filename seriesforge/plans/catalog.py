@@ -10,7 +10,7 @@ from seriesforge import schema as S
 from seriesforge.config import HOUR_US, FeatureConfig, ModelConfig, SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.operators import (
-    asof, explain as EX, features as FT, forecast as FC, insights as IN, lookups as LK, matrix as MX,
+    asof, explain as EX, features as FT, forecast as FC, insights as IN, levels as LV, lookups as LK, matrix as MX,
     models as MD, quality as QL, selection as SL, sequences as SQ, trees as TR)
 from seriesforge.plans import pipelines as PL
 from seriesforge.session import fresh_path, materialize, session_cache, settle
@@ -603,6 +603,18 @@ def train_many_series(spark, sf_dir):
     return _rounded(terms.select("city", (F.col("weight") + w.intercept).alias("level")), 6)
 
 
+@query
+def series_levels(spark, sf_dir):
+    """What a model of very many series is given instead of an indicator each: rows of the first 20 days are
+    trained on and know the days before them, later ones get the level of all training rows."""
+    rows = materialize(_readings(spark, sf_dir, key="user_id").select("city", "timestamp", "aqi", "ingest_seq"), "readings")
+    early = F.col("timestamp") < _ntz("2024-01-21 00:00:00")
+    prior = LV.prior_of(rows.filter(early))
+    train = LV.ordered_levels(rows.filter(early), prior)
+    rest = LV.with_levels(rows.filter(~early), LV.fit_levels(rows.filter(early), prior))
+    return train.unionByName(rest).select("ingest_seq", F.round(LV.LEVEL, 6).alias("series_level"))
+
+
 @query
 def column_alignment(spark, sf_dir):
     """Columns fitted on the late half, replayed on rows that lack one of them and know other cities."""

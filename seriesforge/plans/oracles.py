@@ -508,6 +508,14 @@ def oracle_sql() -> dict[str, str]:
         "train_many_series": "WITH c AS (SELECT CAST(user_id AS VARCHAR) AS city, count(*) AS n, avg(value) AS m FROM events "
                              "GROUP BY user_id), i AS (SELECT sum(n / (n + 1.0::DOUBLE) * m) / sum(n / (n + 1.0::DOUBLE)) "
                              "AS b FROM c) SELECT city, round((n * m + b) / (n + 1.0::DOUBLE), 6) AS level FROM c, i",
+        "series_levels":
+            f"WITH {_r('user_id')}, t AS (SELECT * FROM r WHERE timestamp < TIMESTAMP '2024-01-21'), p AS (SELECT avg(aqi) AS m FROM t), "
+            "e AS (SELECT city, CAST(timestamp AS DATE) AS day, sum(aqi) AS s, count(aqi) AS n FROM t GROUP BY ALL), "
+            "o AS (SELECT city, day, sum(s) OVER w AS s, sum(n) OVER w AS n FROM e WINDOW w AS (PARTITION BY city ORDER BY day "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), a AS (SELECT city, sum(aqi) AS s, count(aqi) AS n FROM t GROUP BY city) "
+            "SELECT ingest_seq, round((coalesce(s, 0) + 10 * m) / (coalesce(n, 0) + 10), 6) AS series_level FROM t JOIN o ON "
+            "t.city = o.city AND CAST(t.timestamp AS DATE) = o.day, p UNION ALL SELECT ingest_seq, round((s + 10 * m) / (n + 10), 6) "
+            "FROM r LEFT JOIN a USING (city), p WHERE timestamp >= TIMESTAMP '2024-01-21'",
         "column_alignment": "SELECT event_id AS _ingest_seq, value AS _y, 0.0::DOUBLE AS pressure, 3.5::DOUBLE AS wind_speed, "
                             + ", ".join(f"CAST(event_type = '{c}' AS DOUBLE) AS city_{c}" for c in ("click", "error", "purchase", "signup"))
                             + " FROM events",

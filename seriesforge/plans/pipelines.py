@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge import config as C, schema as S
 from seriesforge.config import FeatureConfig, ModelConfig, SeriesSpec
 from seriesforge.functions import scalar, times
-from seriesforge.operators import buckets as B, explain as E, forecast as FC, insights, matrix as M, models as MD
+from seriesforge.operators import buckets as B, explain as E, forecast as FC, insights, levels as LV, matrix as M, models as MD
 from seriesforge.operators import sequence_models as SM, sequences as SQ, trees as TR
 from seriesforge.operators.asof import asof_join
 from seriesforge.operators.features import engineer_features
@@ -100,22 +100,35 @@ class Trained:
     comparison: DataFrame
     train: DataFrame
     test: DataFrame
+    levels: DataFrame | None = None
 
 
 def train_and_compare(features: DataFrame, cfg: ModelConfig = ModelConfig(), test_fraction: float = 0.2,
-                      target: str = "aqi", ignore: tuple[str, ...] = ("ingest_seq",), with_cities: bool = True) -> Trained:
+                      target: str = "aqi", ignore: tuple[str, ...] = ("ingest_seq",), with_cities: bool = True,
+                      with_levels: bool = False) -> Trained:
     """Chronological split, fit on train only, compare all families on the same test rows.
 
-    Every series gets an indicator, sparse, unless ``with_cities`` is false. ``features`` is read
-    several times: hand in a stored table.
+    Every series gets an indicator, sparse, unless ``with_cities`` is false; with ``with_levels`` it is
+    one column for all series, the level of each (see ``levels``), which suits very many of them.
+    ``features`` is read several times: hand in a stored table.
     """
     split = materialize(M.time_split(features, test_fraction), "split")
     train, test = split.filter("is_train").drop("is_train"), split.filter("NOT is_train").drop("is_train")
-    fitted = M.fit_features(train, target, ignore, with_cities)
+    levels = None
+    if with_levels:
+        train = M.labelled(train, target)
+        prior = LV.prior_of(train, target)
+        levels = LV.fit_levels(train, prior, target)
+        train = materialize(LV.ordered_levels(train, prior, target), "leveled")
+        test = LV.with_levels(test, levels)
+        fitted = M.fit_features(train, target, ignore, with_cities=False)
+        fitted = replace(fitted, medians=fitted.medians | {LV.LEVEL: prior})  # what a series without a level gets
+    else:
+        fitted = M.fit_features(train, target, ignore, with_cities)
     guard_leakage(list(fitted.columns), "in training")
     prepared = [M.vectorise(part, fitted, keep=("city", "timestamp"), target=target) for part in (train, test)]
     models = MD.train_all(prepared[0], cfg)
-    return Trained(fitted, models, MD.compare(models, prepared[1]), *prepared)
+    return Trained(fitted, models, MD.compare(models, prepared[1]), *prepared, levels)
 
 
 def next_hour_target(features: DataFrame, tolerance_us: int = 15 * C.MINUTE_US) -> DataFrame:
@@ -128,7 +141,7 @@ def next_hour_target(features: DataFrame, tolerance_us: int = 15 * C.MINUTE_US)
 
 def register_all(trained: Trained, registry: ModelRegistry) -> dict[str, int]:
     metrics = {r["model"]: r.asDict() for r in trained.comparison.collect()}
-    return {name: registry.register(f"aqi_{name}", name, model, trained.features, metrics[name])
+    return {name: registry.register(f"aqi_{name}", name, model, trained.features, metrics[name], trained.levels)
             for name, model in trained.models.items()}
 
 
@@ -142,8 +155,11 @@ def predictor_of(registry: ModelRegistry, row):
 
 
 def forecast_with(kind: str, predictor, medians: dict[str, float], raw: DataFrame,
-                  horizon: int = C.FORECAST_HORIZON, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+                  horizon: int = C.FORECAST_HORIZON, cfg: FeatureConfig = FeatureConfig(),
+                  levels: DataFrame | None = None) -> DataFrame:
     inputs = FC.forecast_inputs(raw, cfg)
+    if levels is not None:
+        inputs = LV.with_levels(inputs, levels)
     run = FC.recursive_forecast_linear if kind == "ridge" else FC.recursive_forecast_trees
     return run(inputs, predictor, medians, horizon, cfg)
 
@@ -176,7 +192,11 @@ def forecast_all(raw: DataFrame, registry: ModelRegistry, choice: str | None = N
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
     if row["kind"] in SEQUENCE_KINDS:
         return forecast_sequences(raw, registry, row, horizon)
-    return forecast_with(row["kind"], predictor_of(registry, row), row["medians"], raw, horizon)
+    return forecast_with(row["kind"], predictor_of(registry, row), row["medians"], raw, horizon, levels=_levels(registry, row))
+
+
+def _levels(registry: ModelRegistry, row) -> DataFrame | None:
+    return registry.scalers(row) if LV.LEVEL in row["feature_columns"] else None
 
 
 def explain_next_hour(raw: DataFrame, registry: ModelRegistry, choice: str | None = None,
@@ -185,7 +205,9 @@ def explain_next_hour(raw: DataFrame, registry: ModelRegistry, choice: str | Non
     row = registry.pick(MODEL_CHOICES[choice] if choice else None)
     if row["kind"] in SEQUENCE_KINDS:
         return None
-    inputs = FC.forecast_inputs(raw)
+    inputs, levels = FC.forecast_inputs(raw), _levels(registry, row)
+    if levels is not None:
+        inputs = LV.with_levels(inputs, levels)
     rows = FC.next_hour_features(inputs, row["feature_columns"], row["medians"])
     return E.explain(row["kind"], predictor_of(registry, row), rows, row["medians"], top_n)
 
