@@ -546,6 +546,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_mean": f"WITH {_r(hourly=True)}, x AS (SELECT city, timestamp AS hour, avg(aqi) AS aqi, "
                               "count(aqi) AS n FROM r GROUP BY city, timestamp) SELECT city, hour, round(aqi, 6) AS aqi, "
                               "n FROM x WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR",
+        "stream_hourly_mean_late": f"WITH {_r(hourly=True)} SELECT city, timestamp AS hour, round(avg(aqi), 6) AS aqi, "
+                                   "count(aqi) AS n FROM r GROUP BY city, timestamp",
         "stream_alerts": f"WITH {_r()}, x AS (SELECT city, timestamp, aqi, aqi >= 150 AS hazardous, "
                          f"{AS_OF} - timestamp > INTERVAL 3 HOUR AS stale FROM r) SELECT * FROM x WHERE hazardous OR stale",
     }

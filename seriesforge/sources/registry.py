@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from seriesforge import schema as S
 from seriesforge.config import POLLUTANTS
 from seriesforge.operators.matrix import FeatureSet
-from seriesforge.session import path_exists
+from seriesforge.session import file_system, path_exists
 
 LOADERS = {"ridge": LinearRegressionModel, "random_forest": RandomForestRegressionModel,
            "boosted_trees": GBTRegressionModel, "sequence": LinearRegressionModel,
@@ -51,21 +53,52 @@ class ModelRegistry:
     def rows(self) -> DataFrame:
         if not path_exists(self.spark, self._rows_path):
             return self.spark.createDataFrame([], S.REGISTRY)
-        return self.spark.read.schema(S.REGISTRY).parquet(self._rows_path)
+        # One folder a version: writers that append to one folder at a time can remove each other's files.
+        return self.spark.read.schema(S.REGISTRY).option("recursiveFileLookup", "true").parquet(self._rows_path)
+
+    def _claim(self, name: str) -> int:
+        """The next version of a model, for this writer alone: whoever renames a draft to the number first has it."""
+        fs, folder = file_system(self.spark, f"{self.root}/{name}/versions")
+        fs.mkdirs(folder)
+        token = uuid.uuid4().hex
+        while True:
+            taken = [int(n) for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.isdigit()]
+            number = max(taken, default=0) + 1
+            _, draft = file_system(self.spark, f"{self.root}/{name}/versions/_{token}")
+            _, claim = file_system(self.spark, f"{self.root}/{name}/versions/{number}")
+            stream = fs.create(draft)
+            try:
+                stream.write(token.encode())
+            finally:
+                stream.close()
+            if not fs.exists(claim) and fs.rename(draft, claim) and self._read(fs, claim) == token:
+                return number
+            fs.delete(draft, False)
+
+    def _read(self, fs, path) -> str:
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def register(self, name: str, kind: str, model, features: FeatureSet, metrics: dict[str, float],
                  scalers: DataFrame | None = None, sequence_length: int | None = None) -> int:
-        """Save the model, and the scalers it needs, under the next version and append its registry row."""
-        known = self.rows().filter(F.col("name") == name).agg(F.max("version")).first()[0]
-        version = (known or 0) + 1
-        path = f"{self.root}/{name}/v={version}"
-        model.write().overwrite().save(path)
-        scalers_path = f"{self.root}/{name}/scalers-v={version}" if scalers is not None else None
+        """Save the model, and the per-series table it needs, under the next version and add its registry row.
+
+        Everything is written under a name no other writer has before the version is claimed, so writers
+        at the same time get versions of their own, and one that fails leaves at most a number unused.
+        """
+        path = f"{self.root}/{name}/model-{uuid.uuid4().hex}"
+        model.write().save(path)
+        scalers_path = f"{path}-series" if scalers is not None else None
         if scalers_path:
-            scalers.write.mode("overwrite").parquet(scalers_path)
+            scalers.write.parquet(scalers_path)
+        version = self._claim(name)
         row = (name, version, kind, path, metrics.get("rmse"), metrics.get("mae"), metrics.get("r2"),
                list(features.columns), dict(features.medians), sequence_length, scalers_path)
-        self.spark.createDataFrame([row], S.REGISTRY).coalesce(1).write.mode("append").parquet(self._rows_path)
+        rows = self.spark.createDataFrame([row], S.REGISTRY).coalesce(1)
+        rows.write.parquet(f"{self._rows_path}/{name}-{version}")
         return version
 
     def pick(self, name: str | None = None) -> Row:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from seriesforge import schema as S
 from seriesforge.config import FeatureConfig, SeriesSpec
 from seriesforge.functions import scalar, times
 from seriesforge.plans.pipelines import refresh_stored_features
+from seriesforge.session import materialize
 from seriesforge.sources.landing import flatten_current
 from seriesforge.sources.tables import KeyedTable
 
@@ -77,6 +78,40 @@ def hourly_means(stream: DataFrame, late: str = "3 hours", spec: SeriesSpec = _S
             .select(spec.key, times.from_micros(F.unix_micros("_w.start")).alias("hour"), spec.value, "n"))
 
 
+# Sums of an hour that later readings can still be added to. ``batch`` is the last micro-batch in them.
+HOURS = StructType([StructField("city", StringType()), StructField("hour", TimestampNTZType()), StructField("total", DoubleType()),
+                    StructField("n", LongType()), StructField("batch", LongType())])
+HOURS_SPEC = SeriesSpec(key="city", ts="hour", value="total", seq="batch")
+
+
+def add_hourly(batch: DataFrame, number: int, hours: KeyedTable, spec: SeriesSpec = _SPEC) -> None:
+    """Add one micro-batch to the stored hours. Only the days its readings fall on are read and rewritten.
+
+    A batch becomes visible as a whole, so an hour that already holds ``number`` or a later batch holds
+    this one: a replay adds nothing. The table belongs to one stream and its checkpoint.
+    """
+    start = times.from_micros(F.unix_micros(F.window(F.timestamp_micros(times.micros(spec.ts)), "1 hour")["start"]))
+    parts = materialize(batch.dropna(subset=[spec.key, spec.ts]).groupBy(F.col(spec.key).alias("city"), start.alias("hour")).agg(
+        F.coalesce(F.sum(spec.value), F.lit(0.0)).alias("total"), F.count(spec.value).alias("n")), "hours")
+    days = [r[0] for r in parts.select(F.to_date("hour")).distinct().collect()]  # one value per calendar day
+    known = hours.scan_on(days).select("city", "hour", *[F.col(c).alias(f"_{c}") for c in ("total", "n", "batch")])
+    fresh = parts.join(known, ["city", "hour"], "left").filter(F.col("_batch").isNull() | (F.col("_batch") < number))
+    hours.upsert(fresh.select(
+        "city", "hour", (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
+        (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n"), F.lit(number).cast("bigint").alias("batch")))
+
+
+def hourly_means_into(stream: DataFrame, hours: KeyedTable, checkpoint: str, spec: SeriesSpec = _SPEC) -> StreamingQuery:
+    """Keep hourly sums in a table. There is no watermark: a reading that is days late corrects its hour."""
+    return (stream.writeStream.foreachBatch(lambda batch, number: add_hourly(batch, number, hours, spec))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def stored_means(hours: KeyedTable, value: str = "aqi") -> DataFrame:
+    """(city, hour, mean, n) of the hours stored so far, as ``hourly_means`` gives them for all readings at once."""
+    return hours.scan().select("city", "hour", (F.col("total") / F.nullif(F.col("n"), F.lit(0))).alias(value), "n")
+
+
 def write_available(result: DataFrame, path: str, checkpoint: str) -> None:
     """Process everything that has arrived into a parquet folder, then stop. The sink only appends."""
     (result.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)

@@ -74,6 +74,24 @@ def test_hourly_means_equal_batch_for_on_time_data(spark, tmp_path):
     assert got == {k: v for k, v in batch.items() if k[1] + timedelta(hours=1) <= closed} and len(got) > 30
 
 
+def test_readings_days_late_correct_their_hour_and_replays_add_nothing(spark, tmp_path):
+    schema = "city string, timestamp timestamp_ntz, aqi double, ingest_seq bigint"
+    rows = [("ab"[i % 2], T0 + timedelta(minutes=17 * i), float(i % 40) if i % 9 else None, i) for i in range(500)]
+    hours = KeyedTable(spark, str(tmp_path / "hours"), streams.HOURS, streams.HOURS_SPEC).create()
+    # The second file holds the oldest readings.
+    for part in (rows[200:], rows[:200]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = streams.read_parquet_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, "*.parquet")
+        streams.hourly_means_into(stream, hours, str(tmp_path / "progress")).awaitTermination()
+    whole = spark.createDataFrame(rows, schema)
+    read = lambda df: {(r.city, r.hour): (r.aqi and round(r.aqi, 9), r.n) for r in df.collect()}
+    want = read(streams.hourly_means(whole))
+    assert read(streams.stored_means(hours)) == want and len(want) > 100
+    for number, part in ((0, rows[200:]), (1, rows[:200])):
+        streams.add_hourly(spark.createDataFrame(part, schema), number, hours)
+    assert read(streams.stored_means(hours)) == want
+
+
 def test_backfill_pipeline(spark, tmp_path):
     docs = [{"city": "Lahore", "poll_id": i, "list": [
         {"dt": 1704067200 + 3600 * (2 * i + j), "components": {"pm2_5": v, "pm10": 1.0}} for j, v in enumerate(pair)]}

@@ -199,3 +199,23 @@ def test_registry_versions_choice_and_leak_guard(spark, tmp_path):
         reg.pick()
     with pytest.raises(ValueError, match="unknown model choice"):
         pipelines.forecast_all(rows, reg, "Oracle")
+
+
+def test_writers_at_the_same_time_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    rows = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], f"x double, {matrix.TARGET} double")
+    model = models.fit_ridge(matrix.assemble(rows, ("x",)))
+
+    def write(k):
+        registry = RG.ModelRegistry(spark, str(tmp_path))
+        return registry.register("aqi_a", "ridge", model, matrix.FeatureSet(("x",), {"x": float(k)}), {"rmse": float(k)})
+
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(write, range(6)))
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+    stored = {r.version: r for r in RG.ModelRegistry(spark, str(tmp_path)).rows().collect()}
+    assert sorted(stored) == sorted(got) and len({r.path for r in stored.values()}) == 6
+    for k, version in enumerate(got):
+        assert (stored[version].rmse, stored[version].medians) == (float(k), {"x": float(k)})
+        assert RG.ModelRegistry(spark, str(tmp_path)).load(stored[version]).coefficients[0] == pytest.approx(model.coefficients[0])
