@@ -212,6 +212,29 @@ def history_explode(spark, sf_dir):
     return rows.select("city", "poll_id", "timestamp", "pm25", "pm10", "no2")
 
 
+@query
+def landing_by_day(spark, sf_dir):
+    """History documents landed in day folders; of those only the days that can hold the range are read."""
+    folder = fresh_path(spark, "landing-history")
+    _history(spark, sf_dir).withColumn(LA.DAY, F.to_date("ingested_at")).write.partitionBy(LA.DAY).json(folder)
+    landed = LA.read_landing_days(spark, folder, S.HISTORY_PAYLOAD, "2024-01-05", "2024-01-25", earlier=1)
+    good, _ = LA.split_broken(landed)
+    rows = LA.explode_history(good, _ntz("2024-01-05 00:00:00"), _ntz("2024-01-25 00:00:00"))
+    return rows.select("city", "poll_id", "timestamp", "pm25", "pm10", "no2")
+
+
+@query
+def landing_broken_lines(spark, sf_dir):
+    """Every 17th document arrives cut off; its text is found, the others are read."""
+    folder, k = fresh_path(spark, "landing-current"), F.get_json_object("props", "$.k").cast("int")
+    cut = F.concat(F.lit('{"city":"'), "event_type", F.lit('","poll_id":'), "event_id")
+    whole = F.concat(cut, F.lit(',"ingested_at":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('","status":"ok"}'))
+    lines = _events(spark, sf_dir).select(F.when(k % 17 == 3, cut).otherwise(whole).alias("value"), F.to_date("ts").alias(LA.DAY))
+    lines.write.partitionBy(LA.DAY).text(folder)
+    good, broken = LA.split_broken(LA.read_landing_days(spark, folder, S.CURRENT_PAYLOAD))
+    return broken.unionByName(good.groupBy("city").count().select(F.concat("city", F.lit(" "), "count").alias("line")))
+
+
 @query
 def backfill(spark, sf_dir):
     return PL.backfill_readings(_history(spark, sf_dir)).select(

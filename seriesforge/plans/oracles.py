@@ -348,6 +348,12 @@ def oracle_sql() -> dict[str, str]:
         "history_explode": f"WITH {HISTORY} SELECT city, poll_id, timestamp, pm25, pm25 * 2 AS pm10, NULL::DOUBLE AS no2 "
                            "FROM h WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND "
                            "TIMESTAMP '2024-01-25 00:00:00'",
+        "landing_by_day": f"WITH {HISTORY} SELECT city, poll_id, timestamp, pm25, pm25 * 2 AS pm10, NULL::DOUBLE AS no2 "
+                          "FROM h WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND "
+                          "TIMESTAMP '2024-01-25 00:00:00'",
+        "landing_broken_lines": f"SELECT '{{\"city\":\"' || event_type || '\",\"poll_id\":' || event_id AS line FROM events "
+                                f"WHERE {KNUM} % 17 = 3 UNION ALL SELECT event_type || ' ' || count(*) AS line FROM events "
+                                f"WHERE {KNUM} % 17 <> 3 GROUP BY event_type",
         "backfill": f"WITH {HISTORY}, x AS (SELECT *, {_index('pm25')} AS aqi FROM h), y AS (SELECT * FROM x WHERE "
                     "aqi IS NOT NULL QUALIFY row_number() OVER (PARTITION BY city, timestamp ORDER BY poll_id DESC) = 1) "
                     "SELECT city, timestamp, aqi, pm25, 'pm25' AS dominant_pollutant, city || "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -9,8 +11,10 @@ from seriesforge import config as C, schema as S
 from seriesforge.functions import scalar, times
 from seriesforge.operators.lookups import merge_weather, with_pm25_index
 from seriesforge.operators.quality import flag_stale, flag_station
+from seriesforge.session import file_system
 
 _META = ["city", "poll_id", "ingested_at"]
+DAY, BROKEN = "date", "_broken"
 
 
 def read_landing(spark: SparkSession, path: str, payload: StructType) -> DataFrame:
@@ -18,6 +22,40 @@ def read_landing(spark: SparkSession, path: str, payload: StructType) -> DataFra
     return spark.read.schema(S.landed(payload)).json(path)
 
 
+def day_folders(spark: SparkSession, path: str, first=None, last=None) -> list[str]:
+    """The ``date=`` folders of a landing directory from the first to the last day; others are not even listed."""
+    fs, root = file_system(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+    low, high = f"{DAY}={first or ''}", f"{DAY}={last or '9999-12-31'}"
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(names) if n.startswith(f"{DAY}=") and low <= n <= high]
+
+
+def read_landing_days(spark: SparkSession, path: str, payload: StructType, first=None, last=None,
+                      earlier: int = 0) -> DataFrame:
+    """JSON lines of the days that can hold events of the range, with the text of lines that can't be read.
+
+    Folders are days of arrival. A document may hold events of up to ``earlier`` days before it arrived,
+    so that many more days are read behind the range; rows outside it are filtered by the caller.
+    """
+    schema = S.landed(payload)
+    until = last and str(date.fromisoformat(str(last)) + timedelta(days=earlier))
+    folders = day_folders(spark, path, first, until)
+    if not folders:
+        return spark.createDataFrame([], S.landed(payload).add(BROKEN, "string"))
+    # Parsed from text: a line that can't be read keeps it, and is found without any of its fields.
+    marked = S.landed(payload).add(BROKEN, "string")
+    doc = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    lines = spark.read.text(folders).filter(F.trim("value") != "").select("value", doc.alias("_doc"))
+    return lines.select(*[F.col(f"_doc.{c}").alias(c) for c in schema.fieldNames()],
+                        F.when(F.col(f"_doc.{BROKEN}").isNotNull(), F.col("value")).alias(BROKEN))
+
+
+def split_broken(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents that could be read, and (line) the text of those that could not."""
+    bad = F.col(BROKEN).isNotNull()
+    return landed.filter(~bad).drop(BROKEN), landed.filter(bad).select(F.col(BROKEN).alias("line"))
+
+
 def parse_bodies(bodies: DataFrame, payload: StructType) -> DataFrame:
     """Payloads kept as one JSON text column ``body``."""
     doc = F.from_json("body", payload)

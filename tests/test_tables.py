@@ -178,6 +178,20 @@ def test_landing_files(spark, tmp_path):
     assert [r.city for r in rejected.collect()] == ["Karachi"] and accepted.count() == 3
 
 
+def test_landing_days_outside_the_range_are_not_listed_and_broken_lines_are_kept(spark, tmp_path):
+    for day in range(1, 6):
+        folder = tmp_path / "in" / f"date=2024-01-0{day}"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text('{"city":"Lahore","poll_id":%d,"ingested_at":"2024-01-0%dT01:00:00","list":[]}\nno json %d\n{"city":"x","poll_id":1,"ingested_at":"2024-01-01T00:00:00","list":[' % (day, day, day))
+    landed = landing.read_landing_days(spark, str(tmp_path / "in"), S.HISTORY_PAYLOAD, "2024-01-02", "2024-01-03", earlier=1)
+    assert sorted(f.split("date=")[1][:10] for f in landed.inputFiles()) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    good, broken = landing.split_broken(landed)
+    assert sorted(r.poll_id for r in good.collect()) == [2, 3, 4] and "_broken" not in good.columns
+    assert sorted(r.line for r in broken.collect()) == ["no json 2", "no json 3", "no json 4", *['{"city":"x","poll_id":1,"ingested_at":"2024-01-01T00:00:00","list":['] * 3]
+    nothing = landing.read_landing_days(spark, str(tmp_path / "in"), S.HISTORY_PAYLOAD, "2025-01-01")
+    assert nothing.count() == 0 and landing.read_landing_days(spark, str(tmp_path / "none"), S.HISTORY_PAYLOAD).count() == 0
+
+
 def test_registry_versions_choice_and_leak_guard(spark, tmp_path):
     rows = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], f"x double, {matrix.TARGET} double")
     model = models.fit_ridge(matrix.assemble(rows, ("x",)))
