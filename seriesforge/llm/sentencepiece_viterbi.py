@@ -1,10 +1,12 @@
 """SentencePiece encoding by a streaming Viterbi search, and decoding.
 
 The best segmentation of a text is the one whose pieces' scores in the model file sum highest; of equal
-sums the one whose last piece starts first. The search reads the text once and keeps only a window:
-scores of as many positions as the longest piece has characters, and backpointers back to the last
-commit. Whenever the backpointer chains of all positions a later piece could start from meet in
-one boundary, everything before it is settled and its ids are emitted.
+sums the one whose last piece starts first. The search reads the text once: it needs the scores of as
+many positions as the longest piece has characters, and backpointers back to the last commit. Whenever
+the backpointer chains of all positions a later piece could start from meet in one boundary,
+everything before it is settled and its ids are emitted. In a run of one character or of another short
+period the chains may never meet; what is held then grows with the run (no id of it is settled
+before its end is seen), in linear time.
 
 A piece never holds a word mark after another character (the vocabulary is checked for it), so chains
 always meet before a word mark; words are therefore kept with their ids. Characters outside the
@@ -66,13 +68,18 @@ class Pieces:
 
 
 class StreamingViterbi:
-    """Feed characters in any portions; ids come out as soon as they are settled."""
+    """Feed characters in any portions; ids come out as soon as they are settled.
+
+    In a periodic text the chains may never meet: then what is held grows with the period's run, and only
+    whenever it has doubled the chains are followed again, so the time stays linear.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.text = ""  # characters after the committed boundary
+        self.text: list[str] = []  # characters after the committed boundary
         self.best: list[float] = [0.0]  # best score of each boundary in it
         self.back: list[int] = [0]
+        self.due = 2 * pieces.longest  # length at which the chains are followed next; a window's worth is kept anyway
         self.widest = 0  # characters ever held, for tests
 
     def feed(self, portion: str) -> list[int]:
@@ -80,19 +87,20 @@ class StreamingViterbi:
         step = 4 * self.pieces.longest
         for at in range(0, len(portion), step):
             self._extend(portion[at : at + step])
-            if len(self.text) > 2 * self.pieces.longest:  # a window's worth is kept anyway
+            if len(self.text) > self.due:
                 out += self._commit()
+                self.due = 2 * max(len(self.text), self.pieces.longest)
         return out
 
     def finish(self) -> list[int]:
         out = self._ids(0, len(self.text))
-        self.text, self.best, self.back = "", [0.0], [0]
+        self.text, self.best, self.back, self.due = [], [0.0], [0], 2 * self.pieces.longest
         return out
 
     def _extend(self, portion: str) -> None:
-        p = self.pieces
-        done = len(self.text)
-        text = self.text = self.text + portion
+        p, text = self.pieces, self.text
+        done = len(text)
+        text += portion
         n = len(text)
         best, back = self.best, self.back
         best += [float("-inf")] * len(portion)
@@ -139,7 +147,7 @@ class StreamingViterbi:
         parts: list[list[int]] = []
         while high > low:
             start = self.back[high]
-            piece = self.text[start:high]
+            piece = "".join(self.text[start:high])
             known = self.pieces.ids.get(piece)
             parts.append([known] if known is not None else [self.pieces.bytes[b] for b in piece.encode("utf-8", "replace")])
             high = start

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import pytest
@@ -47,6 +48,19 @@ def test_the_window_stays_bounded(pieces):
     assert n and search.widest < 12 * pieces.longest
 
 
+@pytest.mark.parametrize("period", ["a", " ", "ab", "▁x", "\n", "=-"])
+def test_runs_of_a_period_take_linear_time(pieces, period):
+    run = "▁" + (period * 4000).replace(" ", "▁")
+    assert sv.viterbi(pieces, run) == plain(pieces, run)
+    seconds = []
+    for n in (100_000, 1_000_000):
+        start = time.perf_counter()
+        found = sv.viterbi(pieces, (period * (n // len(period))).replace(" ", "▁"))
+        seconds.append(time.perf_counter() - start)
+        assert found
+    assert seconds[1] < 30 * max(seconds[0], 0.1), seconds
+
+
 def test_round_trip_of_documents(spark, pieces):
     data = frame(spark).set_index("doc_id").text
     got = rows(sv.round_trip(documents(spark)))
