@@ -206,6 +206,16 @@ def current_snapshot(spark, sf_dir):
     return shot.select("city", "poll_id", "aqi", "temp", "is_stale", "station_ok")
 
 
+@query
+def snapshot_of_configured_cities(spark, sf_dir):
+    """Readings polled for three configured and two other places: only the configured ones are in the snapshot, with their station."""
+    names = {"click": "Lahore", "view": "Karachi", "purchase": "Quetta"}
+    named = lambda df: df.replace(names, subset=["city"])
+    cities = S.city_dim(spark)
+    shot = LA.snapshot(named(_current(spark, sf_dir)), named(_weather(spark, sf_dir)), _us(AS_OF), cities)
+    return shot.join(cities, "city").select("city", "poll_id", "aqi", "temp", "is_stale", "station", "lat", "lon")
+
+
 @query
 def history_explode(spark, sf_dir):
     rows = LA.explode_history(_history(spark, sf_dir), _ntz("2024-01-05 00:00:00"), _ntz("2024-01-25 00:00:00"))
@@ -869,6 +879,20 @@ def backfill_job(spark, sf_dir):
     return features.scan().select("city", "timestamp", "aqi", "hour", "day_of_week", "is_weekend", "ingest_seq")
 
 
+@query
+def first_run_and_empty_batches(spark, sf_dir):
+    """The refresh job on tables that do not exist yet: with nothing, with all readings, with the same again, with nothing."""
+    raw = KeyedTable(spark, fresh_path(spark, "first-raw"), S.RAW_READINGS)
+    features = KeyedTable(spark, fresh_path(spark, "first-features"),
+                          FT.engineer_features(spark.createDataFrame([], S.RAW_READINGS)).schema).create()
+    rows = materialize(AD.raw_readings(_events(spark, sf_dir), hourly=True), "hourly")
+    steps = []
+    for step, arrived in (("nothing", rows.limit(0)), ("first", rows), ("again", rows), ("empty", rows.limit(0))):
+        ran = PL.run_feature_refresh(arrived, raw, features)
+        steps.append((step, ran, raw.scan().count(), features.scan().count()))
+    return spark.createDataFrame(steps, "step string, ran boolean, readings bigint, features bigint")
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):

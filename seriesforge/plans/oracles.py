@@ -345,6 +345,15 @@ def oracle_sql() -> dict[str, str]:
         "weather_fallback": f"WITH {_current(WEATHER)} SELECT city, poll_id, temp, humidity, pressure, wind_speed FROM m",
         "current_snapshot": f"WITH {_current(WEATHER)} SELECT city, poll_id, aqi, temp, "
                             f"{AS_OF} - timestamp > INTERVAL 3 HOUR AS is_stale, true AS station_ok FROM m",
+        "snapshot_of_configured_cities":
+            f"WITH {_current(WEATHER)}, d(event_type, city, station, lat, lon) AS (VALUES "
+            "('click', 'Lahore', 'lahore', 31.5497::DOUBLE, 74.3436::DOUBLE), ('view', 'Karachi', 'karachi', 24.8607, 67.0011), "
+            "('purchase', 'Quetta', 'A544306', 30.1798, 66.9750)) SELECT d.city, poll_id, aqi, temp, "
+            f"{AS_OF} - timestamp > INTERVAL 3 HOUR AS is_stale, station, lat, lon FROM m JOIN d ON m.city = d.event_type",
+        "first_run_and_empty_batches":
+            f"WITH {_d(hourly=True)}, n AS (SELECT count(*) AS n FROM d) SELECT step, ran, CASE WHEN full_ THEN n ELSE 0 END AS readings, "
+            "CASE WHEN full_ THEN n ELSE 0 END AS features FROM n, (VALUES ('nothing', false, false), ('first', true, true), "
+            "('again', false, true), ('empty', false, true)) s(step, ran, full_)",
         "history_explode": f"WITH {HISTORY} SELECT city, poll_id, timestamp, pm25, pm25 * 2 AS pm10, NULL::DOUBLE AS no2 "
                            "FROM h WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND "
                            "TIMESTAMP '2024-01-25 00:00:00'",
