@@ -8,7 +8,8 @@ cut; a pass sums in the map tasks and returns one row a node. What a pass has to
 most one a shard, is a broadcast table of literals, so every pass is the same compiled plan.
 
 Equal texts are one item with the metadata of the group, so copies stay together. Groups larger than
-``part`` of a shard are dealt out in parts by id: there are at most ``shards / part`` of them, which
+``part`` of a shard are dealt out in parts by the place of the row in the stored table, so copies that
+also share their id are dealt out as well: there are at most ``shards / part`` of them, which
 bounds the broadcast.
 """
 
@@ -144,13 +145,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, part: float = PART) -
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + OVERHEAD).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), *meta,
+            F.monotonically_increasing_id().alias("place"),
         ), "rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     most = max(1.0, total / shards * part)
     large = rows.groupBy("h").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)
     large = materialize(large.select("h", F.ceil(F.col("bytes") / most).cast("int").alias("parts")), "large-groups")
     dealt = rows.join(F.broadcast(large), "h", "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+        "part", F.coalesce(F.pmod(F.xxhash64("place"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
     items = dealt.groupBy("h", "part").agg(
         F.sum("size").alias("bytes"), F.max("size").alias("size"), F.min("lang").alias("lang"), F.min("source").alias("source"))
     values = [F.log2("size"), _initial(F.col("lang")), _initial(F.col("source"))]
@@ -164,6 +166,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, part: float = PART) -
     tie = F.shiftrightunsigned(F.xxhash64("h", "part"), 64 - TIE).alias("tie")
     items = materialize(items.select("h", "part", "bytes", *coordinates, tie), "coordinates")
     placed = place(items, shards, most / 2).select("h", "part", "shard")
-    out = materialize(dealt.select("h", "part", "doc_id", "size", "text_crc32").join(placed, ["h", "part"]), "sharded")
-    return gapless(out, "shard", ["h", "doc_id"], "slot").select(
+    out = materialize(dealt.select("h", "part", "doc_id", "place", "size", "text_crc32").join(placed, ["h", "part"]), "sharded")
+    return gapless(out, "shard", ["h", "doc_id", "place"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

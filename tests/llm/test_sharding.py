@@ -37,6 +37,14 @@ def test_small_copies_stay_together_and_large_groups_are_dealt_out(spark):
     assert len({where[10_000 + k] for k in range(3000)}) > 1
 
 
+def test_copies_that_share_one_id_or_have_none_are_dealt_out(spark):
+    pairs = [(5, "hot " * 20)] * 1500 + [(None, "cold " * 16)] * 1500 + [(100 + k, f"text {k} " * 9) for k in range(300)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in pairs], "doc_id long, text string, lang string, source string")
+    got = rows(sharding.shard_documents(docs, shards=5, part=1 / 32))
+    check(got, pairs, 5, sum(r[1] for r in got) / 5 * 0.08)
+    assert len({r[4] for r in got if r[0] == 5}) > 1 and len({r[4] for r in got if r[0] is None}) > 1
+
+
 def test_edges_and_empty_table(spark):
     check(rows(sharding.shard_documents(edge_documents(spark), shards=3)), TEXTS, 3, 200_000)
     assert rows(sharding.shard_documents(empty_documents(spark))) == []
