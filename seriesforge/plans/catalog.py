@@ -255,7 +255,7 @@ def backfill(spark, sf_dir):
 
 @query
 def asof_lags(spark, sf_dir):
-    return FT.add_lag_features(_readings(spark, sf_dir)).drop("pm25", "k")
+    return FT.add_lag_features(QL.keep_last(_readings(spark, sf_dir))).drop("pm25", "k")
 
 
 @query
