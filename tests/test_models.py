@@ -1,5 +1,6 @@
 """Matrix fitting, regressors, metrics and tree attributions against direct computations."""
 
+import threading
 import time
 from itertools import combinations
 from math import factorial
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.config import ModelConfig
 from seriesforge.operators import explain, matrix, models, trees
+from seriesforge.plans import catalog, pipelines
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +169,21 @@ def test_explain_dispatch(spark):
     assert explain.explain("sequence", None, rows, medians) is None
     with pytest.raises(ValueError):
         explain.explain("oracle", None, rows, medians)
+
+
+def test_families_are_fitted_at_the_same_time_and_only_those_asked_for(data, monkeypatch):
+    meeting = threading.Barrier(2, timeout=20)
+    for name in ("fit_forest", "fit_boosted"):
+        monkeypatch.setattr(models, name, lambda train, cfg: meeting.wait())
+    monkeypatch.setattr(models, "fit_ridge", None)
+    assert set(models.train_all(data[1], families=("random_forest", "boosted_trees"))) == {"random_forest", "boosted_trees"}
+
+
+def test_a_forecast_by_the_forest_fits_no_other_family(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(catalog.MD, "train_all", lambda train, cfg, families: fitted.extend(families) or {n: n for n in families})
+    monkeypatch.setattr(catalog.PL, "prepare_training", lambda features: pipelines.Prepared(None, None, None))
+    monkeypatch.setattr(catalog.PL, "compared", lambda prepared, found: found)
+    monkeypatch.setattr(catalog, "_features_table", lambda spark, sf_dir: None)
+    assert set(catalog._trained(spark, "/made-up", "random_forest")) == {"random_forest"} and fitted == ["random_forest"]
+    assert set(catalog._trained(spark, "/made-up")) == set(models.FAMILIES) and fitted == ["random_forest", "ridge", "boosted_trees"]
