@@ -5,13 +5,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesforge.config import ModelConfig
 from seriesforge.operators import matrix as M
-from seriesforge.session import shared_dir
+from seriesforge.session import settle, shared_dir
 
 PREDICTION = "prediction"
 
@@ -55,6 +56,52 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0):
                             standardization=False, solver="auto").fit(train)
 
 
+@dataclass(frozen=True)
+class SeriesRidge:
+    """A ridge with an indicator a series: one weight a series as a table, the others as numbers."""
+
+    columns: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+    series: DataFrame  # (key, weight)
+
+
+def fit_series_ridge(rows: DataFrame, columns: tuple[str, ...] = (), key: str = "city", target: str = M.TARGET,
+                     alpha: float = 1.0) -> SeriesRidge:
+    """The ridge of :func:`fit_ridge` over ``columns`` (doubles without nulls) and an indicator a series, in closed form.
+
+    Given the other weights w, a series' own is n / (n + alpha) times its mean residual. Put in, what is
+    left to solve has one row a column and needs only count, means and scatter of each series. One
+    aggregation of the rows whatever the number of series; their weights stay a table. Rows without a
+    series have no indicator.
+    """
+    n, y, names = F.col("_n"), F.col("_y0"), [f"_x{i}" for i in range(len(columns))]
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    x = [F.col(c).cast("double") for c in columns]
+    groups = settle(rows.dropna(subset=[target]).groupBy(F.col(key)).agg(
+        F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_y0"), *[F.avg(c).alias(name) for c, name in zip(x, names)],
+        *[F.covar_pop(x[i], x[j]).alias(f"_s{i}_{j}") for i, j in pairs],
+        *[F.covar_pop(c, F.col(target)).alias(f"_t{i}") for i, c in enumerate(x)]), "series-moments")
+    # How much of a series' mean its own weight leaves to the others.
+    left = n * F.when(F.col(key).isNull(), 1.0).otherwise(F.lit(alpha) / (n + alpha))
+    mean = [F.lit(1.0), *[F.col(name) for name in names]]
+    sums = [F.sum(left * mean[i] * mean[j] + (n * F.col(f"_s{i - 1}_{j - 1}") if i else 0.0)) for i in range(len(mean)) for j in range(i, len(mean))]
+    ends = [F.sum(left * mean[i] * y + (n * F.col(f"_t{i - 1}") if i else 0.0)) for i in range(len(mean))]
+    found = groups.agg(*[s.alias(f"_{k}") for k, s in enumerate([*sums, *ends])]).first()
+    normal, at = np.zeros((len(mean), len(mean))), 0
+    for i in range(len(mean)):
+        for j in range(i, len(mean)):
+            normal[i, j] = normal[j, i] = found[at] or 0.0
+            at += 1
+    normal[1:, 1:] += alpha * np.eye(len(columns))
+    w = np.linalg.lstsq(normal, np.array([v or 0.0 for v in found[at:]]), rcond=None)[0]
+    rest = F.lit(float(w[0]))
+    for weight, name in zip(w[1:], names):
+        rest = rest + F.lit(float(weight)) * F.col(name)
+    series = groups.dropna(subset=[key]).select(key, (n / (n + alpha) * (y - rest)).alias("weight"))
+    return SeriesRidge(tuple(columns), tuple(map(float, w[1:])), float(w[0]), series)
+
+
 def fit_forest(train: DataFrame, cfg: ModelConfig = ModelConfig()):
     return RandomForestRegressor(
         featuresCol=M.FEATURES, labelCol=M.TARGET, numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,

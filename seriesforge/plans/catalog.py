@@ -634,13 +634,10 @@ def sequence_model_eval(spark, sf_dir):
 
 @query
 def train_many_series(spark, sf_dir):
-    """Ridge with an indicator for every user, whatever their number: fitted columns and the fit's quality."""
-    rows = materialize(_readings(spark, sf_dir, key="user_id"), "many")
-    fitted = MX.fit_features(rows, ignore=("ingest_seq", "k"))
-    matrix = MX.vectorise(rows, fitted)
-    w = MD.LinearWeights.of(MD.fit_ridge(matrix), fitted.columns)
-    terms = spark.createDataFrame([(c, v) for c, v in w.city_weights.items()], "city string, weight double")
-    return _rounded(terms.select("city", (F.col("weight") + w.intercept).alias("level")), 6)
+    """Ridge with an indicator for every user, whatever their number: the level of each."""
+    rows = MX.labelled(_readings(spark, sf_dir, key="user_id"))
+    w = MD.fit_series_ridge(rows, target="aqi")
+    return _rounded(w.series.select("city", (F.col("weight") + w.intercept).alias("level")), 6)
 
 
 @query

@@ -34,6 +34,27 @@ def test_ridge_closed_form(data):
     assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ want)
 
 
+def test_a_ridge_with_an_indicator_a_series_equals_the_wide_one(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"c{i % 7}" if i % 11 else None, float(i % 5), float(rng.normal()), float(rng.normal() + i % 7)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "city string, a double, b double, aqi double")
+    x = np.array([[a, b, *[float(c == f"c{k}") for k in range(7)]] for c, a, b, _ in rows])
+    y = np.array([r[3] for r in rows])
+    xc = x - x.mean(0)
+    want = np.linalg.solve(xc.T @ xc + 2.0 * np.eye(9), xc.T @ (y - y.mean()))
+    got = models.fit_series_ridge(frame, ("a", "b"), target="aqi", alpha=2.0)
+    np.testing.assert_allclose(got.coefficients, want[:2], atol=1e-10)
+    np.testing.assert_allclose([r.weight for r in got.series.orderBy("city").collect()], want[2:], atol=1e-10)
+    assert got.intercept == pytest.approx(y.mean() - x.mean(0) @ want)
+
+
+def test_twenty_thousand_series_need_no_vector_of_their_indicators(spark, monkeypatch):
+    monkeypatch.setattr(models, "LinearRegression", None)
+    rows = spark.range(60_000).select((F.col("id") % 20_000).cast("string").alias("city"), (F.col("id") % 20_000 + F.col("id") % 3).cast("double").alias("aqi"))
+    found = models.fit_series_ridge(rows, target="aqi")
+    assert found.series.count() == 20_000 and found.intercept == pytest.approx(10_000.5)
+
+
 def test_models_beat_the_mean_and_metrics_agree(data):
     pdf, df = data
     fitted = models.train_all(df, ModelConfig.small())
