@@ -12,6 +12,8 @@ from seriesforge.operators.quality import keep_last
 
 _FIRST = Window.unboundedPreceding
 _MOMENTS = ("n", "mean", "m2")
+# Each of the sorts holds the rows of its task, so a task is given about this many readings.
+ROWS_PER_TASK = 100_000
 
 
 def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -157,6 +159,10 @@ def add_series_features(df: DataFrame, spec: SeriesSpec = SeriesSpec(), cfg: Fea
             B.carried_rows(edges, spec, cfg.bucket_us, cfg.reach_us, rows.schema[B.PAYLOAD].dataType))
     if only is not None:
         rows = rows.join(only, [spec.key, B.BUCKET], "left_semi")
+    # Without a number the planner merges buckets into tasks by their compressed size, of any number of rows.
+    tasks = -(-(df if edges_from is None else edges_from).count() // ROWS_PER_TASK)
+    if tasks > 1:
+        rows = rows.repartition(tasks, spec.key, B.BUCKET)
     out = _features(rows, [spec.key, B.BUCKET], spec, cfg, dense, lags, rolling, rate)
     return out.filter(B.HOME).select(*[F.col(f"{B.PAYLOAD}.{c}").alias(c) for c in df.columns], *names)
 

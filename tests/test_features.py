@@ -197,3 +197,17 @@ def test_a_reading_is_sent_about_once_a_feature(spark):
     high = F.least(F.coalesce(F.col("_after") + day, at + tolerance), at + tolerance)
     sent = cells._sent(rows.select("city", buckets.US, "_v", "_before", "_after"), low, high, at, parts, held, "city", slot)
     assert held.count() > 150 and sent.count() < 1.1 * rows.count() + 5 * held.count()
+
+
+def test_a_task_is_given_a_bounded_number_of_readings(spark, monkeypatch):
+    """Many small series: the planner alone merges all of their buckets into one task, as they are few bytes."""
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 200)
+    rows = spark.range(2000).select(
+        (F.col("id") % 100).cast("string").alias("city"), (F.lit(T0) + F.make_dt_interval(hours=F.col("id").cast("int"))).cast("timestamp_ntz").alias("timestamp"),
+        (F.col("id") % 17).cast("double").alias("aqi"), F.col("id").alias("ingest_seq"))
+    split, plain = features.engineer_features(rows), features.engineer_features(rows, mode="window")
+    held = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 2000 and max(held) <= 600
+    order = lambda df: [tuple(r) for r in df.orderBy("ingest_seq").collect()]
+    for g, w in zip(order(split), order(plain.select(split.columns)), strict=True):
+        assert g == pytest.approx(w, nan_ok=True) if None not in g else [v is None for v in g] == [v is None for v in w]
