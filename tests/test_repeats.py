@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 
 import __spark_entry__ as entry
+from seriesforge.plans import catalog
 from tests.oracle import compare, connect
 
 
@@ -27,3 +28,13 @@ def test_repeats_of_a_reading_count_once(spark, repeated, name):
     con = connect("/nowhere")
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{repeated}/events.parquet/*.parquet'")
     assert compare(entry.queries()[name](spark, repeated), con, entry.oracle_sql()[name]) is None
+
+
+def test_a_refresh_takes_narrower_buckets_where_readings_are_dense(spark, repeated, monkeypatch):
+    widths, refresh = [], catalog.FT.refresh_features
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 60, raising=False)
+    monkeypatch.setattr(catalog.FT, "refresh_features", lambda *a, **k: widths.append(k.get("cfg", catalog.FeatureConfig()).bucket_hours) or refresh(*a, **k))
+    con = connect("/nowhere")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{repeated}/events.parquet/*.parquet'")
+    assert compare(entry.queries()["incremental_refresh"](spark, repeated), con, entry.oracle_sql()["incremental_refresh"]) is None
+    assert widths[0] < 96
