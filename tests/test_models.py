@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesforge.config import ModelConfig
-from seriesforge.operators import explain, matrix, models, trees
+from seriesforge.operators import explain, forests, matrix, models, trees
 from seriesforge.plans import catalog, pipelines
 
 
@@ -208,3 +208,36 @@ def test_a_forecast_by_the_forest_fits_no_other_family(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_features_table", lambda spark, sf_dir: None)
     assert set(catalog._trained(spark, "/made-up", "random_forest")) == {"random_forest"} and fitted == ["random_forest"]
     assert set(catalog._trained(spark, "/made-up")) == set(models.FAMILIES) and fitted == ["random_forest", "ridge", "boosted_trees"]
+
+
+def test_forests_grown_beside_their_rows_equal_those_grown_from_histograms(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"a": rng.normal(size=3000), "b": rng.integers(0, 5, 3000).astype(float), "c": rng.random(3000).round(2)})
+    pdf[matrix.TARGET] = 3 * pdf.a - pdf.b + np.where(pdf.c > 0.5, 4, 0) + 100
+    df = matrix.assemble(spark.createDataFrame(pdf), ("a", "b", "c")).cache()
+    cfg = ModelConfig(forest_trees=3, forest_depth=6)
+    near = trees.nodes_of(spark, forests.fit_forest(df, cfg), ("a", "b", "c"), averaged=True)
+    far = trees.nodes_of(spark, forests.fit_forest(df, cfg, local_rows=200), ("a", "b", "c"), averaged=True)
+    every = trees.nodes_of(spark, forests.fit_forest(df, cfg, local_rows=1), ("a", "b", "c"), averaged=True)
+    for other in (far, every):
+        for name in ("feature", "threshold", "left", "right", "cover"):
+            np.testing.assert_array_equal(getattr(near, name), getattr(other, name))
+        np.testing.assert_allclose(near.value, other.value, rtol=1e-9)
+    # Every row is in the bootstrap: as many draws a tree as rows, up to chance.
+    assert all(abs(n - 3000) < 300 for n in near.cover[near.roots])
+
+
+def test_a_tree_splits_where_the_error_falls_most():
+    rng = np.random.default_rng(9)
+    bins, y, w = rng.integers(0, 6, (3, 80)).astype(np.uint8), rng.normal(size=80), rng.integers(1, 4, 80).astype(float)
+    sse = lambda rows: float((w[rows] * (y[rows] - np.average(y[rows], weights=w[rows])) ** 2).sum())
+    (path, feature, cut, drop, n, s, q), *below = forests.grown(bins, y, w, 1, 1)
+    left = lambda f, c: bins[f] <= c
+    drops = {(f, c): sse(w > 0) - sse(left(f, c)) - sse(~left(f, c)) for f in range(3) for c in range(6) if 0 < left(f, c).sum() < 80}
+    assert (feature[0], cut[0]) == max(drops, key=drops.get) and drop[0] == pytest.approx(max(drops.values()))
+    assert below[0][0].tolist() == [2, 3] and below[0][4].sum() == w.sum() and (below[0][1] < 0).all()
+
+
+def test_rounds_run_in_whole_waves():
+    assert [models.boost_tasks(n, 8) for n in (1000, 240_000, 480_000, 4_800_000)] == [2, 4, 8, 16]
+    assert models.boost_tasks(28_800_000, 12) == 60
