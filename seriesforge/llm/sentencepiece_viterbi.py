@@ -40,13 +40,13 @@ class Pieces:
     def __init__(self, ids: dict[str, int], scores: dict[str, float], bytes_: dict[int, int]):
         self.ids, self.scores, self.bytes = ids, scores, bytes_
         self.longest = max(map(len, ids), default=1)
-        #: A tree of characters: character to (what may follow, score of the piece that ends here or None).
+        #: A tree of characters: character to (what may follow, score and id of the piece that ends here or None).
         self.tree: dict = {}
         for piece, score in scores.items():
             at = self.tree
             for c in piece[:-1]:
-                at = at.setdefault(c, [{}, None])[0]
-            at.setdefault(piece[-1], [{}, None])[1] = score
+                at = at.setdefault(c, [{}, None, None])[0]
+            at.setdefault(piece[-1], [{}, None, None])[1:] = score, ids[piece]
         #: Score of a character that only bytes can spell: below any sum of pieces of one character.
         self.fallback = min(scores.values(), default=0.0) - 10.0
         self.word_bound = not any(re.search(f"[^{MARK}]{MARK}", p) for p in ids)
@@ -115,7 +115,7 @@ class StreamingViterbi:
                     if end == start + 1 and end > done and base + fallback > best[end]:
                         best[end], back[end] = base + fallback, start
                     break
-                follow, score = step
+                follow, score, _ = step
                 if score is None:
                     if end > start + 1:
                         continue
@@ -159,6 +159,40 @@ def viterbi(pieces: Pieces, text: str) -> list[int]:
     return search.feed(text) + search.finish()
 
 
+def word_ids(pieces: Pieces, word: str) -> list[int]:
+    """The same for a text short enough to be held whole: nothing is committed, and ids are noted on the way."""
+    n, tree, fallback = len(word), pieces.tree, pieces.fallback
+    best, back, via = [0.0] + [float("-inf")] * n, [0] * (n + 1), [None] * (n + 1)
+    for start in range(n):
+        base, end, step = best[start], start + 1, tree.get(word[start])
+        if step is None or step[1] is None:
+            if base + fallback > best[end]:
+                best[end], back[end], via[end] = base + fallback, start, None
+            if step is None:
+                continue
+        elif base + step[1] > best[end]:
+            best[end], back[end], via[end] = base + step[1], start, step[2]
+        follow = step[0]
+        for c in word[end:]:
+            step = follow.get(c)
+            if step is None:
+                break
+            end += 1
+            follow, score, found = step
+            if score is not None and base + score > best[end]:
+                best[end], back[end], via[end] = base + score, start, found
+    out, end = [], n
+    while end:
+        start = back[end]
+        if via[end] is None:
+            out += [pieces.bytes[b] for b in reversed(word[start:end].encode("utf-8", "replace"))]
+        else:
+            out.append(via[end])
+        end = start
+    out.reverse()
+    return out
+
+
 class Encoder(dict):
     """ids of marked words (little-endian unsigned 32-bit), kept for the next time, emptied when full."""
 
@@ -166,9 +200,10 @@ class Encoder(dict):
         self.pieces, self.most, self.longest_word = pieces, most, longest_word
 
     def __missing__(self, word: str) -> bytes:
-        ids = viterbi(self.pieces, word)
+        short = len(word) <= self.longest_word
+        ids = word_ids(self.pieces, word) if short else viterbi(self.pieces, word)
         packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= self.longest_word:
+        if short:
             if len(self) >= self.most:
                 self.clear()
             self[word] = packed

@@ -41,6 +41,14 @@ def test_streaming_equals_the_whole_search(pieces):
         assert sv.decode(pieces, expected) == t.replace("▁", " ")
 
 
+def test_words_are_searched_without_the_stream(pieces, monkeypatch):
+    rng = random.Random(5)
+    words = ["▁" + "".join(rng.choice(["a", "er", "ing", "😀", "日", "é", "\n", "q", "0", "=", "\ud800"]) for _ in range(rng.randint(0, 30))) for _ in range(600)]
+    streamed = [sv.viterbi(pieces, w) for w in words]
+    monkeypatch.setattr(sv, "viterbi", None)
+    assert [memoryview(sv.Encoder(pieces)[w]).cast("I").tolist() for w in words] == streamed
+
+
 def test_the_window_stays_bounded(pieces):
     search, n = sv.StreamingViterbi(pieces), 0
     for _ in range(2000):
