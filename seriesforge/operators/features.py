@@ -12,8 +12,9 @@ from seriesforge.operators.quality import keep_last
 
 _FIRST = Window.unboundedPreceding
 _MOMENTS = ("n", "mean", "m2")
-# Each of the sorts holds the rows of its task, so a task is given about this many readings.
-ROWS_PER_TASK = 100_000
+# Each of the sorts holds the rows of its task, so there is a task for about this many readings: more tasks
+# than large buckets, or else several of those would meet in one.
+ROWS_PER_TASK = 25_000
 
 
 def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:

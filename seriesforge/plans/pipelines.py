@@ -42,14 +42,26 @@ def combine_raw(existing: DataFrame, new: DataFrame, spec: SeriesSpec = SeriesSp
     return keep_last(existing.unionByName(new, allowMissingColumns=True), spec)
 
 
+# Widths a stored table's buckets narrow to, in hours: few, as each has an edge table of its own.
+NARROWER, BUCKET_ROWS = (48, 24, 12, 6), 100_000
+
+
+def narrowed(cfg: FeatureConfig, rows: DataFrame, spec: SeriesSpec) -> FeatureConfig:
+    """The usual bucket width, or the first narrower one at which the densest series of ``rows`` keeps near BUCKET_ROWS a bucket."""
+    fits = B.fit_bucket_hours(rows.select(spec.key, spec.ts), spec, BUCKET_ROWS, shortest=NARROWER[-1], longest=cfg.bucket_hours)
+    return replace(cfg, bucket_hours=next(h for h in (cfg.bucket_hours, *NARROWER) if h <= fits))
+
+
 def refresh_stored_features(changed: DataFrame, raw: KeyedTable, features: KeyedTable,
                             cfg: FeatureConfig = FeatureConfig()) -> None:
     """Recompute the stored features that rows just upserted into ``raw`` can affect.
 
-    Only the days of the touched buckets and their look-back are read. Which buckets follow each other
-    is known from the table's edges, so the history of the changed series is not scanned.
+    Only the days of the touched buckets and their look-back are read. Buckets are narrower than usual
+    where the readings of the changed days are dense. Which buckets follow each other is known from the table's edges, so the history of the changed series is not scanned.
     """
     spec = raw.spec
+    arrived = [r[0] for r in changed.dropna(subset=[spec.ts]).select(F.to_date(spec.ts)).distinct().collect()]
+    cfg = narrowed(cfg, raw.scan_on(arrived), spec)
     table = EdgeTable(raw, cfg.bucket_us).create()
     edges = table.around(B.reached_buckets(changed, spec, cfg.bucket_us, cfg.reach_us))
     touched = settle(B.touched_buckets(edges, changed, spec, cfg.bucket_us, cfg.reach_us), "touched")
@@ -74,7 +86,7 @@ def run_feature_refresh(new_rows: DataFrame, raw: KeyedTable, features: KeyedTab
         return False
     raw.upsert(changed, stored=True)
     if full:
-        features.upsert(engineer_features(raw.scan(), raw.spec, cfg, unique=True))
+        features.upsert(engineer_features(raw.scan(), raw.spec, narrowed(cfg, raw.scan(), raw.spec), unique=True))
     else:
         refresh_stored_features(changed, raw, features, cfg)
     return True

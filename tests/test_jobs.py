@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesforge import schema as S
-from seriesforge.config import ModelConfig
+from seriesforge.config import HOUR_US, ModelConfig
 from seriesforge.operators import matrix, models, sequences
 from seriesforge.operators.features import engineer_features
 from seriesforge.plans import pipelines
@@ -81,6 +81,20 @@ def test_backfill_in_two_parts_equals_one(spark, tmp_path):
     assert made[0] == made[1] and len(made[0]) == 480
 
 
+def test_stored_buckets_narrow_where_readings_are_dense(spark, tmp_path, monkeypatch):
+    rows = pipelines.to_raw_schema(hourly(spark, ["a", "b"], 24 * 10))
+    made = []
+    for name, most in (("usual", 100_000), ("narrow", 20)):
+        monkeypatch.setattr(pipelines, "BUCKET_ROWS", most, raising=False)
+        raw = KeyedTable(spark, str(tmp_path / name / "raw"), S.RAW_READINGS)
+        features = KeyedTable(spark, str(tmp_path / name / "features"), engineer_features(spark.createDataFrame([], S.RAW_READINGS)).schema)
+        for part in (rows.filter(F.dayofmonth("timestamp") != 4), rows.filter(F.dayofmonth("timestamp") == 4)):
+            assert pipelines.run_feature_refresh(part, raw, features)
+        made.append((sorted(map(str, features.scan().collect())), [int(w) // HOUR_US for w in raw.folders("edges")]))
+    assert made[0][0] == made[1][0] and len(made[0][0]) == 480
+    assert [widths for _, widths in made] == [[96], [12]]
+
+
 def test_ridge_on_indicators_alone_has_its_closed_form(spark):
     rng = np.random.default_rng(1)
     rows = [(f"c{i % 60}", float(rng.normal() + i % 60), i) for i in range(1200)]
