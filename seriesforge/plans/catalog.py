@@ -577,15 +577,19 @@ def _sizes(spark) -> ModelConfig:
     return ModelConfig.small() if small else ModelConfig()
 
 
-def _trained(spark, sf_dir, *families: str) -> PL.Trained:
-    """The named families (default: all) on the first four fifths of the rows; what this session has fitted is not fitted again."""
-    families = families or MD.FAMILIES
+def _fitted(spark, sf_dir, families: tuple[str, ...]) -> tuple[PL.Prepared, dict[str, object]]:
+    """The named families on the first four fifths of the rows; what this session has fitted is not fitted again."""
     prepared = _once(spark, sf_dir, "prepared", lambda: PL.prepare_training(_features_table(spark, sf_dir)))
     models = _once(spark, sf_dir, "same-row", dict)
     missing = tuple(name for name in families if name not in models)
     if missing:
         models |= MD.train_all(prepared.train, _sizes(spark), missing)
-    return PL.compared(prepared, {name: models[name] for name in families})
+    return prepared, {name: models[name] for name in families}
+
+
+def _trained(spark, sf_dir, *families: str) -> PL.Trained:
+    """The named families (default: all) with their errors on the test rows."""
+    return PL.compared(*_fitted(spark, sf_dir, families or MD.FAMILIES))
 
 
 def _verdict(comparison: DataFrame, test: DataFrame) -> DataFrame:
@@ -608,16 +612,16 @@ def model_comparison(spark, sf_dir):
     return _verdict(trained.comparison, trained.test).drop("beats_mean")
 
 
-def _nodes(spark, sf_dir, name) -> TR.TreeNodes:
-    trained = _trained(spark, sf_dir, name)
-    return _once(spark, sf_dir, f"{name}-nodes", lambda: TR.nodes_of(
-        spark, trained.models[name], trained.features.columns, averaged=name == "random_forest"))
+def _nodes(spark, sf_dir, name) -> TR.SentNodes:
+    prepared, models = _fitted(spark, sf_dir, (name,))
+    return _once(spark, sf_dir, f"{name}-nodes", lambda: TR.send_nodes(
+        spark, TR.saved(spark, models[name]), prepared.features.columns, averaged=name == "random_forest"))
 
 
 def _in_sample(spark, sf_dir, name):
-    trained = _trained(spark, sf_dir, name)
-    errors = MD.error_metrics(MD.predictions_long({name: trained.models[name]}, trained.train), ["model"])
-    return _verdict(errors, trained.train)
+    prepared, models = _fitted(spark, sf_dir, (name,))
+    errors = MD.error_metrics(MD.predictions_long(models, prepared.train), ["model"])
+    return _verdict(errors, prepared.train)
 
 
 @query
@@ -729,7 +733,7 @@ def _value_range(spark, sf_dir):
 def recursive_forecast_trees(spark, sf_dir):
     """A forest averages measured values, so its forecasts stay in their range."""
     inputs = FC.forecast_inputs(_raw_wide(spark, sf_dir))
-    nodes, medians = _nodes(spark, sf_dir, "random_forest"), _trained(spark, sf_dir, "random_forest").features.medians
+    nodes, medians = _nodes(spark, sf_dir, "random_forest"), _fitted(spark, sf_dir, ("random_forest",))[0].features.medians
     found = FC.recursive_forecast_trees(inputs, nodes, medians)
     return _forecast_checked(found, *_value_range(spark, sf_dir))
 
@@ -782,7 +786,7 @@ def tree_attribution(spark, sf_dir):
 @query
 def tree_attribution_additivity(spark, sf_dir):
     """Next-hour rows explained by both tree families at production size: attributions add up to prediction minus base."""
-    fitted = _trained(spark, sf_dir, "random_forest", "boosted_trees").features
+    fitted = _fitted(spark, sf_dir, ("random_forest", "boosted_trees"))[0].features
     rows = FC.next_hour_features(_inputs(spark, sf_dir), fitted.columns, fitted.medians)
     out = None
     for name in ("random_forest", "boosted_trees"):
