@@ -101,3 +101,27 @@ def test_nodes_for_tasks_leave_no_arrays_on_the_driver(spark, forest):
     sent = trees.send_nodes(spark, forest.path, ("a", "b", "c"), averaged=True)
     assert set(vars(sent)) == {"columns", "arrays"} and "_value" not in vars(sent.arrays) and sent.columns == ("a", "b", "c")
     assert not any(isinstance(v, (np.ndarray, trees.TreeNodes)) for v in vars(forest).values())
+
+
+@pytest.mark.parametrize("kept", [100_000, 40])
+def test_only_the_child_of_fewer_rows_is_counted(monkeypatch, kept):
+    rng = np.random.default_rng(10)
+    bins = np.stack([rng.integers(0, 30, 4000), rng.integers(0, 4, 4000), rng.integers(0, 12, 4000)]).astype(np.uint8)
+    y, w = rng.integers(-500, 500, 4000).astype(float), rng.integers(1, 4, 4000).astype(float)  # sums are exact
+    counted, way = [], forests._counted
+    monkeypatch.setattr(forests, "_counted", lambda bins, at, *rest: counted.append(len(at)) or way(bins, at, *rest))
+    monkeypatch.setattr(forests, "KEPT", 0)
+    want, each = forests.grown(bins, y, w, 1, 8), sum(counted)
+    monkeypatch.setattr(forests, "KEPT", kept)
+    counted.clear()
+    got = forests.grown(bins, y, w, 1, 8)
+    for level, other in zip(want, got, strict=True):
+        for a, b in zip(level, other, strict=True):
+            np.testing.assert_array_equal(a, b)
+    assert counted[0] == 4000 and sum(counted) < (0.7 if kept > 40 else 1) * each
+
+
+def test_trees_that_fit_a_task_take_no_histograms_of_all_tasks(rows, monkeypatch):
+    monkeypatch.setattr(forests, "LOCAL_ROWS", 100)
+    monkeypatch.setattr(forests, "_histograms", None)
+    assert len(scores(forests.fit_forest(rows, CFG), rows)) == 2000
