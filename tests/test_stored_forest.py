@@ -75,16 +75,17 @@ def test_nan_goes_where_mllib_sends_it(spark, forest):
         np.testing.assert_allclose(scores(forest, df), scores(theirs, df), rtol=1e-12)
 
 
-def test_trees_are_explained_some_at_a_time(spark, forest, monkeypatch):
+def test_trees_are_explained_some_at_a_time(spark, forest):
     whole = trees.nodes_of(spark, forest, ("a", "b", "c"), averaged=True)
     x = np.random.default_rng(6).normal(size=(30, 3))
     want, base = whole.attribute(x)
     assert "paths" in vars(whole)
-    monkeypatch.setattr(trees, "PATH_NODES", 100)
     parted = trees.replace(whole)
-    got, part_base = parted.attribute(x)
+    got, part_base = parted.attribute(x, at_once=100)
     np.testing.assert_allclose(got, want, atol=1e-9)
-    assert part_base == pytest.approx(base) and "paths" not in vars(parted) and len(list(parted.path_parts())) > 3
+    assert part_base == pytest.approx(base)
+    assert "paths" not in vars(parted)
+    assert len(list(parted.path_parts(100))) == 7
     np.testing.assert_allclose(got.sum(axis=1) + part_base, parted.predict(x), rtol=1e-9)
 
 
@@ -110,6 +111,7 @@ def test_only_the_child_of_fewer_rows_is_counted(monkeypatch, kept):
     y, w = rng.integers(-500, 500, 4000).astype(float), rng.integers(1, 4, 4000).astype(float)  # sums are exact
     counted, way = [], forests._counted
     monkeypatch.setattr(forests, "_counted", lambda bins, at, *rest: counted.append(len(at)) or way(bins, at, *rest))
+    monkeypatch.setattr(forests, "WORTH_ROWS", 0)
     monkeypatch.setattr(forests, "KEPT", 0)
     want, each = forests.grown(bins, y, w, 1, 8), sum(counted)
     monkeypatch.setattr(forests, "KEPT", kept)
